@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sprintlens import params as P
-from sprintlens.functions import numeric as N
 from sprintlens.operators.features import to_long
 from sprintlens.operators.metrics import with_cell
 from sprintlens.operators.ranking import exact_percentiles
@@ -179,17 +178,12 @@ def partial_dependence(
     """
     grid = partial_dependence_grid(df, features, points)
     grids = grid.agg(F.map_from_entries(F.collect_list(F.struct("feature", "grid")))).scalar()
-    pairs = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.coalesce(F.try_element_at(F.col("__grids"), F.lit(f)), F.array().cast("array<double>")),
-                    lambda v, f=f: F.struct(F.lit(f).alias("feature"), v.alias("value")),
-                )
-                for f in features
-            ]
-        )
-    )
+
+    def points_of(f: str):
+        values = F.coalesce(F.try_element_at(F.col("__grids"), F.lit(f)), F.array().cast("array<double>"))
+        return F.transform(values, lambda v: F.struct(F.lit(f).alias("feature"), v.alias("value")))
+
+    pairs = F.flatten(F.array(*[points_of(f) for f in features]))
     expanded = df.withColumn("__grids", grids).withColumn("__pair", F.explode(pairs)).drop("__grids")
     for f in features:
         expanded = expanded.withColumn(

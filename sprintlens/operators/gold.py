@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sprintlens import params as P
@@ -51,14 +51,24 @@ def modules_by_project(modules: DataFrame) -> DataFrame:
     )
 
 
-def delivery_by_project(delivery: DataFrame, *grain: str) -> DataFrame:
+def mean_of_rounded(name: str, scale: int) -> Column:
+    """Mean of values rounded to `scale` digits, summed as decimals.
+
+    The sum is exact, so the mean does not depend on the order in which partial sums
+    arrive and equal projects get equal values on every run.
+    """
+    exact = F.sum(F.col(name).cast(f"decimal(18,{scale})")).cast("double")
+    return N.ratio(exact, F.count(name))
+
+
+def delivery_by_project(delivery: DataFrame, *grain: Column) -> DataFrame:
     """Unweighted means over months and totals; extra grain columns give the month variant."""
     return (
         delivery.where(F.col("apache_project_key").isNotNull())
         .groupBy(F.col("apache_project_key").alias("project"), *grain)
         .agg(
-            F.avg("deploy_frequency_weekly").alias("deploy_frequency_weekly"),
-            F.avg("change_failure_rate").alias("change_failure_rate"),
+            mean_of_rounded("deploy_frequency_weekly", 3).alias("deploy_frequency_weekly"),
+            mean_of_rounded("change_failure_rate", 4).alias("change_failure_rate"),
             F.sum(F.col("push_count").cast("bigint")).alias("total_pushes_2022"),
             F.sum(F.col("total_prs_closed").cast("bigint")).alias("total_prs_2022"),
         )
