@@ -11,6 +11,7 @@ from sprintlens import params as P
 from sprintlens.functions import numeric as N
 from sprintlens.operators.metrics import metric_suite
 from sprintlens.operators.ranking import collapse, percentiles_from_totals, running_totals
+from sprintlens.operators.shaping import with_row
 
 BINS = 10
 
@@ -163,13 +164,18 @@ def drift_headline(report: DataFrame, yearly: DataFrame, simulated: DataFrame) -
         F.count_if(F.col("psi") > 0.25).alias("n_psi_high"),
     )
     worst = yearly.agg(
-        F.struct(F.min_by("sprint_year", F.struct("f2", "sprint_year")).alias("y"), F.min("f2").alias("f")).alias("w")
-    ).scalar()
+        F.min_by("sprint_year", F.struct("f2", "sprint_year")).alias("year"), F.min("f2").alias("f2")
+    )
     drop = simulated.agg(
         F.max(F.when(F.col("shift_pct") == 0, F.col("f2"))) - F.max(F.when(F.col("shift_pct") == 50, F.col("f2")))
     ).scalar()
-    return features.withColumns(
-        {"worst_year": worst["y"], "worst_year_f2": worst["f"], "f2_drop_50pct": drop}
+    return with_row(features, "w", worst).select(
+        "n_drifted",
+        "psi_max",
+        "n_psi_high",
+        F.col("w.year").alias("worst_year"),
+        F.col("w.f2").alias("worst_year_f2"),
+        drop.alias("f2_drop_50pct"),
     )
 
 

@@ -12,15 +12,16 @@ from sprintlens import params as P
 from sprintlens.operators.features import to_long
 from sprintlens.operators.metrics import with_cell
 from sprintlens.operators.ranking import exact_percentiles
+from sprintlens.operators.shaping import with_row
 
 
 def linear_contributions(
     df: DataFrame, coefficients: dict[str, float], keep: Sequence[str]
 ) -> DataFrame:
     """Exact additive contributions of a linear model: coefficient x (value - mean value)."""
-    means = df.agg(F.struct(*[F.avg(f).alias(f) for f in coefficients])).scalar()
-    return df.select(
-        *keep, *[(float(c) * (F.col(f) - means[f])).alias(f) for f, c in coefficients.items()]
+    means = df.agg(*[F.avg(f).alias(f) for f in coefficients])
+    return with_row(df, "__mean", means).select(
+        *keep, *[(float(c) * (F.col(f) - F.col(f"__mean.{f}"))).alias(f) for f, c in coefficients.items()]
     ).unpivot(list(keep), list(coefficients), "feature", "contribution")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sprintlens import params as P
 from sprintlens.functions import numeric as N
 from sprintlens.operators.ranking import exact_percentiles
+from sprintlens.operators.shaping import with_row
 
 MONTH_ANGLE = "2 * pi() * {} / 12"
 
@@ -186,25 +187,21 @@ def class_weights(df: DataFrame, label: str = P.LABEL) -> DataFrame:
     """Per class: rows and n / (2 * rows); positive weight neg/pos on both rows (at most two)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
     totals = df.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            N.ratio(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).alias("pos_weight"),
-        )
-    ).scalar()
-    return counts.select(
+        F.count(F.lit(1)).alias("n"),
+        N.ratio(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).alias("pos_weight"),
+    )
+    return with_row(counts, "t", totals).select(
         label,
         "rows",
-        N.ratio(totals["n"], 2 * F.col("rows")).alias("weight"),
-        totals["pos_weight"].alias("scale_pos_weight"),
+        N.ratio(F.col("t.n"), 2 * F.col("rows")).alias("weight"),
+        F.col("t.pos_weight").alias("scale_pos_weight"),
     )
 
 
 def add_balanced_weight(df: DataFrame, label: str = P.LABEL) -> DataFrame:
-    stats = df.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("p"))
-    ).scalar()
-    mine = F.when(F.col(label) == 1, stats["p"]).otherwise(stats["n"] - stats["p"])
-    return df.withColumn("weight", N.ratio(stats["n"], 2 * mine))
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("p"))
+    mine = F.when(F.col(label) == 1, F.col("__t.p")).otherwise(F.col("__t.n") - F.col("__t.p"))
+    return with_row(df, "__t", stats).withColumn("weight", N.ratio(F.col("__t.n"), 2 * mine)).drop("__t")
 
 
 def impute_and_scale(df: DataFrame, features: Sequence[str], id_columns: Sequence[str]) -> DataFrame:
@@ -214,26 +211,24 @@ def impute_and_scale(df: DataFrame, features: Sequence[str], id_columns: Sequenc
     entry per feature.
     """
     medians = exact_percentiles(to_long(df, features), "value", [0.5], ["feature"])
-    median_map = medians.agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", F.get("percentiles", F.lit(0)))))
-    ).scalar()
-    imputed = df.select(
+    by_feature = medians.agg(
+        F.map_from_entries(F.collect_list(F.struct("feature", F.get("percentiles", F.lit(0))))).alias("of")
+    )
+    imputed = with_row(df, "__median", by_feature).select(
         *id_columns,
         *[
-            F.coalesce(F.col(f).cast("double"), F.try_element_at(median_map, F.lit(f)), F.lit(0.0)).alias(f)
+            F.coalesce(F.col(f).cast("double"), F.try_element_at("__median.of", F.lit(f)), F.lit(0.0)).alias(f)
             for f in features
         ],
     )
     moments = imputed.agg(
-        F.struct(
-            *[F.avg(f).alias(f"m_{f}") for f in features],
-            *[F.stddev_samp(f).alias(f"s_{f}") for f in features],
-        )
-    ).scalar()
-    return imputed.select(
+        *[F.avg(f).alias(f"m_{f}") for f in features],
+        *[F.stddev_samp(f).alias(f"s_{f}") for f in features],
+    )
+    return with_row(imputed, "__x", moments).select(
         *id_columns,
         *[
-            F.coalesce(N.ratio(F.col(f) - moments[f"m_{f}"], moments[f"s_{f}"]), F.lit(0.0)).alias(f)
+            F.coalesce(N.ratio(F.col(f) - F.col(f"__x.m_{f}"), F.col(f"__x.s_{f}")), F.lit(0.0)).alias(f)
             for f in features
         ],
     )

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from sprintlens import params as P
 from sprintlens.functions import numeric as N
 from sprintlens.operators.ranking import collapse, running_totals
-from sprintlens.operators.shaping import keep_known
+from sprintlens.operators.shaping import keep_known, with_row
 
 
 def score_counts(
@@ -339,14 +339,9 @@ def final_evaluation(
         shaped(flagged()).alias("flagging_rate_test"),
     ).withColumn("flagging_warning", F.col("flagging_rate_test") > 0.85)
     if intervals is not None:
+        of = lambda m, side: F.max(F.when(F.col("metric") == m, F.col(f"ci_{side}")))
         bounds = intervals.agg(
-            F.map_from_entries(F.collect_list(F.struct("metric", F.array("ci_lo", "ci_hi"))))
-        ).scalar()
-        record = record.withColumns(
-            {
-                f"test_{m}_ci_{side}": bounds[m][i]
-                for m in ("f2", "recall", "brier")
-                for i, side in enumerate(("lo", "hi"))
-            }
+            *[of(m, side).alias(f"test_{m}_ci_{side}") for m in ("f2", "recall", "brier") for side in ("lo", "hi")]
         )
+        record = with_row(record, "ci", bounds).select(*record.columns, "ci.*")
     return record

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import IsotonicRegression
@@ -28,6 +28,7 @@ from sprintlens.operators.features import add_balanced_weight, folds
 from sprintlens.operators.metrics import mcnemar, metric_suite
 from sprintlens.operators.oversample import smote
 from sprintlens.operators.scoring import predict
+from sprintlens.operators.shaping import with_row
 
 DELIVERY = ("deploy_frequency_weekly", "change_failure_rate")
 
@@ -47,35 +48,30 @@ def model_frame(matrix: DataFrame, features: Sequence[str] = P.FEATURES, label:
     )
 
 
-def logistic_pipeline(
-    inverse_penalty: float,
-    penalty: str,
-    weight_sum: float,
-    features: Sequence[str] = P.FEATURES,
-    label: str = P.LABEL,
-) -> Pipeline:
-    """Impute, scale, weighted logistic regression.
-
-    C multiplies the summed loss, Spark's regParam the mean loss, hence 1 / (C * sum of weights).
-    """
+def preparation(features: Sequence[str] = P.FEATURES) -> Pipeline:
+    """Median imputation, assembly, standard scaling."""
     clean = [f"{f}__i" for f in features]
     return Pipeline(
         stages=[
             Imputer(strategy="median", inputCols=list(features), outputCols=clean),
             VectorAssembler(inputCols=clean, outputCol="assembled"),
             StandardScaler(withMean=True, withStd=True, inputCol="assembled", outputCol="features"),
-            LogisticRegression(
-                labelCol=label,
-                weightCol="weight",
-                regParam=1.0 / (inverse_penalty * weight_sum),
-                elasticNetParam=1.0 if penalty == "l1" else 0.0,
-                standardization=False,
-                maxIter=200,
-            ),
         ]
     )
 
 
+def logistic(inverse_penalty: float, penalty: str, weight_sum: float, label: str = P.LABEL) -> LogisticRegression:
+    """C multiplies the summed loss, Spark's regParam the mean loss: 1 / (C * sum of weights)."""
+    return LogisticRegression(
+        labelCol=label,
+        weightCol="weight",
+        regParam=1.0 / (inverse_penalty * weight_sum),
+        elasticNetParam=1.0 if penalty == "l1" else 0.0,
+        standardization=False,
+        maxIter=100,
+    )
+
+
 def tree_pipeline(estimator: Estimator, features: Sequence[str] = P.FEATURES) -> Pipeline:
     return Pipeline(
         stages=[
@@ -172,23 +168,29 @@ def logistic_trials(
     label: str = P.LABEL,
     row_id: str = "sprint_id",
 ) -> tuple[DataFrame, dict[str, object]]:
+    """The grid on the plain and the oversampled training rows.
+
+    Imputation and scaling depend on the rows only, so they are fitted once per row set and
+    the prepared vectors are kept for all fits on it.
+    """
     grid = logistic_grid() if grid is None else grid
-    weighted = add_balanced_weight(train, label)
-    rows = train.count()
-    enlarged = None
-    if any(p["smote"] for p in grid):
-        enlarged = smote(train, features, label, row_id).withColumn("weight", F.lit(1.0)).persist()
-        enlarged_rows = enlarged.count()
+    sources = {}
+    for enlarged in sorted({p["smote"] for p in grid}):
+        rows = smote(train, features, label, row_id) if enlarged else train
+        prepared = preparation(features).fit(rows)
+        vectors = add_balanced_weight(prepared.transform(rows).select(label, "features"), label).persist()
+        sources[enlarged] = (prepared, vectors, vectors.count())
 
     def fit(p: dict):
-        source, weight_sum = (enlarged, enlarged_rows) if p["smote"] else (weighted, rows)
-        return logistic_pipeline(p["C"], p["penalty"], weight_sum, features, label).fit(source)
+        prepared, vectors, size = sources[p["smote"]]
+        fitted = logistic(p["C"], p["penalty"], size, label).fit(vectors)
+        return PipelineModel(stages=[*prepared.stages, fitted])
 
     try:
         return run_trials("logistic", grid, fit, val, label)
     finally:
-        if enlarged is not None:
-            enlarged.unpersist()
+        for _, vectors, _ in sources.values():
+            vectors.unpersist()
 
 
 # -- tree studies -------------------------------------------------------------------
@@ -286,13 +288,12 @@ def champion_report(
             {"a": (F.col("p_a") >= 0.5).cast("int"), "b": (F.col("p_b") >= 0.5).cast("int")}
         ),
         label, "a", "b",
-    ).select(F.struct("statistic", "p_value").alias("m")).scalar()
-    return suites.withColumns(
-        {
-            "champion": F.col("model") == winner,
-            "mcnemar_statistic": F.round(test["statistic"], 4),
-            "mcnemar_p": F.round(test["p_value"], 4),
-        }
+    )
+    return with_row(suites, "m", test).select(
+        *suites.columns,
+        (F.col("model") == winner).alias("champion"),
+        F.round("m.statistic", 4).alias("mcnemar_statistic"),
+        F.round("m.p_value", 4).alias("mcnemar_p"),
     )
 
 
@@ -326,24 +327,22 @@ def fit_platt(cal: DataFrame, label: str = P.LABEL, score: str = "p"):
     counts = cal.groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    n = cal.agg(
-        F.struct(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    ).scalar()
-    high, low = (n["p"] + 1.0) / (n["p"] + 2.0), 1.0 / (n["n"] + 2.0)
+    sizes = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    high, low = (F.col("t.p") + 1.0) / (F.col("t.p") + 2.0), 1.0 / (F.col("t.n") + 2.0)
     weight_1 = F.col("pos") * high + F.col("neg") * low
-    rows = counts.select(
+    rows = with_row(counts, "t", sizes).select(
         F.col(score).alias("s"),
         F.explode(
             F.array(
-                F.struct(F.lit(1.0).alias("t"), weight_1.alias("w")),
-                F.struct(F.lit(0.0).alias("t"), (F.col("pos") + F.col("neg") - weight_1).alias("w")),
+                F.struct(F.lit(1.0).alias("target"), weight_1.alias("w")),
+                F.struct(F.lit(0.0).alias("target"), (F.col("pos") + F.col("neg") - weight_1).alias("w")),
             )
         ).alias("e"),
-    ).select("s", "e.t", "e.w")
+    ).select("s", "e.target", "e.w")
     model = Pipeline(
         stages=[
             VectorAssembler(inputCols=["s"], outputCol="f"),
-            LogisticRegression(featuresCol="f", labelCol="t", weightCol="w", regParam=0.0, maxIter=200, tol=1e-10),
+            LogisticRegression(featuresCol="f", labelCol="target", weightCol="w", regParam=0.0, maxIter=200, tol=1e-10),
         ]
     ).fit(rows)
     logistic = model.stages[-1]

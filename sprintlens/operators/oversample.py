@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 from sprintlens import params as P
 from sprintlens.functions import numeric as N
 from sprintlens.operators.ranking import running_totals
+from sprintlens.operators.shaping import with_row
 
 
 def ranked_axes(rows: DataFrame, row_id: str, size: int, axes: int, seed: int) -> DataFrame:
@@ -77,28 +78,32 @@ def smote(
         F.col(label).cast("double").alias(label),
         *[F.col(f).cast("double").alias(f) for f in features],
     )
-    counts = plain.agg(
-        F.struct(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    ).scalar()
-    minority = F.when(counts["p"] < counts["n"], 1.0).otherwise(0.0)
-    small = plain.where(F.col(label) == minority).select(row_id, label, F.array(*features).alias("x"))
+    sizes = plain.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
+    counts = sizes.select(
+        F.when(F.col("p") < F.col("n"), 1.0).otherwise(0.0).alias("minority"),
+        F.abs(F.col("p") - F.col("n")).alias("gap"),
+        F.least("p", "n").alias("have"),
+    )
+    small = with_row(plain, "c", counts).where(F.col(label) == F.col("c.minority")).select(
+        row_id, F.array(*features).alias("x")
+    )
     found = near_rows(small, row_id, len(features), k, axes, reach)
 
     # Row i of m gets floor(gap / m) copies, the first gap mod m rows one more.
-    gap, have = F.abs(counts["p"] - counts["n"]), F.least(counts["p"], counts["n"])
+    gap, have = F.col("c.gap"), F.col("c.have")
     order = ranked_axes(small, row_id, len(features), 1, P.SEED).select("id", "position")
     copies = F.floor(N.ratio(gap, have)) + (F.col("position") <= gap % have).cast("bigint")
     drawn = (
-        found.join(order, "id")
+        with_row(found.join(order, "id"), "c", counts)
         .where(copies > 0)
-        .select("id", "x", "neighbours", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy"))
+        .select("id", "x", "neighbours", "c", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy"))
     )
     text = F.concat_ws("#", "id", "copy")
     pick = F.floor(N.hash_uniform(F.concat(text, F.lit("#row"))) * F.size("neighbours")).cast("int")
     step = N.hash_uniform(F.concat(text, F.lit("#step")))
     synthetic = drawn.select(
         text.alias(row_id),
-        minority.alias(label),
+        F.col("c.minority").alias(label),
         F.zip_with("x", F.get("neighbours", pick)["z"], lambda a, b: a + (b - a) * step).alias("v"),
     ).select(
         row_id, label, *[F.col("v")[i].alias(f) for i, f in enumerate(features)], F.lit(True).alias("synthetic")

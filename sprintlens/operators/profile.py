@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sprintlens.functions import numeric as N
 from sprintlens.operators.features import to_long
 from sprintlens.operators.ranking import collapse, exact_percentiles, percentiles_from_totals, running_totals
+from sprintlens.operators.shaping import with_row
 
 
 def distribution(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.5, 0.75, 0.9)) -> DataFrame:
@@ -38,13 +39,11 @@ def cycle_time_summary(issues: DataFrame, column: str = "cycle_time_days") -> Da
     """One row: total, resolved and their share, percentiles, mean, max (negatives left out)."""
     probs = (0.25, 0.5, 0.75, 0.9)
     spread = distribution(issues, [column], probs)
-    totals = issues.agg(
-        F.struct(F.count(F.lit(1)).alias("total"), F.count(column).alias("resolved"))
-    ).scalar()
-    return spread.select(
-        totals["total"].alias("total"),
-        totals["resolved"].alias("resolved"),
-        N.ratio(totals["resolved"], totals["total"]).alias("coverage"),
+    totals = issues.agg(F.count(F.lit(1)).alias("total"), F.count(column).alias("resolved"))
+    return with_row(spread, "t", totals).select(
+        "t.total",
+        "t.resolved",
+        N.ratio(F.col("t.resolved"), F.col("t.total")).alias("coverage"),
         *[f"p{round(q * 100)}" for q in probs],
         "mean",
         "max",

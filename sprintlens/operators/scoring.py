@@ -105,12 +105,9 @@ def ratio_threshold(
     return wide.select(best["threshold"].alias("threshold"), best["f2"].alias("f2"))
 
 
-def ratio_baseline(
-    df: DataFrame, threshold: Column | float, feature: str = "log_bug_story_ratio"
-) -> DataFrame:
-    """p = sigmoid(x - threshold), 0.5 where the feature is missing."""
-    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return df.withColumn("p", F.coalesce(N.sigmoid(F.col(feature) - t), F.lit(0.5)))
+def ratio_score(threshold: Column, feature: str = "log_bug_story_ratio") -> Column:
+    """sigmoid(x - threshold), 0.5 where the feature is missing."""
+    return F.coalesce(N.sigmoid(F.col(feature) - threshold), F.lit(0.5))
 
 
 def run_baselines(
@@ -120,10 +117,11 @@ def run_baselines(
     train = matrix.where(F.col("split") == "train")
     scored = matrix.where(F.col("split").isin(*splits))
     tuned = ratio_threshold(train, label).select("threshold").scalar()
-    parts = [majority_baseline(train, scored, label).withColumn("baseline", F.lit("majority"))]
-    for name, cut in [("ratio_auto", tuned), *((f"ratio_{k}", v) for k, v in P.BASELINE_CUTS.items())]:
-        parts.append(ratio_baseline(scored, cut).withColumn("baseline", F.lit(name)))
-    stacked = parts[0].select("baseline", "split", label, "p")
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part.select("baseline", "split", label, "p"))
+    cuts = {"ratio_auto": tuned} | {f"ratio_{k}": F.lit(v) for k, v in P.BASELINE_CUTS.items()}
+    options = [
+        F.struct(F.lit("majority").alias("baseline"), majority_class(train, label).select("p").scalar().alias("p"))
+    ] + [F.struct(F.lit(n).alias("baseline"), ratio_score(c).alias("p")) for n, c in cuts.items()]
+    stacked = scored.select("split", label, F.explode(F.array(*options)).alias("s")).select(
+        "split", label, "s.baseline", "s.p"
+    )
     return metric_suite(stacked, label, "p", 0.5, ["baseline", "split"], digits)

@@ -67,5 +67,10 @@ def counted_filter(df: DataFrame, condition: Column, observation) -> DataFrame:
     ).where(kept)
 
 
+def with_row(df: DataFrame, name: str, one_row: DataFrame) -> DataFrame:
+    """Adds the single row of another frame as a struct column (a scalar subquery, run once)."""
+    return df.withColumn(name, one_row.select(F.struct("*")).scalar())
+
+
 def keep_known(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in order if c in df.columns])

@@ -835,8 +835,7 @@ def lopo_metrics(spark, d):
     try:
         table = models.fold_metrics(frame, models.boosted(SMALL_BOOST), S.PROJECTS)
         summary = models.fold_summary(table)
-        stats = summary.select(F.struct("f2_mean", "f2_std").alias("s")).scalar()
-        table = table.withColumns({"f2_mean": stats["f2_mean"], "f2_std": stats["f2_std"]})
+        table = shaping.with_row(table, "s", summary).select(*table.columns, "s.f2_mean", "s.f2_std")
         return spark.createDataFrame(table.collect(), table.schema)
     finally:
         frame.unpersist()
