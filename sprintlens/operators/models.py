@@ -94,6 +94,31 @@ TRIAL_SCHEMA = T.StructType(
 )
 
 
+def measured(scored: DataFrame, by: Sequence[str], threshold=0.5, label: str = P.LABEL, digits: int | None = 4) -> DataFrame:
+    """Suites of model-scored rows, computed now: each row goes through the models once.
+
+    Only the metric rows (one per group of `by`) come to the driver.
+    """
+    kept = scored.select(*by, label, "p").persist()
+    try:
+        suites = metric_suite(kept, label, "p", threshold, by, digits)
+        return scored.sparkSession.createDataFrame(suites.collect(), suites.schema)
+    finally:
+        kept.unpersist()
+
+
+def score_with(models: dict[str, object], df: DataFrame, name: str, label: str = P.LABEL) -> DataFrame:
+    """Long form (name, split.., label, p) of one scan scored by several models."""
+    keep = [c for c in ("split", "project") if c in df.columns]
+    wide = df
+    for i, model in enumerate(models.values()):
+        wide = predict(model, wide, f"__p{i}")
+    options = F.array(
+        *[F.struct(F.lit(key).alias(name), F.col(f"__p{i}").alias("p")) for i, key in enumerate(models)]
+    )
+    return wide.select(*keep, label, F.explode(options).alias("s")).select(*keep, label, f"s.{name}", "s.p")
+
+
 def params_hash(params: dict) -> str:
     return hashlib.sha256(json.dumps(params, sort_keys=True).encode()).hexdigest()[:16]
 
@@ -118,10 +143,7 @@ def run_trials(
         return spark.createDataFrame([], TRIAL_SCHEMA), {}
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         models = dict(zip([h for _, h, _ in todo], pool.map(lambda t: fit(t[2]), todo)))
-    scored = [
-        predict(models[h], val).select(F.lit(h).alias("params_hash"), label, "p") for _, h, _ in todo
-    ]
-    suites = metric_suite(reduce(DataFrame.unionByName, scored), label, "p", 0.5, ["params_hash"])
+    suites = measured(score_with(models, val, "params_hash", label), ["params_hash"], label=label)
     names = spark.createDataFrame(
         [(study, i, h, json.dumps(p, sort_keys=True)) for i, h, p in todo],
         "study string, trial int, params_hash string, params string",
@@ -187,7 +209,7 @@ def logistic_trials(
         return PipelineModel(stages=[*prepared.stages, fitted])
 
     try:
-        return run_trials("logistic", grid, fit, val, label)
+        return run_trials("logistic", grid, fit, val, label, parallelism=8)
     finally:
         for _, vectors, _ in sources.values():
             vectors.unpersist()
@@ -276,13 +298,7 @@ def champion_report(
     winner = select_champion(f2_by_family[names[0]], f2_by_family[names[1]], *names)
     judged = matrix.where(F.col("split").isin("val", "test"))
     both = predict(models[names[1]], predict(models[names[0]], judged, "p_a"), "p_b")
-    long = both.select(
-        "split", label, F.explode(F.array(
-            F.struct(F.lit(names[0]).alias("model"), F.col("p_a").alias("p")),
-            F.struct(F.lit(names[1]).alias("model"), F.col("p_b").alias("p")),
-        )).alias("s"),
-    ).select("split", label, "s.model", "s.p")
-    suites = metric_suite(long, label, "p", 0.5, ["model", "split"])
+    suites = measured(score_with(models, judged, "model", label), ["model", "split"], label=label)
     test = mcnemar(
         both.where(F.col("split") == "val").withColumns(
             {"a": (F.col("p_a") >= 0.5).cast("int"), "b": (F.col("p_b") >= 0.5).cast("int")}
@@ -308,7 +324,7 @@ def fold_metrics(
     scored = [
         predict(model, held).select("project", label, "p") for model, (_, _, held) in zip(models, parts)
     ]
-    return metric_suite(reduce(DataFrame.unionByName, scored), label, "p", threshold, ["project"])
+    return measured(reduce(DataFrame.unionByName, scored), ["project"], threshold, label)
 
 
 def fold_summary(per_fold: DataFrame) -> DataFrame:
@@ -377,9 +393,8 @@ def calibrate(scored: DataFrame, label: str = P.LABEL, score: str = "p", splits=
     stacked = judged.withColumn("method", F.lit("raw"))
     for name, apply in maps.items():
         stacked = stacked.unionByName(apply(judged, score).withColumn("method", F.lit(name)))
-    table = metric_suite(stacked, label, score, 0.5, ["method", "split"], None).select(
-        "method", "split", "brier", "f2"
-    )
+    stacked = stacked.withColumnRenamed(score, "p")
+    table = measured(stacked, ["method", "split"], 0.5, label, None).select("method", "split", "brier", "f2")
     rows = {(r["method"], r["split"]): r["brier"] for r in table.where(F.col("split") == "cal").collect()}
     best = min(maps, key=lambda m: rows[(m, "cal")])
     if rows[(best, "cal")] >= rows[("raw", "cal")] - P.CALIBRATION_MARGIN:

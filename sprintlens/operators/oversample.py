@@ -43,6 +43,7 @@ def near_rows(
 ) -> DataFrame:
     """id, x, neighbours (array of the k nearest compared vectors, nearest first)."""
     ranked = ranked_axes(rows, row_id, size, axes, seed)
+    reach = max(reach, k)  # the first and last rows of an axis have neighbours on one side only
     offsets = [o for o in range(-reach, reach + 1) if o != 0]
     asking = ranked.withColumn(
         "position", F.explode(F.transform(F.array(*map(F.lit, offsets)), lambda o: F.col("position") + o))
@@ -84,26 +85,26 @@ def smote(
         F.abs(F.col("p") - F.col("n")).alias("gap"),
         F.least("p", "n").alias("have"),
     )
-    small = with_row(plain, "c", counts).where(F.col(label) == F.col("c.minority")).select(
+    small = with_row(plain, "__c", counts).where(F.col(label) == F.col("__c.minority")).select(
         row_id, F.array(*features).alias("x")
     )
     found = near_rows(small, row_id, len(features), k, axes, reach)
 
     # Row i of m gets floor(gap / m) copies, the first gap mod m rows one more.
-    gap, have = F.col("c.gap"), F.col("c.have")
+    gap, have = F.col("__c.gap"), F.col("__c.have")
     order = ranked_axes(small, row_id, len(features), 1, P.SEED).select("id", "position")
     copies = F.floor(N.ratio(gap, have)) + (F.col("position") <= gap % have).cast("bigint")
     drawn = (
-        with_row(found.join(order, "id"), "c", counts)
+        with_row(found.join(order, "id"), "__c", counts)
         .where(copies > 0)
-        .select("id", "x", "neighbours", "c", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy"))
+        .select("id", "x", "neighbours", "__c", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy"))
     )
     text = F.concat_ws("#", "id", "copy")
     pick = F.floor(N.hash_uniform(F.concat(text, F.lit("#row"))) * F.size("neighbours")).cast("int")
     step = N.hash_uniform(F.concat(text, F.lit("#step")))
     synthetic = drawn.select(
         text.alias(row_id),
-        F.col("c.minority").alias(label),
+        F.col("__c.minority").alias(label),
         F.zip_with("x", F.get("neighbours", pick)["z"], lambda a, b: a + (b - a) * step).alias("v"),
     ).select(
         row_id, label, *[F.col("v")[i].alias(f) for i, f in enumerate(features)], F.lit(True).alias("synthetic")
