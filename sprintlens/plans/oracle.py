@@ -483,7 +483,9 @@ def oracle_sql() -> dict[str, str]:
  coalesce(total_pushes_2022, 0) AS total_pushes_2022, coalesce(total_prs_2022, 0) AS total_prs_2022, round(num_bugs / nullif(CAST(num_stories + num_tasks AS DOUBLE), 0), 3) AS tracker_b_ratio
  FROM spine s LEFT JOIN delivery_month USING (project, sprint_year, sprint_month) LEFT JOIN counts_b b ON s.project = b.project_key AND s.sprint = b.sprint
  WHERE sprint_year BETWEEN {S.YEARS[0]} AND {S.YEARS[1]}""", "spine", "delivery_month", "counts_b"),
-        # The split into three header shapes is by crc32, which SQL here lacks; absent columns are tested on fixtures.
+        "csv_header_union": build(f"""SELECT basename, project, version, wmc, dit, CASE WHEN shape = 0 THEN cbo END AS cbo, {r('CASE WHEN shape = 2 THEN rfc END', 'rfc')}, loc,
+ CAST(coalesce(bug, 0) > 0 AS INTEGER) AS defect_flag, CAST(1 AS INTEGER) AS has_path
+ FROM (SELECT *, length(basename) % 3 AS shape, split_part(basename, '-', 1) AS project, split_part(basename, '-', 2) AS version FROM modules)""", "modules"),
         "ndjson_nested_scan": build("SELECT * FROM delivery", "delivery"),
         "parquet_merge_schema": build("SELECT issue_key, project_key, sprint, issue_category, total_issues_sprint, round(num_bugs / nullif(CAST(num_stories + num_tasks AS DOUBLE), 0), 3) AS bug_story_ratio FROM tracker_b JOIN counts_b USING (project_key, sprint)", "counts_b"),
         "hive_partition_scan": build("SELECT repo_name, year, month, push_count, total_prs_closed FROM delivery WHERE year >= 1998 AND month <= 6", "delivery"),
@@ -527,6 +529,9 @@ def oracle_sql() -> dict[str, str]:
         "class_weights": build(f"""SELECT {lbl}, rows, {r('n / (2e0 * rows)', 'weight')}, {r('neg / CAST(pos AS DOUBLE)', 'scale_pos_weight')} FROM (SELECT {lbl}, count(*) AS rows FROM feat WHERE split = 'train' GROUP BY {lbl}),
  (SELECT count(*) AS n, sum({lbl}) AS pos, sum(1 - {lbl}) AS neg FROM feat WHERE split = 'train')""", "feat"),
         "impute_scale": impute_scale_sql(),
+        "smote_balance": build(f"""SELECT {lbl}, false AS synthetic, count(*) AS n, count(*) AS n_in_range FROM feat WHERE split = 'train' GROUP BY {lbl}
+ UNION ALL SELECT CASE WHEN pos < neg THEN 1 ELSE 0 END, true, CAST(abs(pos - neg) AS BIGINT), CAST(abs(pos - neg) AS BIGINT)
+ FROM (SELECT sum({lbl}) AS pos, sum(1 - {lbl}) AS neg FROM feat WHERE split = 'train') WHERE pos <> neg""", "feat"),
         "heuristic_score": build(f"SELECT sprint_id, split, {lbl}, p FROM scored", "scored"),
         "baseline_majority": build(f"SELECT majority_class, {r('majority_rate', 'majority_rate')}, {r('p', 'p')} FROM majority", "majority"),
         "baseline_threshold": build(f"SELECT {r('threshold', 'threshold')}, {r('f2', 'f2')} FROM best_cut", "best_cut"),

@@ -141,7 +141,7 @@ def test_attach_equals_window_and_keeps_null_keys_unmatched(spark):
 
 def test_counted_filter_counts_in_one_pass(spark):
     seen = Observation("drop")
-    df = shaping.counted_filter(spark.range(10).toDF("x"), F.col("x") > 3, seen)
+    df = shaping.counted_filter(spark.newSession().range(10).toDF("x"), F.col("x") > 3, seen)
     assert df.count() == 6 and seen.get == {"rows_before": 10, "rows_after": 6}
 
 
