@@ -48,6 +48,19 @@ def model_frame(matrix: DataFrame, features: Sequence[str] = P.FEATURES, label:
     )
 
 
+ROWS_PER_TASK = 100_000
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """Persisted rows in tasks of a useful size for iterative fits.
+
+    Fitting runs hundreds of short jobs over the same rows; on a small table scattered over
+    many files they would cost only scheduling. Large tables keep their partitions.
+    """
+    kept = df.persist()
+    return kept.coalesce(max(1, math.ceil(kept.count() / ROWS_PER_TASK)))
+
+
 def preparation(features: Sequence[str] = P.FEATURES) -> Pipeline:
     """Median imputation, assembly, standard scaling."""
     clean = [f"{f}__i" for f in features]
@@ -200,18 +213,18 @@ def logistic_trials(
     for enlarged in sorted({p["smote"] for p in grid}):
         rows = smote(train, features, label, row_id) if enlarged else train
         prepared = preparation(features).fit(rows)
-        vectors = add_balanced_weight(prepared.transform(rows).select(label, "features"), label).persist()
-        sources[enlarged] = (prepared, vectors, vectors.count())
+        vectors = add_balanced_weight(prepared.transform(rows).select(label, "features"), label)
+        sources[enlarged] = (prepared, vectors, packed(vectors), vectors.count())
 
     def fit(p: dict):
-        prepared, vectors, size = sources[p["smote"]]
-        fitted = logistic(p["C"], p["penalty"], size, label).fit(vectors)
+        prepared, _, rows, size = sources[p["smote"]]
+        fitted = logistic(p["C"], p["penalty"], size, label).fit(rows)
         return PipelineModel(stages=[*prepared.stages, fitted])
 
     try:
         return run_trials("logistic", grid, fit, val, label, parallelism=8)
     finally:
-        for _, vectors, _ in sources.values():
+        for _, vectors, *_ in sources.values():
             vectors.unpersist()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -776,6 +777,17 @@ def _model_matrix(spark, d):
     return models.model_frame(S.matrix(spark, d))
 
 
+@contextmanager
+def _prepared(spark, d, *splits):
+    """The model frame, persisted and packed for the many jobs of a fit; released afterwards."""
+    frame = _model_matrix(spark, d)
+    frame = (frame.where(F.col("split").isin(*splits)) if splits else frame).persist()
+    try:
+        yield models.packed(frame)
+    finally:
+        frame.unpersist()
+
+
 def _splits(frame):
     return frame.where(split_is("train")), frame.where(split_is("val"))
 
@@ -786,18 +798,14 @@ SMALL_BOOST = {"maxIter": 12, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate":
 
 @query
 def lr_grid_trials(spark, d):
-    frame = _model_matrix(spark, d).persist()
-    try:
+    with _prepared(spark, d) as frame:
         table, _ = models.logistic_trials(*_splits(frame))
         return spark.createDataFrame(table.collect(), table.schema)
-    finally:
-        frame.unpersist()
 
 
 @query
 def tree_trials(spark, d):
-    frame = _model_matrix(spark, d).persist()
-    try:
+    with _prepared(spark, d) as frame:
         path = scratch_dir(spark, "trials")
         for family in models.FAMILIES:
             trials = models.sample_trials(models.FAMILIES[family][1], TRIALS)
@@ -809,14 +817,11 @@ def tree_trials(spark, d):
                 spark,
             )
         return spark.read.schema(models.TRIAL_SCHEMA).parquet(*[f"{path}/{f}" for f in models.FAMILIES])
-    finally:
-        frame.unpersist()
 
 
 @query
 def champion(spark, d):
-    frame = _model_matrix(spark, d).persist()
-    try:
+    with _prepared(spark, d) as frame:
         train, val = _splits(frame)
         fitted = {
             "boosted": models.boosted(SMALL_BOOST)(train),
@@ -827,35 +832,27 @@ def champion(spark, d):
         }
         report = models.champion_report(fitted, suites, frame)
         return spark.createDataFrame(report.collect(), report.schema)
-    finally:
-        frame.unpersist()
 
 
 @query
 def lopo_metrics(spark, d):
-    frame = _model_matrix(spark, d).where(F.col("split").isin("train", "cal")).persist()
-    try:
+    with _prepared(spark, d, "train", "cal") as frame:
         table = models.fold_metrics(frame, models.boosted(SMALL_BOOST), S.PROJECTS)
         summary = models.fold_summary(table)
         table = shaping.with_row(table, "s", summary).select(*table.columns, "s.f2_mean", "s.f2_std")
         return spark.createDataFrame(table.collect(), table.schema)
-    finally:
-        frame.unpersist()
 
 
 @query
 def calibration_compare(spark, d):
     """Refit on train and val, calibrated on cal, saved, loaded, and compared per split."""
-    frame = _model_matrix(spark, d).persist()
-    try:
+    with _prepared(spark, d) as frame:
         path = scratch_dir(spark, "model")
         writers.save_model(models.refit("boosted", SMALL_BOOST, frame), path)
         scored = scoring.predict(readers.load_model(path), frame)
         winner, _, table = models.calibrate(scored)
         table = table.withColumn("winner", F.col("method") == winner)
         return spark.createDataFrame(table.collect(), table.schema)
-    finally:
-        frame.unpersist()
 
 
 @query
