@@ -1,17 +1,20 @@
 """Minority oversampling by interpolation between near minority rows.
 
-Neighbours are looked for along several fixed random projections: the rows are ranked on
-each axis (chunked running totals, no single-task sort) and a row is compared with those
-within `reach` ranks. The compared pairs are rows x axes x 2 reach whatever the data look
-like: no bucket or group is ever paired with itself. The nearest `k` of the compared rows
-are the exact neighbours whenever the class has at most `reach` + 1 rows, and approximate
-ones beyond; every minority row takes part and the classes end exactly equal.
+Nearest neighbours without pairing a group with itself: the rows are ranked on a few unit
+projections (chunked running totals, no single-task sort) and each row is first compared
+with the rows within `reach` ranks. Two rows are at least as far apart as their projections,
+so when the window's edge on some axis lies farther than the k-th distance found, the
+neighbours are proven exact. Only the unproven rows go on, on their best axis with a wider
+window, until all are proven; a row among many identical ones is proven at once. The work
+of a round is (unproven rows) x (window). `exact=False` stops after the first round.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,57 +24,120 @@ from sprintlens import params as P
 from sprintlens.functions import numeric as N
 from sprintlens.operators.ranking import running_totals
 from sprintlens.operators.shaping import with_row
+from sprintlens.session import scratch_dir
 
 
 def ranked_axes(rows: DataFrame, row_id: str, size: int, axes: int, seed: int) -> DataFrame:
-    """(axis, position, id, x): rank of every row on every projection, ties by id."""
+    """(axis, position, at, id, x): rank of every row on every unit projection, ties by id."""
     rng = random.Random(seed)
-    weights = [[rng.gauss(0.0, 1.0) for _ in range(size)] for _ in range(axes)]
-    projections = [
-        sum((F.col("x")[i] * w for i, w in enumerate(row)), F.lit(0.0)) for row in weights
-    ]
+    projections = []
+    for _ in range(axes):
+        row = [rng.gauss(0.0, 1.0) for _ in range(size)]
+        norm = math.sqrt(sum(w * w for w in row))
+        projections.append(sum((F.col("x")[i] * (w / norm) for i, w in enumerate(row)), F.lit(0.0)))
     long = rows.select(
         F.col(row_id).alias("id"), "x", F.posexplode(F.array(*projections)).alias("axis", "at")
     ).select("axis", F.struct("at", "id").alias("place"), "id", "x", F.lit(1).alias("n"))
     return running_totals(long, "place", ["n"], ["axis"]).select(
-        "axis", F.col("n_upto").alias("position"), "id", "x"
+        "axis", F.col("n_upto").alias("position"), F.col("place.at").alias("at"), "id", "x"
     )
 
 
-def near_rows(
-    rows: DataFrame, row_id: str, size: int, k: int = 5, axes: int = 4, reach: int = 8, seed: int = P.SEED
-) -> DataFrame:
-    """id, x, neighbours (array of the k nearest compared vectors, nearest first)."""
-    ranked = ranked_axes(rows, row_id, size, axes, seed)
-    reach = max(reach, k)  # the first and last rows of an axis have neighbours on one side only
-    offsets = [o for o in range(-reach, reach + 1) if o != 0]
-    asking = ranked.withColumn(
-        "position", F.explode(F.transform(F.array(*map(F.lit, offsets)), lambda o: F.col("position") + o))
+def _edges(asking: DataFrame, ranked: DataFrame, reach: int) -> DataFrame:
+    """Per row: its widest window (axis, edge). A side past the end of the axis has no edge."""
+    at = ranked.select("axis", "position", "at")
+    side = lambda sign: at.select(
+        "axis", (F.col("position") - sign * reach).alias("position"), F.col("at").alias(f"at{sign}")
     )
-    asked = ranked.select("axis", "position", F.col("id").alias("other"), F.col("x").alias("z"))
-    distance = F.aggregate(
-        F.zip_with("x", "z", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d
+    lookup = (
+        asking.select("id", "axis", "position", "at")
+        .join(side(1), ["axis", "position"], "left")
+        .join(side(-1), ["axis", "position"], "left")
     )
-    pairs = (
-        asking.join(asked, ["axis", "position"])
-        .withColumn("d", distance)
-        .dropDuplicates(["id", "other"])
+    open_end = F.lit(float("inf"))
+    edge = F.least(
+        F.coalesce(F.col("at1") - F.col("at"), open_end), F.coalesce(F.col("at") - F.col("at-1"), open_end)
     )
-    nearest = Window.partitionBy("id").orderBy("d", "other")
     return (
-        pairs.withColumn("rank", F.row_number().over(nearest))
-        .where(F.col("rank") <= k)
+        lookup.select("id", "axis", edge.alias("edge"))
+        .groupBy("id")
+        .agg(F.max("edge").alias("edge"), F.max_by("axis", "edge").alias("axis"))
+    )
+
+
+def _compare(asking: DataFrame, ranked: DataFrame, size: int, k: int, reach: int) -> DataFrame:
+    """id, x, the k nearest rows of the windows, the axis with the widest window, proven or not.
+
+    Windows are joined by blocks of an eighth of the reach: a row is copied to 17 blocks or
+    so, and the pairs of a block are cut to the k nearest before they are shuffled.
+    """
+    width = max(reach // 8, 1)
+    block = lambda position: F.floor((position - 1) / F.lit(width))
+    place = F.col("position")
+    copied = asking.select(
+        "axis", "id", "x", "position", F.explode(F.sequence(block(place - reach), block(place + reach))).alias("block")
+    )
+    asked = ranked.select(
+        "axis", block(place).alias("block"), place.alias("there"), F.col("id").alias("other"), F.col("x").alias("z")
+    )
+    step = F.abs(F.col("there") - F.col("position"))
+    gaps = [F.get("x", F.lit(i)) - F.get("z", F.lit(i)) for i in range(size)]
+    pairs = copied.join(asked, ["axis", "block"]).where((step <= reach) & (step > 0)).select(
+        "id", "axis", "x", "other", "z", sum((g * g for g in gaps), F.lit(0.0)).alias("d")
+    )
+
+    def nearest(df: DataFrame, *keys: str) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy("d", "other")
+        return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    best = (
+        nearest(nearest(pairs, "id", "axis").drop("rank").dropDuplicates(["id", "other"]), "id")
         .groupBy("id")
         .agg(
             F.first("x").alias("x"),
+            F.max("d").alias("d"),
             F.array_sort(F.collect_list(F.struct("rank", "other", "z"))).alias("neighbours"),
         )
     )
+    enough = (F.size("neighbours") == k) | (F.col("edge") == float("inf"))
+    return best.join(_edges(asking, ranked, reach), "id").select(
+        "id", "x", "neighbours", "axis", (enough & (F.col("edge") >= F.sqrt("d") * (1 + 1e-9))).alias("proven")
+    )
+
+
+def near_rows(
+    rows: DataFrame, row_id: str, size: int, k: int = 5, axes: int = 4, reach: int = 8, seed: int = P.SEED,
+    exact: bool = True,
+) -> DataFrame:
+    """id, x, neighbours (array of the k nearest vectors, nearest first).
+
+    Rounds are written to the shared scratch folder, so each one starts from a table.
+    """
+    spark = rows.sparkSession
+    reach = max(reach, k)  # the first and last rows of an axis have neighbours on one side only
+    ranked = ranked_axes(rows, row_id, size, axes, seed)
+    columns = ("id", "x", "neighbours")
+    if not exact:
+        return _compare(ranked, ranked, size, k, reach).select(*columns)
+    base = scratch_dir(spark, "neighbours")
+    ranked.write.parquet(f"{base}/ranked")
+    ranked = asking = spark.read.parquet(f"{base}/ranked")
+    rounds = []
+    while True:
+        path = f"{base}/round={len(rounds)}"
+        _compare(asking, ranked, size, k, reach).write.parquet(path)
+        done = spark.read.parquet(path)
+        rounds.append(done.where("proven").select(*columns))
+        rest = done.where(~F.col("proven")).select("id", "axis")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, rounds)
+        asking = ranked.join(rest, ["id", "axis"])
+        reach *= 4
 
 
 def smote(
     df: DataFrame, features: Sequence[str], label: str = P.LABEL, row_id: str = "sprint_id", k: int = 5,
-    axes: int = 4, reach: int = 8,
+    axes: int = 4, reach: int = 8, exact: bool = True,
 ) -> DataFrame:
     """Original rows plus synthetic minority rows: id, label, features, `synthetic` flag."""
     plain = df.select(
@@ -88,7 +154,7 @@ def smote(
     small = with_row(plain, "__c", counts).where(F.col(label) == F.col("__c.minority")).select(
         row_id, F.array(*features).alias("x")
     )
-    found = near_rows(small, row_id, len(features), k, axes, reach)
+    found = near_rows(small, row_id, len(features), k, axes, reach, exact=exact)
 
     # Row i of m gets floor(gap / m) copies, the first gap mod m rows one more.
     gap, have = F.col("__c.gap"), F.col("__c.have")

@@ -73,16 +73,18 @@ def test_impute_and_scale(spark):
 
 def points(spark, minority=9, majority=31):
     rng = np.random.default_rng(3)
-    rows = [(f"m{i:02d}", 0.0, *map(float, rng.normal(size=3))) for i in range(minority)]
+    rows = [(f"m{i:03d}", 0.0, *map(float, rng.normal(size=3))) for i in range(minority)]
     rows += [(f"M{i:02d}", 1.0, *map(float, rng.normal(2, 1, size=3))) for i in range(majority)]
     return spark.createDataFrame(rows, "i string, y double, a double, b double, c double"), rows
 
 
-def test_neighbours_equal_brute_force_when_in_reach(spark, many_chunks):
-    df, rows = points(spark)
+def test_neighbours_equal_brute_force(spark, many_chunks):
+    """A window of 5 ranks among 120 rows cannot hold all neighbours: later rounds must find them."""
+    df, rows = points(spark, minority=120, majority=1)
     small = df.where("y = 0").select("i", F.array("a", "b", "c").alias("x"))
-    got = {r["id"]: [n["other"] for n in r["neighbours"]] for r in oversample.near_rows(small, "i", 3).collect()}
+    got = {r["id"]: [n["other"] for n in r["neighbours"]] for r in oversample.near_rows(small, "i", 3, reach=5).collect()}
     vectors = {r[0]: np.array(r[2:]) for r in rows if r[1] == 0}
+    assert len(got) == 120
     for i, v in vectors.items():
         want = sorted((o for o in vectors if o != i), key=lambda o: (np.sum((vectors[o] - v) ** 2), o))[:5]
         assert got[i] == want
