@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprintlens.llm import chat_snapshots, line_spread, pareto_mix, sp_codec, token_store
+from sprintlens.llm import (
+    chat_snapshots,
+    cover_tree,
+    flat_graph,
+    line_spread,
+    pareto_mix,
+    pu_quality,
+    sp_codec,
+    subword_langid,
+    token_store,
+)
 from sprintlens.llm.common import table
 from sprintlens.session import scratch_dir
 
@@ -17,12 +27,24 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+def op3_flat_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return flat_graph.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
+
+
 def op4_token_store(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
     token_store.write_tokens(table(spark, folder, "documents"), path, tokenizer_file("word_bpe_49k.json"))
     return token_store.document_table(spark, path)
 
 
+def op5_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return pu_quality.train_and_score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     coded = sp_codec.encode_decode(docs, tokenizer_file("piece_bpe_32k.model"), keep=("doc_id",))
@@ -40,6 +62,10 @@ def op7_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_subword_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return subword_langid.train_and_identify(table(spark, folder, "documents"))
+
+
 def op9_chat_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return chat_snapshots.format_chats(table(spark, folder, "conversations"))
 
@@ -50,9 +76,13 @@ def op10_line_spread(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_cover_tree": op2_cover_tree,
+    "op3_flat_graph": op3_flat_graph,
     "op4_token_store": op4_token_store,
+    "op5_pu_quality": op5_pu_quality,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_pareto_mix": op7_pareto_mix,
+    "op8_subword_langid": op8_subword_langid,
     "op9_chat_snapshots": op9_chat_snapshots,
     "op10_line_spread": op10_line_spread,
 }

@@ -65,7 +65,7 @@ def spread(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(begin - (ends - length), length)
 
 
-def pieces_of(batch: pa.RecordBatch, most_bytes: int = 4 << 20, column: int = 0):
+def pieces_of(batch: pa.RecordBatch, most_bytes: int = 4 << 20, column: int = 0, most_rows: int = 1 << 20):
     """A batch in slices of about so many bytes of text (a longer text is a slice of its own)."""
     text = batch.column(column)
     if not batch.num_rows:
@@ -74,7 +74,7 @@ def pieces_of(batch: pa.RecordBatch, most_bytes: int = 4 << 20, column: int = 0)
     start = 0
     while start < batch.num_rows:
         done = size[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(size, done + most_bytes, "right")))
+        end = min(start + most_rows, max(start + 1, int(np.searchsorted(size, done + most_bytes, "right"))))
         yield batch.slice(start, end - start)
         start = end
 
