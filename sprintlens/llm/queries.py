@@ -10,6 +10,7 @@ from sprintlens.llm import (
     cover_tree,
     flat_graph,
     line_spread,
+    ngram_join,
     pareto_mix,
     pu_quality,
     sp_codec,
@@ -27,6 +28,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, folder, "documents"))
+
+
 def op2_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
     return cover_tree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
@@ -76,6 +81,7 @@ def op10_line_spread(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_cover_tree": op2_cover_tree,
     "op3_flat_graph": op3_flat_graph,
     "op4_token_store": op4_token_store,
