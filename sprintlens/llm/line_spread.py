@@ -90,3 +90,10 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
         F.coalesce(F.size(F.filter(parts, lambda x: F.btrim(x, F.lit(BLANKS)) != "")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_cut"), F.lit(0)).cast("long").alias("n_removed"),
     )
+
+
+def cleaned_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents with their own columns; n_chars, where there is one, counts what is left."""
+    clean = dedup_lines(docs, **options)
+    columns = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    return clean.select(*columns)
