@@ -50,7 +50,9 @@ WIDTH = 5
 COMMON = 32
 #: Left sets of a verification block, about.
 BLOCK_SETS = 256
-SLICE_BYTES = 12 << 20
+#: Texts are hashed in small slices, and indexed in larger ones.
+HASH_BYTES = 2 << 20
+SLICE_BYTES = 8 << 20
 #: Bands whose sizes stay below this take every shingle as a segment.
 SINGLE = 64
 U = np.uint64
@@ -86,6 +88,12 @@ def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.nd
     return x[once], np.bincount(owner[once], minlength=t.n)
 
 
+def slice_sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """shingle_sets of a batch's first column, hashed piece by piece."""
+    found = [shingle_sets(piece.column(0)) for piece in pieces_of(part, HASH_BYTES)]
+    return np.concatenate([x for x, _ in found]), np.concatenate([c for _, c in found])
+
+
 def run_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else np.zeros(0, U)
 
@@ -165,7 +173,7 @@ def _index(buckets: int, common: int):
         seen: set[int] = set()
         for batch in batches:
             for part in pieces_of(batch, SLICE_BYTES, most_rows=30_000):
-                x, counts = shingle_sets(part.column(0))
+                x, counts = slice_sets(part)
                 ids = set_ids(x, counts)
                 keep = counts > 0
                 keep[np.setdiff1d(np.arange(len(ids)), np.unique(ids, return_index=True)[1])] = False
@@ -291,7 +299,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: doc_id, set_id, n and the non-empty segments in its own band and the next."""
     for batch in batches:
         for part in pieces_of(batch, SLICE_BYTES, most_rows=30_000):
-            x, counts = shingle_sets(part.column(0))
+            x, counts = slice_sets(part)
             used = []
             for which in (0, 1):
                 use = (counts > 0) & (reaches_on(counts) if which else True)
@@ -307,7 +315,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in pieces_of(batch, SLICE_BYTES, most_rows=30_000):
-            x, counts = shingle_sets(part.column(0))
+            x, counts = slice_sets(part)
             raw, bounds = x.tobytes(), np.concatenate([[0], np.cumsum(counts)]) * 8
             blobs = [raw[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(set_ids(x, counts)), pa.array(blobs, pa.binary())], ["set_id", "shingles"])
