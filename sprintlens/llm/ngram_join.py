@@ -15,9 +15,10 @@ Allocation by cost, cheapest first:
 2. Sets left incomplete (members of large families, sets made of common passages) compare
    shared subsets in stars. Where all sharing sets are then one component, nothing is left to
    find and the subset is free.
-3. Sets still incomplete use one-deletion neighbourhoods, again with stars, and then buy the
-   subsets with the fewest other components until their value is H + 1; all sharing sets of
-   other components are compared.
+3. Sets still incomplete use one-deletion neighbourhoods, again with stars and free ones.
+4. Sets that even so fall short buy subsets in the order of their cost (number of components
+   that share them, the same for every set) until their value is H + 1; sets of different
+   components that bought the same subset are compared.
 Candidates are verified by exact intersection. Equal sets are one set throughout.
 
 Work per task is bounded: signatures travel in packed blocks by hash bucket (as many as
@@ -441,6 +442,14 @@ def _bound(n, which):
     return F.floor((n + F.when(which == 0, F.least(largest, hi - 1)).otherwise(largest)) / 7)
 
 
+def _costly(groups: DataFrame, known: DataFrame) -> DataFrame:
+    """Entries of signatures whose sets are in several components, with component and cost."""
+    placed = groups.select("sig", "id", "n", "which", "seg", "value").join(known, F.col("id") == F.col("node"), "left")
+    placed = placed.withColumn("component", F.coalesce("component", "id")).drop("node")
+    many = placed.groupBy("sig").agg(F.count_distinct("component").alias("cost")).filter("cost > 1")
+    return placed.join(many, "sig")
+
+
 def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     spark = docs.sparkSession
@@ -478,39 +487,44 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
     sets = written(chosen.select("text").mapInArrow(_sets, "set_id long, shingles binary").dropDuplicates(["set_id"]), "ngram-sets")
     links = [verified(candidates, sets)]
 
+    exact = None
     for deletions in (False, True):
         if incomplete.isEmpty():
             break
         left = incomplete.join(sets, "set_id").select("set_id", F.col("which").cast("int"), "shingles")
         grouped = left.mapInArrow(_incomplete_index(buckets, deletions), "bucket int, sig binary, entry binary").groupBy("bucket").applyInArrow(_groups, GROUPS)
         grouped = written(grouped, "ngram-groups")
+        exact = grouped if exact is None else exact
         stars = grouped.filter((F.col("id") != F.col("rep")) & _similar_sizes("n", "rep_n")).select(F.col("id").alias("a"), F.col("rep").alias("b"))
         links.append(verified(stars, sets))
         known = written(components(_all(links), "a", "b"), "ngram-known")
-        grouped = written(
-            grouped.join(known, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node"), "ngram-grouped"
-        )
-        many = grouped.groupBy("sig").agg(F.count_distinct("component").alias("c")).filter("c > 1")
-        costly = written(grouped.join(many, "sig"), "ngram-costly")
-        per_segment = costly.groupBy("id", "which", "seg").agg(F.max("value").alias("value"), F.sum(F.col("c") - 1).alias("cost"))
+        paid = _costly(grouped, known).groupBy("id", "which", "seg").agg(F.max("value").alias("value")).groupBy("id", "which").agg(F.sum("value").alias("paid"))
         worth = left.mapInArrow(_worth(deletions), "id long, which int, n long, worth long")
-        paid = per_segment.groupBy("id", "which").agg(F.sum("value").alias("paid"))
-        state2 = worth.join(paid, ["id", "which"], "left").withColumn("short", _bound(F.col("n"), F.col("which")) + 1 - F.col("worth") + F.coalesce("paid", F.lit(0)))
-        open_sets = written(state2.filter("short > 0").select("id", "which", "short"), "ngram-open")
-        if not deletions:
-            incomplete = written(incomplete.join(open_sets.select(F.col("id").alias("set_id"), "which"), ["set_id", "which"], "left_semi"), "ngram-incomplete")
-            continue
-        order = Window.partitionBy("id", "which").orderBy("cost", "seg").rowsBetween(Window.unboundedPreceding, -1)
-        bought = (
-            per_segment.join(open_sets, ["id", "which"])
-            .withColumn("before", F.coalesce(F.sum("value").over(order), F.lit(0)))
-            .filter("before < short")
-            .select("id", "which", "seg")
+        short = _bound(F.col("n"), F.col("which")) + 1 - F.col("worth") + F.coalesce("paid", F.lit(0))
+        still = worth.join(paid, ["id", "which"], "left").filter(short > 0).select(F.col("id").alias("set_id"), "which")
+        incomplete = written(incomplete.join(still, ["set_id", "which"], "left_semi"), "ngram-incomplete")
+    if not incomplete.isEmpty():
+        # the order of subsets by cost is the same for all sets, so of two similar sets both buy
+        # the first subset that they share
+        left = incomplete.join(sets, "set_id").select("set_id", F.col("which").cast("int"), "shingles")
+        worth = left.mapInArrow(_worth(False), "id long, which int, n long, worth long")
+        costly = written(_costly(exact.join(incomplete.select(F.col("set_id").alias("id"), "which"), ["id", "which"], "left_semi"), known), "ngram-costly")
+        order = Window.partitionBy("id", "which").orderBy("cost", "sig")
+        bought = written(
+            costly.withColumn("rank", F.row_number().over(order))
+            .withColumn("all", F.count(F.lit(1)).over(Window.partitionBy("id", "which")))
+            .join(worth.select("id", "which", "worth"), ["id", "which"])
+            .filter(F.col("rank") <= _bound(F.col("n"), F.col("which")) + 1 - F.col("worth") + F.col("all"))
+            .select("sig", "id", "n", "component"),
+            "ngram-bought",
         )
-        mine = costly.join(bought, ["id", "which", "seg"]).select("sig", F.col("id").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
-        others = costly.select("sig", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
-        rest = mine.join(others, "sig").filter((F.col("ac") != F.col("bc")) & _similar_sizes("an", "bn"))
-        links.append(verified(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets))
+        # subsets bought by the same sets give the same pairs: one of them is enough
+        buyers = bought.groupBy("sig").agg(F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id") % (1 << 20)).alias("sum"))
+        bought = bought.join(buyers.groupBy("who", "sum").agg(F.min("sig").alias("sig")).select("sig"), "sig", "left_semi")
+        mine = bought.select("sig", F.col("id").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
+        others = bought.select("sig", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
+        rest = mine.join(others, "sig").filter((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _similar_sizes("an", "bn"))
+        links.append(verified(rest.select("a", "b"), sets))
 
     joined = components(_all(links), "a", "b")
     labelled = written(
