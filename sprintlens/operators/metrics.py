@@ -228,14 +228,27 @@ def threshold_report(
 # -- calibration view -------------------------------------------------------------
 
 
+def _exact_mean(score: Column, digits: int | None) -> Column:
+    if digits is None:
+        return F.avg(score)
+    unit, n = 10**digits, F.count(F.lit(1))
+    units = F.sum(F.round(score * unit).cast("bigint"))
+    return F.floor((2 * units + n).cast("decimal(38,0)") / (2 * n)).cast("double") / unit
+
+
 def reliability_curve(
-    df: DataFrame, label: str = P.LABEL, score: str = "p", bins: int = 10, by: Sequence[str] = ()
+    df: DataFrame, label: str = P.LABEL, score: str = "p", bins: int = 10, by: Sequence[str] = (),
+    digits: int | None = None,
 ) -> DataFrame:
-    """Mean score and observed rate per uniform bin, bins closed on the right, empty ones absent."""
+    """Mean score and observed rate per uniform bin, bins closed on the right, empty ones absent.
+
+    digits: scores have so many decimals; their mean is rounded half up to as many in whole
+    numbers, so that neither the order of rows nor binary fractions decide a tie.
+    """
     edges = [i / bins for i in range(1, bins)]
     bin_no = sum((F.when(F.col(score) > e, 1).otherwise(0) for e in edges), F.lit(0))
     return df.groupBy(*by, bin_no.alias("bin")).agg(
-        F.avg(score).alias("prob_predicha_media"),
+        _exact_mean(F.col(score), digits).alias("prob_predicha_media"),
         F.avg(F.col(label).cast("double")).alias("frecuencia_real"),
         F.count(F.lit(1)).alias("n"),
     )

@@ -439,7 +439,7 @@ def class_weights(spark, d):
 @query
 def impute_scale(spark, d):
     train = S.matrix(spark, d).where(split_is("train"))
-    names = [f for f in P.FEATURES if f not in ("sprint_month_sin", "sprint_month_cos")]
+    names = list(P.FEATURES)
     return S.shown(features.impute_and_scale(train, names, ["sprint_id"]))
 
 
@@ -537,7 +537,7 @@ def threshold_report(spark, d):
 
 @query
 def reliability_curve(spark, d):
-    return S.shown(metrics.reliability_curve(S.scored(spark, d), by=["split"]))
+    return S.shown(metrics.reliability_curve(S.scored(spark, d), by=["split"], digits=6))
 
 
 @query
@@ -755,7 +755,7 @@ def score_histogram(spark, d):
 
 @query
 def bug_sensitivity(spark, d):
-    inputs = what_if_inputs(spark, d).where(F.col("year") == 2001)
+    inputs = what_if_inputs(spark, d)
     return S.shown(
         risk.bug_sensitivity(inputs, lambda df: scoring.closed_form_score(df, S.INTERCEPT), ["sprint_id"])
     )

@@ -129,7 +129,7 @@ part("modules", """
   CAST(p_size AS DOUBLE) AS wmc, CAST(p_size % 7 AS DOUBLE) AS dit, CAST(p_partkey % 30 AS DOUBLE) AS cbo,
   p_retailprice / 100 AS rfc, p_retailprice AS lcom, CAST(p_size * 20 AS DOUBLE) AS loc,
   CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE greatest(p_size % 4 - 1, 0) END AS bug
- FROM part WHERE p_size <= 10""")
+ FROM part""")
 
 part("flagged", r"""
  SELECT *, regexp_extract(basename, '^(.+?)-\d', 1) AS project, regexp_extract(basename, '-(\d[\d\.]*)$', 1) AS version,
@@ -394,7 +394,7 @@ def what_if(bsr: str, missing: str, cycle_missing: str, deploy: str, cfr: str, d
 
 
 def impute_scale_sql() -> str:
-    names = [f for f in P.FEATURES if f not in ("sprint_month_sin", "sprint_month_cos")]
+    names = list(P.FEATURES)
     medians = ", ".join(f"median(CAST({f} AS DOUBLE)) AS d_{f}" for f in names)
     filled = ", ".join(f"coalesce(CAST({f} AS DOUBLE), d_{f}, 0) AS {f}" for f in names)
     scaled = ", ".join(r(f"coalesce((x.{f} - m_{f}) / nullif(s_{f}, 0), 0)", f) for f in names)
@@ -424,7 +424,7 @@ def sensitivity_sql() -> str:
         f" + 0.55e0 * (ln(1e0 + {total}) - 2.5e0) + 0.35e0 * CAST(coalesce(cycle, 0) = 0 AS INTEGER)"
     )
     return build(
-        f"SELECT sprint_id, CAST(b AS INTEGER) AS bugs, {r(f'1e0 / (1e0 + exp(-({logit})))', 'p')} FROM inputs, range(21) g(b) WHERE yr = 2001", "inputs"
+        f"SELECT sprint_id, CAST(b AS INTEGER) AS bugs, {r(f'1e0 / (1e0 + exp(-({logit})))', 'p')} FROM inputs, range(21) g(b)", "inputs"
     )
 
 
@@ -549,7 +549,7 @@ def oracle_sql() -> dict[str, str]:
         "threshold_best": build(f"SELECT split, threshold_f2, {r('f2_max', 'f2_max')}, threshold_value, CAST(value_max AS BIGINT) AS value_max FROM best", "best"),
         "threshold_report": build(" UNION ALL ".join(
             f"SELECT split, {suite_columns()}, '{rule}' AS rule FROM {suite('scored', ['split'], f'(SELECT threshold_{rule} FROM best WHERE split = {chr(39)}val{chr(39)})', where='split IN (' + names_in(('val', 'test')) + ')')}" for rule in ("f2", "value")), "scored", "best"),
-        "reliability_curve": build(f"SELECT split, CAST({' + '.join(f'CAST(p > {lit(i / 10)} AS INTEGER)' for i in range(1, 10))} AS INTEGER) AS bin, {r('avg(p)', 'prob_predicha_media')}, {r('avg(y)', 'frecuencia_real')}, count(*) AS n FROM scored GROUP BY 1, 2", "scored"),
+        "reliability_curve": build(f"SELECT split, CAST({' + '.join(f'CAST(p > {lit(i / 10)} AS INTEGER)' for i in range(1, 10))} AS INTEGER) AS bin, CAST((2 * sum(CAST(round(p * 1e6) AS BIGINT)) + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS prob_predicha_media, {r('avg(y)', 'frecuencia_real')}, count(*) AS n FROM scored GROUP BY 1, 2", "scored"),
         "bootstrap_ci": build(f"SELECT metric, {r('ci_lo', 'ci_lo')}, {r('ci_hi', 'ci_hi')} FROM intervals", "intervals"),
         "mcnemar": build(f"""SELECT sprint_year, a_right_b_wrong, a_wrong_b_right, {r('statistic', 'statistic')}, {r('pv', 'p_value')}, pv < 0.05 AS significant FROM (
  SELECT *, CASE WHEN a_right_b_wrong + a_wrong_b_right = 0 THEN 1e0 ELSE {chi2_tail('statistic')} END AS pv FROM (

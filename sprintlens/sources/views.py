@@ -34,8 +34,8 @@ def issues(spark: SparkSession, folder: str, parts: int = 500) -> DataFrame:
     )
 
 
-def modules(spark: SparkSession, folder: str, largest: int = 10) -> DataFrame:
-    part = table(spark, folder, "part").where(F.col("p_size") <= largest)
+def modules(spark: SparkSession, folder: str) -> DataFrame:
+    part = table(spark, folder, "part")
     key, size = F.col("p_partkey"), F.col("p_size")
     return part.select(
         F.concat(F.lit("c"), (key % 500).cast("string"), F.lit("-1."), (key % 7).cast("string")).alias("basename"),

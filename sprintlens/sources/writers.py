@@ -40,12 +40,12 @@ def write_feature_table(df: DataFrame, path: str, tasks: int | None = None) -> N
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """Aggregated table as CSV with header (one file; reports are small by nature)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Aggregated table as CSV with header (one file; its rows move to the writing task, the work before them does not)."""
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_summary(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)
 
 
 def metrics_long(df: DataFrame, run_id: str, role: str) -> DataFrame:
