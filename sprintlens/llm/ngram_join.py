@@ -179,7 +179,7 @@ def _index(buckets: int, common: int):
                 keep = counts > 0
                 keep[np.setdiff1d(np.arange(len(ids)), np.unique(ids, return_index=True)[1])] = False
                 keep &= np.array([i not in seen for i in ids.tolist()], bool)
-                if len(seen) > 1_000_000:  # copies that are not remembered only cost time
+                if len(seen) > 200_000:  # copies that are not remembered only cost time
                     seen.clear()
                 seen.update(ids[keep].tolist())
                 x, counts = _take(x, counts, keep)

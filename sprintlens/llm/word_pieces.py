@@ -13,7 +13,7 @@ import pyarrow as pa
 class ChunkEncoder:
     """encode: list of distinct chunks -> list of id lists. Remembers up to `keep` chunks."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], keep: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], keep: int = 150_000):
         self.encode, self.keep, self._forget = encode, keep, True
         self._reset()
 
