@@ -59,7 +59,7 @@ class Tree:
         while at < len(nodes):
             center, start, end, _, _ = nodes[at]
             if end - start > leaf:
-                rows = place[start:end]
+                rows = place[start:end].copy()
                 side, centers = self._net(x[rows], int(np.flatnonzero(rows == center)[0]))
                 if len(centers) > 1:
                     by = np.argsort(side, kind="stable")
