@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sprintlens import params as P
 from sprintlens.operators.features import to_long
 from sprintlens.operators.metrics import with_cell
-from sprintlens.operators.ranking import exact_percentiles
+from sprintlens.operators.ranking import exact_percentiles, running_totals
 from sprintlens.operators.shaping import with_row
 
 
@@ -26,12 +26,13 @@ def linear_contributions(
 
 
 def sampled_contributions(
-    model, df: DataFrame, features: Sequence[str], row_id: str, rounds: int = 8, background: int = 100,
-    seed: int = P.SEED,
+    model, df: DataFrame, features: Sequence[str], row_id: str, rounds: int = 8,
+    background: DataFrame | None = None, seed: int = P.SEED,
 ) -> DataFrame:
     """Shapley values by sampled feature orders (any model): id, feature, contribution, std_error.
 
-    Each row is explained in `rounds` orders against a drawn background row. For every order
+    Each row is explained in `rounds` orders, each against a row drawn by position from all rows
+    of `background` (by default the explained rows). For every order
     the model scores the mixed rows with 0, 1, .. features switched on; a score counts
     positively for the feature just switched on and negatively for the next, so the sum per
     feature needs no ordering of the scores. Contributions of a row add up to its score
@@ -40,16 +41,17 @@ def sampled_contributions(
     size = len(features)
     x = F.array(*[F.col(f).cast("double") for f in features])
     ident = F.col(row_id).cast("string")
-    pool = (
-        df.select(F.xxhash64(F.lit(seed), ident).alias("h"), ident.alias("i"), x.alias("z"))
-        .orderBy("h", "i")
-        .limit(background)
-        .agg(F.array_sort(F.collect_list(F.struct("h", "i", "z"))))
-        .scalar()
+    rows = (
+        (df if background is None else background)
+        .where(ident.isNotNull())
+        .groupBy(ident.alias("i"))
+        .agg(F.min(x).alias("z"), F.lit(1).cast("bigint").alias("n"))
+    )
+    pool = running_totals(rows, "i", ["n"]).select((F.col("n_upto") - 1).alias("at"), "z")
+    drawn = with_row(df, "pool", rows.agg(F.count(F.lit(1)).alias("n"))).select(
+        ident.alias("id"), x.alias("x"), F.col("pool.n").alias("pool_size"),
+        F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"),
     )
-    drawn = df.select(
-        ident.alias("id"), x.alias("x"), F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round")
-    ).withColumn("pool", pool)
     order = F.transform(
         F.array_sort(
             F.transform(
@@ -59,21 +61,19 @@ def sampled_contributions(
         ),
         lambda e: e["k"],
     )
-    draw = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id"), F.col("round")), F.size("pool").cast("bigint"))
-    ordered = drawn.select(
-        "id", "round", "x", F.get("pool", draw.cast("int"))["z"].alias("z"), order.alias("order")
-    )
+    draw = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id"), F.col("round")), F.nullif("pool_size", F.lit(0)))
+    ordered = drawn.select("id", "round", "x", draw.alias("at"), order.alias("order")).join(pool, "at")
     steps = ordered.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(size))))
-    on = F.array(
-        *[
-            F.when(F.array_position("order", F.lit(k)) <= F.col("step"), F.col("x")[k]).otherwise(F.col("z")[k])
-            for k in range(size)
-        ]
-    )
-    estimator = model.stages[-1] if hasattr(model, "stages") else model
-    scored = estimator.transform(
-        steps.select("id", "round", "order", "step", array_to_vector(on).alias("features"))
-    ).withColumn("p", vector_to_array(F.col("probability"))[1])
+    on = [
+        F.when(F.array_position("order", F.lit(k)) <= F.col("step"), F.col("x")[k]).otherwise(F.col("z")[k])
+        for k in range(size)
+    ]
+    keep = ("id", "round", "order", "step")
+    if hasattr(model, "stages"):  # imputation, scaling and assembly belong to the model
+        mixed = steps.select(*keep, *[c.alias(f) for c, f in zip(on, features)])
+    else:
+        mixed = steps.select(*keep, array_to_vector(F.array(*on)).alias("features"))
+    scored = model.transform(mixed).select(*keep, vector_to_array(F.col("probability"))[1].alias("p"))
     signed = F.array(
         F.struct(F.get("order", F.col("step") - 1).alias("k"), F.col("p").alias("d")),
         F.struct(F.get("order", F.col("step")).alias("k"), (-F.col("p")).alias("d")),

@@ -48,17 +48,15 @@ def model_frame(matrix: DataFrame, features: Sequence[str] = P.FEATURES, label:
     )
 
 
-ROWS_PER_TASK = 100_000
+def packed(df: DataFrame, *keys: str) -> DataFrame:
+    """Persisted rows in `spark.sql.shuffle.partitions` partitions, for the many jobs of a fit.
 
-
-def packed(df: DataFrame) -> DataFrame:
-    """Persisted rows in tasks of a useful size for iterative fits.
-
-    Fitting runs hundreds of short jobs over the same rows; on a small table scattered over
-    many files they would cost only scheduling. Large tables keep their partitions.
+    Tree learners draw their bags per partition: with the row id as key, rows are placed by
+    that id and the session's setting, not by files or the number of rows. The caller releases
+    the frame.
     """
-    kept = df.persist()
-    return kept.coalesce(max(1, math.ceil(kept.count() / ROWS_PER_TASK)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys).persist()
 
 
 def preparation(features: Sequence[str] = P.FEATURES) -> Pipeline:
@@ -214,18 +212,19 @@ def logistic_trials(
         rows = smote(train, features, label, row_id) if enlarged else train
         prepared = preparation(features).fit(rows)
         vectors = add_balanced_weight(prepared.transform(rows).select(label, "features"), label)
-        sources[enlarged] = (prepared, vectors, packed(vectors), vectors.count())
+        kept = packed(vectors)
+        sources[enlarged] = (prepared, kept, kept.count())
 
     def fit(p: dict):
-        prepared, _, rows, size = sources[p["smote"]]
+        prepared, rows, size = sources[p["smote"]]
         fitted = logistic(p["C"], p["penalty"], size, label).fit(rows)
         return PipelineModel(stages=[*prepared.stages, fitted])
 
     try:
         return run_trials("logistic", grid, fit, val, label, parallelism=8)
     finally:
-        for _, vectors, *_ in sources.values():
-            vectors.unpersist()
+        for _, kept, _ in sources.values():
+            kept.unpersist()
 
 
 # -- tree studies -------------------------------------------------------------------
@@ -234,9 +233,9 @@ def logistic_trials(
 def boosted_space(rng: random.Random) -> dict:
     """Level-wise boosting: rounds, depth, step, row share, feature share, leaf size, gain, weight."""
     return {
-        "maxIter": rng.randint(10, 60),
-        "maxDepth": rng.randint(3, 7),
-        "stepSize": round(math.exp(rng.uniform(math.log(0.02), math.log(0.3))), 4),
+        "maxIter": rng.randint(100, 1000),
+        "maxDepth": rng.randint(3, 9),
+        "stepSize": round(math.exp(rng.uniform(math.log(0.005), math.log(0.3))), 4),
         "subsamplingRate": round(rng.uniform(0.5, 1.0), 3),
         "featureSubsetStrategy": str(round(rng.uniform(0.4, 1.0), 3)),
         "minInstancesPerNode": rng.randint(1, 20),
@@ -248,11 +247,11 @@ def boosted_space(rng: random.Random) -> dict:
 def forest_space(rng: random.Random) -> dict:
     """Challenger family; leaf-wise boosting has no counterpart in pyspark.ml."""
     return {
-        "numTrees": rng.randint(20, 100),
-        "maxDepth": rng.randint(4, 10),
+        "numTrees": rng.randint(100, 1000),
+        "maxDepth": rng.randint(3, 9),
         "subsamplingRate": round(rng.uniform(0.5, 1.0), 3),
         "featureSubsetStrategy": str(round(rng.uniform(0.4, 1.0), 3)),
-        "minInstancesPerNode": rng.randint(1, 20),
+        "minInstancesPerNode": rng.randint(5, 100),
     }
 
 

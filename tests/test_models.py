@@ -128,7 +128,8 @@ def test_champion_report(matrix):
 def test_sampled_contributions_add_up(spark, matrix):
     model = models.boosted({"maxIter": 3, "maxDepth": 3})(part(matrix, "train"))
     probe = part(matrix, "test").limit(20)
-    table = explain.sampled_contributions(model, probe, P.FEATURES, "sprint_id", rounds=4, background=1)
+    table = explain.sampled_contributions(model, probe, P.FEATURES, "sprint_id", rounds=4,
+        background=probe.orderBy("sprint_id").limit(1))
     sums = {r["sprint_id"]: r["s"] for r in table.groupBy("sprint_id").agg(F.sum("contribution").alias("s")).collect()}
     p = {r["sprint_id"]: r["p"] for r in scoring.predict(model, probe).collect()}
     gaps = {round(p[i] - sums[i], 9) for i in p}
@@ -201,3 +202,17 @@ def test_closed_form_terms_sum_to_the_logit(spark):
     assert p == pytest.approx(1 / (1 + np.exp(-(total - 1.9))))
     logit = -1.9 + 1.05 * (2 - 3) + 1.25 * (4 / 3 - 0.3) + 0.55 * (np.log1p(7) - 2.5) + 0.25 * 0.03 * np.log1p(3)
     assert p == pytest.approx(1 / (1 + np.exp(-logit)))
+
+
+def test_contributions_of_a_pipeline_with_preparation(spark, matrix):
+    _, fitted = models.logistic_trials(
+        part(matrix, "train"), part(matrix, "val"), [{"C": 0.1, "penalty": "l2", "smote": False}]
+    )
+    model = next(iter(fitted.values()))
+    probe = part(matrix, "test").orderBy("sprint_id").limit(10)
+    base = probe.limit(1)
+    table = explain.sampled_contributions(model, probe, P.FEATURES, "sprint_id", rounds=2, background=base)
+    sums = {r["sprint_id"]: r["s"] for r in table.groupBy("sprint_id").agg(F.sum("contribution").alias("s")).collect()}
+    p = {r["sprint_id"]: r["p"] for r in scoring.predict(model, probe).collect()}
+    start = scoring.predict(model, base).first()["p"]
+    assert all(abs(p[i] - start - sums[i]) < 1e-9 for i in p)
