@@ -25,17 +25,21 @@ def _small_star(links: DataFrame) -> DataFrame:
     return kept.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 
+def _is_stars(links: DataFrame) -> bool:
+    """Whether every node has one link down, or only links from above: then nothing is left to do."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    per_node = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return per_node.filter("down + up > 1 AND down > 0").isEmpty()
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) of every linked node; component is the smallest node reachable."""
-    stars = written(links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v").distinct(), "links")
-    sign = lambda df: df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    before = None
-    while True:
+    ends = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).filter("a <> b")
+    stars = written(ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    while not _is_stars(stars):
         stars = written(_small_star(_large_star(stars)), "stars")
-        now = sign(stars)
-        if now == before:
-            break
-        before = now
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
