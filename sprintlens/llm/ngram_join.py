@@ -18,7 +18,8 @@ Allocation by cost, cheapest first:
 3. Sets still incomplete use one-deletion neighbourhoods, again with stars and free ones.
 4. Sets that even so fall short buy subsets in the order of their cost (number of components
    that share them, the same for every set) until their value is H + 1; sets of different
-   components that bought the same subset are compared.
+   components that bought the same subset are compared where, from there on, both have as many
+   subsets left as a pair of their sizes must share.
 Candidates are verified by exact intersection. Equal sets are one set throughout.
 
 Work per task is bounded: signatures travel in packed blocks by hash bucket (as many as
@@ -515,16 +516,20 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
             .withColumn("all", F.count(F.lit(1)).over(Window.partitionBy("id", "which")))
             .join(worth.select("id", "which", "worth"), ["id", "which"])
             .filter(F.col("rank") <= _bound(F.col("n"), F.col("which")) + 1 - F.col("worth") + F.col("all"))
-            .select("sig", "id", "n", "component"),
+            .select("sig", "cost", "id", "n", "component", "worth", (F.col("all") - F.col("rank") + 1).alias("ahead")),
             "ngram-bought",
         )
-        # subsets bought by the same sets give the same pairs: one of them is enough
-        buyers = bought.groupBy("sig").agg(F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id") % (1 << 20)).alias("sum"))
-        bought = bought.join(buyers.groupBy("who", "sum").agg(F.min("sig").alias("sig")).select("sig"), "sig", "left_semi")
-        mine = bought.select("sig", F.col("id").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
-        others = bought.select("sig", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
-        rest = mine.join(others, "sig").filter((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _similar_sizes("an", "bn"))
-        links.append(verified(rest.select("a", "b"), sets))
+        # subsets bought by the same sets give the same pairs: the first of them is enough
+        buyers = bought.groupBy("sig", "cost").agg(F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id") % (1 << 20)).alias("sum"))
+        first = buyers.groupBy("who", "sum").agg(F.min(F.struct("cost", "sig")).alias("first")).select("first.sig")
+        bought = bought.join(first, "sig", "left_semi")
+        side = lambda x: bought.select("sig", *[F.col(c).alias(x + c) for c in ("id", "n", "component", "worth", "ahead")])
+        # from the first subset that two sets share, either must have as many ahead as they need to share
+        needed = F.greatest("aworth", "bworth") - F.floor((F.col("an") + F.col("bn")) / 7)
+        rest = side("a").join(side("b"), "sig").filter(
+            (F.col("aid") < F.col("bid")) & (F.col("acomponent") != F.col("bcomponent")) & _similar_sizes("an", "bn") & (F.least("aahead", "bahead") >= needed)
+        ).select(F.col("aid").alias("a"), F.col("bid").alias("b"))
+        links.append(verified(rest, sets))
 
     joined = components(_all(links), "a", "b")
     labelled = written(
