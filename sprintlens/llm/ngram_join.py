@@ -19,7 +19,8 @@ Allocation by cost, cheapest first:
 4. Sets that even so fall short buy subsets in the order of their cost (number of components
    that share them, the same for every set) until their value is H + 1; sets of different
    components that bought the same subset are compared where, from there on, both have as many
-   subsets left as a pair of their sizes must share.
+   subsets left as a pair of their sizes must share, and the parities of their shingles differ
+   in no more bits than the pair may differ in shingles.
 Candidates are verified by exact intersection. Equal sets are one set throughout.
 
 Work per task is bounded: signatures travel in packed blocks by hash bucket (as many as
@@ -36,6 +37,8 @@ equality of 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +60,8 @@ HASH_BYTES = 2 << 20
 SLICE_BYTES = 8 << 20
 #: Bands whose sizes stay below this take every shingle as a segment.
 SINGLE = 64
+#: Bits of the parities that sets in doubt are compared by before they are verified.
+PARITY_BITS = 512
 U = np.uint64
 
 
@@ -509,6 +514,7 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
         # the first subset that they share
         left = incomplete.join(sets, "set_id").select("set_id", F.col("which").cast("int"), "shingles")
         worth = left.mapInArrow(_worth(False), "id long, which int, n long, worth long")
+        parities = left.select("set_id", "shingles").mapInArrow(_parities, "id long, parity array<long>").dropDuplicates(["id"])
         costly = written(_costly(exact.join(incomplete.select(F.col("set_id").alias("id"), "which"), ["id", "which"], "left_semi"), known), "ngram-costly")
         order = Window.partitionBy("id", "which").orderBy("cost", "sig")
         bought = written(
@@ -522,12 +528,14 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
         # subsets bought by the same sets give the same pairs: the first of them is enough
         buyers = bought.groupBy("sig", "cost").agg(F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id") % (1 << 20)).alias("sum"))
         first = buyers.groupBy("who", "sum").agg(F.min(F.struct("cost", "sig")).alias("first")).select("first.sig")
-        bought = bought.join(first, "sig", "left_semi")
-        side = lambda x: bought.select("sig", *[F.col(c).alias(x + c) for c in ("id", "n", "component", "worth", "ahead")])
+        bought = bought.join(first, "sig", "left_semi").join(parities, "id")
+        side = lambda x: bought.select("sig", *[F.col(c).alias(x + c) for c in ("id", "n", "component", "worth", "ahead", "parity")])
         # from the first subset that two sets share, either must have as many ahead as they need to share
         needed = F.greatest("aworth", "bworth") - F.floor((F.col("an") + F.col("bn")) / 7)
+        apart = reduce(add, [F.bit_count(F.col("aparity")[k].bitwiseXOR(F.col("bparity")[k])) for k in range(PARITY_BITS // 64)])
         rest = side("a").join(side("b"), "sig").filter(
             (F.col("aid") < F.col("bid")) & (F.col("acomponent") != F.col("bcomponent")) & _similar_sizes("an", "bn") & (F.least("aahead", "bahead") >= needed)
+            & (7 * apart <= F.col("an") + F.col("bn"))
         ).select(F.col("aid").alias("a"), F.col("bid").alias("b"))
         links.append(verified(rest, sets))
 
@@ -542,6 +550,17 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
     return linked.unionByName(described.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per set, PARITY_BITS bits: whether an odd number of its shingles falls on each. Bits in which
+    two sets differ are at most the shingles in which they differ."""
+    for batch in batches:
+        out = []
+        for blob in batch.column(1).to_pylist():
+            odd = np.bincount((np.frombuffer(blob, U) % U(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+            out.append(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["id", "parity"])
+
+
 def _worth(deletions: bool):
     """Value of all segments of each incomplete set."""
 
