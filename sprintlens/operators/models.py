@@ -285,6 +285,28 @@ def tune_trees(
     return run_trials(family, trials, lambda p: build(p, label)(train), val, label, known, parallelism)
 
 
+def stored_search(
+    path: str, family: str, train: DataFrame, val: DataFrame, n_trials: int = 50, label: str = P.LABEL, parallelism: int = 4
+) -> DataFrame:
+    """The whole random search, each trial stored under `path` as it ends; called again, it fits
+    only what is missing. The driver holds one model per thread, however many trials there are.
+    """
+    _, space = FAMILIES[family]
+    hashes = [params_hash(p) for p in sample_trials(space, n_trials)]
+
+    def one(i: int) -> None:
+        others = set(hashes) - {hashes[i]}
+        resume(
+            f"{path}/{i}",
+            lambda known: tune_trees(family, train, val, n_trials, label, others | known, parallelism=1)[0],
+            train.sparkSession,
+        )
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        list(pool.map(one, range(n_trials)))
+    return train.sparkSession.read.schema(TRIAL_SCHEMA).parquet(*[f"{path}/{i}" for i in range(n_trials)])
+
+
 def refit(family: str, params: dict, matrix: DataFrame, label: str = P.LABEL):
     """Final fit on train and val; the calibration year stays unseen."""
     build, _ = FAMILIES[family]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -792,19 +793,34 @@ def _splits(frame):
     return frame.where(split_is("train")), frame.where(split_is("val"))
 
 
-# Trials that the query asks for, given as a caller may; the operators' own default is 50 drawn
-# from the full spaces.
-TRIALS = {
-    "boosted": [
-        {"maxIter": 15, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "positiveWeight": 1.0},
-        {"maxIter": 15, "maxDepth": 5, "stepSize": 0.2, "subsamplingRate": 1.0, "positiveWeight": 0.5},
-    ],
-    "forest": [
-        {"numTrees": 15, "maxDepth": 5, "minInstancesPerNode": 5},
-        {"numTrees": 30, "maxDepth": 5, "minInstancesPerNode": 20},
-    ],
-}
-SMALL_BOOST = {"maxIter": 12, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 1.0}
+_TRIAL_PATHS: dict[tuple[str, str], str] = {}
+_SEARCHED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _trials(spark, d):
+    """The full search of both families, run once per application and folder and kept in the
+    shared scratch folder; each trial is stored as it ends."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SEARCHED:
+        path = _TRIAL_PATHS.setdefault(key, scratch_dir(spark, "trials"))
+        with _prepared(spark, d, "train", "val") as frame:
+            boosted, forest = (models.stored_search(f"{path}/{f}", f, *_splits(frame)) for f in ("boosted", "forest"))
+        _SEARCHED[key] = boosted.unionByName(forest)
+    return _SEARCHED[key]
+
+
+def _tuned(spark, d):
+    """Best parameters and their F2 on val by family, and the family of the champion."""
+    best = {r["study"]: r for r in models.best_trial(_trials(spark, d)).collect()}
+    params = {family: json.loads(best[family]["params"]) for family in models.FAMILIES}
+    f2 = {family: best[family]["f2"] for family in models.FAMILIES}
+    return params, f2, models.select_champion(*f2.values(), *f2)
+
+
+def _refitted(spark, d, frame):
+    """The champion, fitted again on train and val."""
+    params, _, winner = _tuned(spark, d)
+    return models.refit(winner, params[winner], frame)
 
 
 @query
@@ -816,36 +832,24 @@ def lr_grid_trials(spark, d):
 
 @query
 def tree_trials(spark, d):
-    with _prepared(spark, d) as frame:
-        path = scratch_dir(spark, "trials")
-        for family in models.FAMILIES:
-            models.resume(
-                f"{path}/{family}",
-                lambda known: models.tune_trees(family, *_splits(frame), known=known, trials=TRIALS[family])[0],
-                spark,
-            )
-        return spark.read.schema(models.TRIAL_SCHEMA).parquet(*[f"{path}/{f}" for f in models.FAMILIES])
+    return _trials(spark, d)
 
 
 @query
 def champion(spark, d):
+    params, f2, _ = _tuned(spark, d)
     with _prepared(spark, d) as frame:
-        train, val = _splits(frame)
-        fitted = {
-            "boosted": models.boosted(SMALL_BOOST)(train),
-            "forest": models.forest({"numTrees": 20, "maxDepth": 6})(train),
-        }
-        suites = {
-            name: metrics.metric_suite(scoring.predict(m, val)).first()["f2"] for name, m in fitted.items()
-        }
-        report = models.champion_report(fitted, suites, frame)
+        fitted = {family: models.refit(family, params[family], frame) for family in models.FAMILIES}
+        report = models.champion_report(fitted, f2, frame)
         return spark.createDataFrame(report.collect(), report.schema)
 
 
 @query
 def lopo_metrics(spark, d):
+    params, _, winner = _tuned(spark, d)
     with _prepared(spark, d, "train", "cal") as frame:
-        table = models.fold_metrics(frame, models.boosted(SMALL_BOOST), S.PROJECTS)
+        build, _ = models.FAMILIES[winner]
+        table = models.fold_metrics(frame, build(params[winner]), S.PROJECTS)
         summary = models.fold_summary(table)
         table = shaping.with_row(table, "s", summary).select(*table.columns, "s.f2_mean", "s.f2_std")
         return spark.createDataFrame(table.collect(), table.schema)
@@ -856,7 +860,7 @@ def calibration_compare(spark, d):
     """Refit on train and val, calibrated on cal, saved, loaded, and compared per split."""
     with _prepared(spark, d) as frame:
         path = scratch_dir(spark, "model")
-        writers.save_model(models.refit("boosted", SMALL_BOOST, frame), path)
+        writers.save_model(_refitted(spark, d, frame), path)
         scored = scoring.predict(readers.load_model(path), frame)
         winner, _, table = models.calibrate(scored)
         table = table.withColumn("winner", F.col("method") == winner)
@@ -866,7 +870,7 @@ def calibration_compare(spark, d):
 @query
 def shapley_sampled(spark, d):
     frame = _model_matrix(spark, d)
-    model = models.boosted(SMALL_BOOST)(frame.where(split_is("train")))
+    model = _refitted(spark, d, frame)
     table = explain.sampled_contributions(model, frame.where(split_is("test")), P.FEATURES, "sprint_id")
     return explain.global_importance(table)
 
@@ -874,7 +878,7 @@ def shapley_sampled(spark, d):
 @query
 def partial_dependence_trees(spark, d):
     frame = _model_matrix(spark, d)
-    model = models.boosted(SMALL_BOOST)(frame.where(split_is("train")))
+    model = _refitted(spark, d, frame)
     test = frame.where(split_is("test"))
     return explain.partial_dependence(
         test, lambda df: scoring.predict(model, df), ("log_avg_cycle_time", "num_bugs_sprint"), points=20
