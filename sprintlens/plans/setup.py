@@ -21,7 +21,7 @@ PROJECTS = ("C1", "C42", "C100", "C250", "C400")
 INTERCEPT = 2.10
 THRESHOLD = 0.24
 CASES = (("tp", "C1"), ("tn", "C42"), ("fn", "C100"))
-REPLICATES = 50
+REPLICATES = 1000
 
 
 def shown(df: DataFrame, digits: int = 6) -> DataFrame:
