@@ -880,6 +880,6 @@ def partial_dependence_trees(spark, d):
     frame = _model_matrix(spark, d)
     model = _refitted(spark, d, frame)
     test = frame.where(split_is("test"))
-    return explain.partial_dependence(
-        test, lambda df: scoring.predict(model, df), ("log_avg_cycle_time", "num_bugs_sprint"), points=20
-    )
+    parts = explain.sampled_contributions(model, test, P.FEATURES, "sprint_id")
+    top = [r["feature"] for r in explain.global_importance(parts).limit(5).collect()]
+    return explain.partial_dependence(test, lambda df: scoring.predict(model, df), top)

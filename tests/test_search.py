@@ -54,3 +54,15 @@ def test_search_draws_all_trials_and_later_queries_fit_the_best(spark, asked):
         fitted = {json.dumps(p, sort_keys=True) for fits in asked.values() for p in fits}
         best = {r["params"] for r in models.best_trial(table).collect()}
         assert fitted and fitted <= best
+
+
+def test_trees_depend_on_the_five_most_important_features(spark, monkeypatch):
+    monkeypatch.setattr(
+        catalog, "_refitted", lambda spark, d, frame: models.refit("forest", {"numTrees": 3, "maxDepth": 3}, frame), raising=False
+    )
+    top = [r["feature"] for r in catalog.QUERIES["shapley_sampled"](spark, FOLDER).limit(5).collect()]
+    seen, whole = [], catalog.explain.partial_dependence_grid
+    monkeypatch.setattr(catalog.explain, "partial_dependence_grid", lambda df, names, points: seen.append((list(names), points)) or whole(df, names, points))
+    table = catalog.QUERIES["partial_dependence_trees"](spark, FOLDER)
+    assert seen == [(top, 50)]
+    assert {r["feature"] for r in table.select("feature").distinct().collect()} == set(top)
