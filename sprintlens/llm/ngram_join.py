@@ -586,7 +586,21 @@ def _all(links: list[DataFrame]) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest id."""
-    groups = similar_components(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = groups.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """The documents without near copies: one row of each component, that with the smallest id
+    (null ids last), then the smallest hash of its text. Of rows equal in id and text one stays,
+    also where they have no words; other rows without words all stay. Rows are told apart by a
+    64-bit hash of id and text, so a repeated id does not keep a copy.
+    """
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    rows = docs.select(key.alias("doc_id"), "text")
+    groups = similar_components(rows, **options).groupBy(F.col("doc_id").alias("_row")).agg(F.min("component_id").alias("_group"))
+    sizes = docs.groupBy(key.alias("_row")).agg(
+        F.min("doc_id").alias("_id"), F.min(F.xxhash64("text")).alias("_text"), F.count(F.lit(1)).alias("_n")
+    )
+    best = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_text", "_row", "_n"))
+    picked = written(sizes.join(groups, "_row").groupBy("_group").agg(best.alias("_best")).select("_best._row", "_best._n"), "ngram-kept")
+    single, repeated = picked.filter("_n = 1"), picked.filter("_n > 1")
+    one = docs.join(single, key == F.col("_row"), "left_semi")
+    several = docs.join(repeated.select("_row"), key == F.col("_row"))
+    whole = F.min(F.struct(*docs.columns)).alias("_doc")
+    return one.unionByName(several.groupBy("_row").agg(whole).select("_doc.*"))
