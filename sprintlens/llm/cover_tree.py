@@ -75,7 +75,7 @@ class Tree:
         self.center = x[table[:, 0]]
         self.norm = np.sqrt((self.center**2).sum(1))
         self.radius = np.array([np.sqrt(((x[place[s:e]] - c) ** 2).sum(1).max()) for c, s, e in zip(self.center, self.start, self.end)])
-        self.ids, self.vectors = ids[order][place], x[place].astype(np.int32)
+        self.ids, self.vectors = ids[order][place], x[place]
 
     @staticmethod
     def _net(x: np.ndarray, first: int) -> tuple[np.ndarray, list[int]]:
@@ -96,7 +96,7 @@ def search(queries: Tree, data: Tree, k: int, worst: np.ndarray) -> tuple[np.nda
 
     Returns query row, id, score, by (query, score descending, id)."""
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-    rows = data.vectors.astype(np.float64)
+    rows = data.vectors
     edge = 1e-6  # bounds are rounded; scores are integers
 
     def bounds(q: int, nodes: np.ndarray) -> np.ndarray:
@@ -114,7 +114,7 @@ def search(queries: Tree, data: Tree, k: int, worst: np.ndarray) -> tuple[np.nda
             for child in range(queries.first[q], queries.last[q]):
                 visit(child, nodes)
             return
-        mine = queries.vectors[a:b].astype(np.float64)
+        mine = queries.vectors[a:b]
         at, ids, score = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         while len(nodes):
             bound = bounds(q, nodes)
@@ -155,7 +155,7 @@ def best_of(at: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple
 
 
 def _quantised(vectors: DataFrame, scale: int, pivots: np.ndarray | None) -> DataFrame:
-    """vec_id, v (int32 bytes, zero-padded), pivot."""
+    """vec_id, v (whole numbers as float64 bytes, zero-padded), pivot."""
     width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0 if pivots is None else pivots.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +165,7 @@ def _quantised(vectors: DataFrame, scale: int, pivots: np.ndarray | None) -> Dat
                 v = x.values.to_numpy(zero_copy_only=False).astype(np.float64) if x.is_valid and x.values is not None else None
                 if v is None or not np.isfinite(v).all():
                     continue
-                padded = np.zeros(width, np.int32)
+                padded = np.zeros(width)
                 padded[: len(v)] = np.floor(scale * v)
                 ids.append(vec_id)
                 out.append(padded)
@@ -186,7 +186,7 @@ def _trees(rows: DataFrame, key: str, leaf: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         ids = table["vec_id"].to_numpy()
-        vectors = np.array([np.frombuffer(v, np.int32) for v in table["v"].to_pylist()])
+        vectors = np.array([np.frombuffer(v) for v in table["v"].to_pylist()])
         tree = Tree(ids, vectors, leaf)
         tree_bytes = pickle.dumps(tree, protocol=5)
         far = float(np.sqrt(((tree.vectors - tree.center[0]) ** 2).sum(1)).max())
@@ -226,7 +226,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = SCALE, pivots:
     sample = plain.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivots).collect()
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    centers = np.unique(np.array([np.frombuffer(r["v"], np.int32) for r in sample], np.float64), axis=0)
+    centers = np.unique(np.array([np.frombuffer(r["v"]) for r in sample], np.float64), axis=0)
     rows = written(_quantised(vectors, scale, centers), "search-rows")
     counts = {r["pivot"]: (r["n"], r["q"]) for r in rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.sum(is_query.cast("int")).alias("q")).collect()}
     split = lambda size, which: F.create_map(*[F.lit(int(x)) for p, c in counts.items() for x in (p, max(1, -(-(c[which] or 0) // size)))])
