@@ -80,4 +80,58 @@ SELECT d.doc_id, j.text, coalesce(j.n_lines, 0) AS n_lines, coalesce(j.n_removed
 FROM documents d LEFT JOIN joined j ON d.doc_id = j.doc_id AND md5(d.text) = j.h
 """
 
-ORACLE = {"op7_pareto_mix": OP7, "op9_chat_snapshots": OP9, "op10_line_spread": OP10}
+LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all({LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM words GROUP BY doc_id, t),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), corpus),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM items JOIN tf USING (t) JOIN weights USING (t) JOIN lengths USING (doc_id), corpus GROUP BY item_id, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+OP12 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all({LOWER.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM docs),
+counts AS (SELECT lang, source, t, count(*) AS c, count(DISTINCT r) AS d FROM words GROUP BY lang, source, t),
+kept AS (SELECT lang, t, sum(c) AS lc FROM counts GROUP BY lang, t HAVING sum(d) >= 10),
+per_lang AS (SELECT lang, count(*) AS v, sum(lc) AS ln FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (SELECT lang, source, sum(c) AS n FROM counts JOIN kept USING (lang, t) GROUP BY lang, source),
+shares AS (
+  SELECT g.lang, g.source, k.t, coalesce(c.c, 0) AS c,
+         1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 2)) // (coalesce(n.n, 0) + 2 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.lc + 2)) // (l.ln + 2 * l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN per_lang l USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t
+  LEFT JOIN totals n ON n.lang = g.lang AND n.source = g.source),
+distances AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(d.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+terms AS (
+  SELECT lang, source, t AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM shares WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value,
+         (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM terms) WHERE rank <= 10
+"""
+
+ORACLE = {"op11_lexical_search": OP11, "op12_divergence_audit": OP12, "op7_pareto_mix": OP7, "op9_chat_snapshots": OP9, "op10_line_spread": OP10}

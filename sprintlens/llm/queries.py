@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from sprintlens.llm import (
     chat_snapshots,
     cover_tree,
+    divergence_audit,
     flat_graph,
+    lexical_search,
     line_spread,
     ngram_join,
     pareto_mix,
     pu_quality,
     sp_codec,
     subword_langid,
+    token_counts,
     token_store,
 )
 from sprintlens.llm.common import table
@@ -80,6 +83,20 @@ def op10_line_spread(spark: SparkSession, folder: str) -> DataFrame:
     return line_spread.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
+def op12_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence_audit.audit(table(spark, folder, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The cache starts empty; one given by path would spare what it holds."""
+    cache = scratch_dir(spark, "token-counts")
+    return token_counts.count_tokens(table(spark, folder, "documents"), cache, tokenizer_file("word_bpe_49k.json"), limit=2048)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_cover_tree": op2_cover_tree,
@@ -91,4 +108,7 @@ QUERIES = {
     "op8_subword_langid": op8_subword_langid,
     "op9_chat_snapshots": op9_chat_snapshots,
     "op10_line_spread": op10_line_spread,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_divergence_audit": op12_divergence_audit,
+    "op13_token_counts": op13_token_counts,
 }

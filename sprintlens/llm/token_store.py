@@ -9,7 +9,8 @@ A chunk between ASCII blanks is encoded apart from its neighbours: the tokenizer
 works by character, lower-cases A-Z like any reader would, and no match of its split pattern
 contains a blank or goes from a letter to a mark. So texts are cut there, each distinct chunk of
 a worker is encoded once by the library, and ids are put together with array operations. Texts
-that may contain a special token's string go to the library whole.
+that may contain an added token's string or a combining mark go to the library whole, and so do
+all texts of a tokenizer whose file does not state these properties (`odd_texts`).
 
 Each row stores `seq` = file number * 2^33 + row number, given in ascending doc_id order.
 Document starts need no global sort: rows are summed per file, the file totals (one row per
@@ -23,6 +24,7 @@ rows; other columns are not read. A very long text is one list; it is never cut.
 from __future__ import annotations
 
 import functools
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -44,7 +46,33 @@ INDEX_STRIDE = 10_000
 LETTERS = "a-zß-öø-ÿ"
 LATIN_WORD = re.compile(f"[{LETTERS}]+")
 BEFORE_MARK = f"([{LETTERS}])([.,!?;:*#$%&|])"
-SPECIAL = "<|"
+#: What a tokenizer's file must say for texts to be cut at blanks.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+@functools.lru_cache(maxsize=2)
+def odd_texts(tokenizer_path: str) -> str | None:
+    """Pattern of the texts that must go to the library whole: those that may hold an added
+    token's string, or a combining mark (composed before letters are lower-cased). None where
+    the tokenizer's file doesn't state the properties that cutting at blanks relies on."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        spec = json.load(file)
+    normal = (spec.get("normalizer") or {}).get("normalizers", [])
+    before = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    starts = {t["content"][:2] for t in spec.get("added_tokens") or []}
+    if (
+        [n["type"] for n in normal] != NORMALIZERS
+        or (normal[1]["pattern"], normal[1]["content"]) != ({"Regex": r"\s+"}, " ")
+        or [b.get("type") for b in before] != ["Split", "ByteLevel"]
+        or (before[0]["pattern"], before[0]["behavior"], before[0]["invert"]) != ({"Regex": SPLIT}, "Removed", True)
+        or before[1]["add_prefix_space"]
+        or before[1]["use_regex"]
+        or spec["model"]["type"] != "BPE"
+        or any(len(x) < 2 or any(c.isalnum() or c.isspace() for c in x) for x in starts)
+    ):
+        return None
+    return "|".join([*map(re.escape, sorted(starts)), r"\p{M}"])
 
 
 def byte_letters() -> dict[int, int]:
@@ -81,8 +109,8 @@ def library_encoder(tokenizer_path: str):
 def encode_texts(tokenizer_path: str, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
     """ids of all texts one after another and their numbers, the end id included."""
     by_chunk, whole = library_encoder(tokenizer_path)
-    texts = pc.fill_null(texts, "")
-    special = np.asarray(pc.match_substring(texts, SPECIAL))
+    texts, pattern = pc.fill_null(texts, ""), odd_texts(tokenizer_path)
+    special = np.ones(len(texts), bool) if pattern is None else np.asarray(pc.match_substring_regex(texts, pattern))
     plain = pc.replace_substring_regex(pc.ascii_lower(texts.filter(pa.array(~special))), BEFORE_MARK, r"\1 \2")
     ids, counts = by_chunk(pc.ascii_split_whitespace(plain))
     if special.any():
@@ -98,7 +126,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces_of(batch, column=1):
+            for part in pieces_of(batch, 8 << 20, column=1):
                 ids, counts = encode_texts(tokenizer_path, part.column(1), end_id)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists(ids, counts)], ["doc_id", "seq", "ids"])
 

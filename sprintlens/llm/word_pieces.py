@@ -5,38 +5,44 @@ with array operations. Small helper of the two token operators; runs inside task
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 
 
 class ChunkEncoder:
-    """encode: list of distinct chunks -> list of id lists. Remembers up to `keep` chunks."""
+    """encode: list of distinct chunks -> list of id lists.
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], keep: int = 150_000):
-        self.encode, self.keep, self._forget = encode, keep, True
-        self._reset()
+    Remembers up to `keep` chunks (more only while one slice has more distinct ones). When full,
+    the half met in the most slices stays and old meetings count half, so frequent chunks are
+    encoded once per worker."""
 
-    def _reset(self) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], keep: int = 300_000):
+        self.encode, self.keep = encode, keep
         self.at: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.int32)
-        self.starts = [0]
+        self.flat, self.starts, self.met = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def _rows(self, chunks: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
+
+    def _forget(self) -> None:
+        most = min(self.keep // 2, len(self.met))
+        stay = np.sort(np.argpartition(-self.met, most - 1)[:most]) if most else np.zeros(0, np.int64)
+        words = list(self.at)
+        self.at = {words[i]: n for n, i in enumerate(stay.tolist())}
+        length = np.diff(self.starts)[stay]
+        self.flat = self.flat[spread(self.starts[stay], length)]
+        self.starts, self.met = np.concatenate([[0], np.cumsum(length)]), self.met[stay] >> 1
 
     def _learn(self, chunks: list[str]) -> None:
-        new = [c for c in chunks if c not in self.at]
-        if not new:
-            return
-        if len(self.at) + len(new) > self.keep:
-            self._reset()
-            new = chunks
-        for chunk, ids in zip(new, self.encode(new)):
-            start = self.starts[-1]
-            end = start + len(ids)
-            if end > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.int32)])
-            self.flat[start:end] = ids
-            self.at[chunk] = len(self.starts) - 1
-            self.starts.append(end)
+        ids = self.encode(chunks)
+        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        new = np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum()))
+        self.at.update(zip(chunks, range(len(self.at), len(self.at) + len(chunks))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(length)])
+        self.flat = np.concatenate([self.flat, new])
+        self.met = np.concatenate([self.met, np.zeros(len(ids), np.int64)])
 
     def __call__(self, chunks: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts one after another, and the number of ids per text."""
@@ -44,13 +50,20 @@ class ChunkEncoder:
         words = chunks.flatten().dictionary_encode()
         if isinstance(words, pa.ChunkedArray):
             words = words.combine_chunks()
-        known = words.dictionary.to_pylist()
-        self._learn(known)
-        starts = np.asarray(self.starts, np.int64)
-        row = np.fromiter((self.at[w] for w in known), np.int64, len(known))
+        known = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        row = self._rows(known)
+        if (row < 0).any():
+            self.met[row[row >= 0]] += 1
+            if len(self.at) + int((row < 0).sum()) > self.keep:
+                self._forget()
+                row = self._rows(known)
+            self._learn([known[i] for i in np.flatnonzero(row < 0).tolist()])
+            row = self._rows(known)
+        else:
+            self.met[row] += 1
         which = row[np.asarray(words.indices)] if len(known) else np.zeros(0, np.int64)
-        begin = starts[which]
-        length = starts[which + 1] - begin
+        begin = self.starts[which]
+        length = self.starts[which + 1] - begin
         ids = self.flat[spread(begin, length)]
         upto = np.concatenate([[0], np.cumsum(length)])
         bounds = bounds - bounds[0]
