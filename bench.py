@@ -50,23 +50,27 @@ def main() -> None:
     from sprintlens.plans.setup import gold_table
 
     times = {}
-    spark.range(1000).count()
-    start = time.time()
-    gold_table(spark, folder).count()
-    times["build_gold_table"] = round(time.time() - start, 3)
-    for name in HEADLINE:
+
+    def timed(name: str, run) -> None:
         start = time.time()
-        catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        run()
         times[name] = round(time.time() - start, 3)
         print(name, times[name], file=sys.stderr, flush=True)
-    line = {
-        "metric": "total_wall_time",
-        "value": round(sum(times.values()), 3),
-        "unit": "sec",
-        "queries": times,
-        "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
-    }
-    print(json.dumps(line))
+
+    try:
+        spark.range(1000).count()
+        timed("build_gold_table", lambda: gold_table(spark, folder).count())
+        for name in HEADLINE:
+            timed(name, lambda: catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save())
+    finally:  # what has ended counts, whatever stops the rest
+        line = {
+            "metric": "total_wall_time",
+            "value": round(sum(times.values()), 3),
+            "unit": "sec",
+            "queries": times,
+            "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+        }
+        print(json.dumps(line), flush=True)
 
 
 if __name__ == "__main__":

@@ -1,4 +1,4 @@
-"""Fitted models on pyspark.ml: grids, random search, champion rule, folds, calibration.
+"""Fitted models: logistic grid, tree search, champion rule, folds, calibration.
 
 The frames handed in should be persisted by the caller when many fits follow. What comes
 back to the driver is one row of metrics per trial.
@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import math
-import random
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -17,13 +15,13 @@ from functools import reduce
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sprintlens import params as P
 from sprintlens.functions import numeric as N
+from sprintlens.operators import boosting, isotonic, search, stages
 from sprintlens.operators.features import add_balanced_weight, folds
 from sprintlens.operators.metrics import mcnemar, metric_suite
 from sprintlens.operators.oversample import smote
@@ -172,18 +170,6 @@ def best_trial(trials: DataFrame) -> DataFrame:
     )
 
 
-def resume(path: str, table: Callable[[set], DataFrame], spark) -> DataFrame:
-    """Trial table kept as Parquet: known hashes are skipped, new rows appended."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        known = {r[0] for r in spark.read.schema(TRIAL_SCHEMA).parquet(path).select("params_hash").collect()}
-    except AnalysisException:
-        known = set()
-    table(known).write.mode("append").parquet(path)
-    return spark.read.schema(TRIAL_SCHEMA).parquet(path)
-
-
 # -- logistic grid ------------------------------------------------------------------
 
 
@@ -230,36 +216,6 @@ def logistic_trials(
 # -- tree studies -------------------------------------------------------------------
 
 
-def boosted_space(rng: random.Random) -> dict:
-    """Level-wise boosting: rounds, depth, step, row share, feature share, leaf size, gain, weight."""
-    return {
-        "maxIter": rng.randint(100, 1000),
-        "maxDepth": rng.randint(3, 9),
-        "stepSize": round(math.exp(rng.uniform(math.log(0.005), math.log(0.3))), 4),
-        "subsamplingRate": round(rng.uniform(0.5, 1.0), 3),
-        "featureSubsetStrategy": str(round(rng.uniform(0.4, 1.0), 3)),
-        "minInstancesPerNode": rng.randint(1, 20),
-        "minInfoGain": round(rng.uniform(0.0, 0.02), 4),
-        "positiveWeight": round(rng.uniform(0.3, 1.5), 3),
-    }
-
-
-def forest_space(rng: random.Random) -> dict:
-    """Challenger family; leaf-wise boosting has no counterpart in pyspark.ml."""
-    return {
-        "numTrees": rng.randint(100, 1000),
-        "maxDepth": rng.randint(3, 9),
-        "subsamplingRate": round(rng.uniform(0.5, 1.0), 3),
-        "featureSubsetStrategy": str(round(rng.uniform(0.4, 1.0), 3)),
-        "minInstancesPerNode": rng.randint(5, 100),
-    }
-
-
-def sample_trials(space: Callable[[random.Random], dict], count: int, seed: int = P.SEED) -> list[dict]:
-    rng = random.Random(seed)
-    return [space(rng) for _ in range(count)]
-
-
 def boosted(params: dict, label: str = P.LABEL) -> Callable[[DataFrame], object]:
     settings = {k: v for k, v in params.items() if k != "positiveWeight"}
     weight = F.when(F.col(label) == 1, params.get("positiveWeight", 1.0)).otherwise(1.0)
@@ -272,52 +228,64 @@ def forest(params: dict, label: str = P.LABEL) -> Callable[[DataFrame], object]:
     return lambda train: tree_pipeline(estimator).fit(add_balanced_weight(train, label))
 
 
-FAMILIES = {"boosted": (boosted, boosted_space), "forest": (forest, forest_space)}
+def _second_order(family: str, params: dict, label: str) -> Callable[[DataFrame], object]:
+    def fit(train: DataFrame) -> PipelineModel:
+        trees = boosting.fit(train, {0: search.settings_of(family, params)}, label=label)[0]
+        return stages.as_pipeline(stages.BoostedTrees(trees))
 
+    return fit
 
-def tune_trees(
-    family: str, train: DataFrame, val: DataFrame, n_trials: int = 50, label: str = P.LABEL,
-    known: Iterable[str] = (), parallelism: int = 2, trials: Sequence[dict] | None = None,
-) -> tuple[DataFrame, dict[str, object]]:
-    """Seeded random search; every trial is fitted on train and judged on val at .5."""
-    build, space = FAMILIES[family]
-    trials = sample_trials(space, n_trials) if trials is None else trials
-    return run_trials(family, trials, lambda p: build(p, label)(train), val, label, known, parallelism)
+
+def level_wise(params: dict, label: str = P.LABEL) -> Callable[[DataFrame], object]:
+    """Second-order boosting by level; all rounds, as nothing is watched."""
+    return _second_order("boosted", params, label)
 
 
-def stored_search(
-    path: str, family: str, train: DataFrame, val: DataFrame, n_trials: int = 50, label: str = P.LABEL, parallelism: int = 4
+def leaf_wise(params: dict, label: str = P.LABEL) -> Callable[[DataFrame], object]:
+    """Second-order boosting, best leaf first, classes balanced; all rounds."""
+    return _second_order("leafwise", params, label)
+
+
+FAMILIES = {"boosted": level_wise, "leafwise": leaf_wise}
+
+
+def tree_search(
+    path: str, train: DataFrame, val: DataFrame, n_trials: int = 50, label: str = P.LABEL, row_id: str = "sprint_id"
 ) -> DataFrame:
-    """The whole random search, each trial stored under `path` as it ends; called again, it fits
-    only what is missing. The driver holds one model per thread, however many trials there are.
-    """
-    _, space = FAMILIES[family]
-    hashes = [params_hash(p) for p in sample_trials(space, n_trials)]
-
-    def one(i: int) -> None:
-        others = set(hashes) - {hashes[i]}
-        resume(
-            f"{path}/{i}",
-            lambda known: tune_trees(family, train, val, n_trials, label, others | known, parallelism=1)[0],
-            train.sparkSession,
+    """The trial table of both families under `path`: what it lacks is fitted batch by batch on
+    train and judged on val at .5, each batch stored as it ends. Called again, with any session,
+    it fits only what is missing."""
+    spark = train.sparkSession
+    for end in [e for e in search.BATCHES if e < n_trials] + [n_trials]:
+        rows = [(r["study"], r["trial"], json.loads(r["params"]), r["f2"]) for r in search.stored(spark, path, TRIAL_SCHEMA).collect()]
+        known = {r[:2] for r in rows}
+        first = max([0, *[e for e in search.BATCHES if e < end]])
+        earlier = {f: [r[1:] for r in rows if r[0] == f and r[1] < first] for f in FAMILIES}
+        todo = [(f, i, search.propose(f, i, earlier[f])) for i in range(first, end) for f in FAMILIES if (f, i) not in known]
+        if not todo:
+            continue
+        settings = {n: search.settings_of(f, p, watched=True) for n, (f, _, p) in enumerate(todo)}
+        forests = boosting.fit(train, settings, label=label, row_id=row_id, watched=val)
+        suites = measured(search.scored_by(forests, val, label), ["trial"], label=label)
+        names = spark.createDataFrame(
+            [(n, f, i, params_hash(p), json.dumps(p, sort_keys=True)) for n, (f, i, p) in enumerate(todo)],
+            "trial int, study string, number int, params_hash string, params string",
         )
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        list(pool.map(one, range(n_trials)))
-    return train.sparkSession.read.schema(TRIAL_SCHEMA).parquet(*[f"{path}/{i}" for i in range(n_trials)])
+        table = names.join(suites, "trial").drop("trial").withColumnRenamed("number", "trial")
+        table.select(*[f.name for f in TRIAL_SCHEMA]).coalesce(1).write.mode("append").parquet(path)
+    return search.stored(spark, path, TRIAL_SCHEMA)
 
 
 def refit(family: str, params: dict, matrix: DataFrame, label: str = P.LABEL):
     """Final fit on train and val; the calibration year stays unseen."""
-    build, _ = FAMILIES[family]
-    return build(params, label)(matrix.where(F.col("split").isin("train", "val")))
+    return FAMILIES[family](params, label)(matrix.where(F.col("split").isin("train", "val")))
 
 
 # -- champion, folds ------------------------------------------------------------------
 
 
 def select_champion(
-    f2_incumbent: float, f2_challenger: float, incumbent: str = "boosted", challenger: str = "forest",
+    f2_incumbent: float, f2_challenger: float, incumbent: str = "boosted", challenger: str = "leafwise",
     margin: float = P.PROMOTION_MARGIN,
 ) -> str:
     """The challenger wins only by more than the margin."""
@@ -372,7 +340,7 @@ def fold_summary(per_fold: DataFrame) -> DataFrame:
 # -- calibration ------------------------------------------------------------------------
 
 
-def fit_platt(cal: DataFrame, label: str = P.LABEL, score: str = "p"):
+def fit_platt(cal: DataFrame, label: str = P.LABEL, score: str = "p") -> stages.SigmoidMap:
     """Logistic map of the score with smoothed targets, fitted on distinct scores with weights."""
     counts = cal.groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
@@ -396,23 +364,13 @@ def fit_platt(cal: DataFrame, label: str = P.LABEL, score: str = "p"):
         ]
     ).fit(rows)
     logistic = model.stages[-1]
-    a, b = float(logistic.coefficients[0]), float(logistic.intercept)
-    return lambda df, name="p": df.withColumn(name, N.sigmoid(a * F.col(score) + b))
-
-
-def fit_isotonic(cal: DataFrame, label: str = P.LABEL, score: str = "p"):
-    """Non-decreasing step map with interpolation, fitted on distinct scores with weights."""
-    counts = cal.groupBy(score).agg(
-        F.avg(F.col(label).cast("double")).alias("rate"), F.count(F.lit(1)).cast("double").alias("w")
-    )
-    model = IsotonicRegression(
-        featuresCol=score, labelCol="rate", weightCol="w", predictionCol="__calibrated"
-    ).fit(counts)
+    return stages.SigmoidMap({"a": float(logistic.coefficients[0]), "b": float(logistic.intercept)})
 
-    def apply(df: DataFrame, name: str = "p") -> DataFrame:
-        return model.transform(df).withColumn(name, F.col("__calibrated")).drop("__calibrated")
 
-    return apply
+def fit_isotonic(cal: DataFrame, label: str = P.LABEL, score: str = "p") -> stages.StepMap:
+    """Non-decreasing map with interpolation between the ends of its steps."""
+    scores, values = isotonic.isotonic_points(cal, label, score)
+    return stages.StepMap({"scores": scores, "values": values})
 
 
 def calibrate(scored: DataFrame, label: str = P.LABEL, score: str = "p", splits=("cal", "val", "test")):
@@ -425,8 +383,8 @@ def calibrate(scored: DataFrame, label: str = P.LABEL, score: str = "p", splits=
     maps = {"sigmoid": fit_platt(cal, label, score), "isotonic": fit_isotonic(cal, label, score)}
     judged = scored.where(F.col("split").isin(*splits)).select("split", label, score)
     stacked = judged.withColumn("method", F.lit("raw"))
-    for name, apply in maps.items():
-        stacked = stacked.unionByName(apply(judged, score).withColumn("method", F.lit(name)))
+    for name, fitted in maps.items():
+        stacked = stacked.unionByName(fitted.on(judged, score, score).withColumn("method", F.lit(name)))
     stacked = stacked.withColumnRenamed(score, "p")
     table = measured(stacked, ["method", "split"], 0.5, label, None).select("method", "split", "brier", "f2")
     rows = {(r["method"], r["split"]): r["brier"] for r in table.where(F.col("split") == "cal").collect()}

@@ -1,12 +1,8 @@
 """Minority oversampling by interpolation between near minority rows.
 
-Nearest neighbours without pairing a group with itself: the rows are ranked on a few unit
-projections (chunked running totals, no single-task sort) and each row is first compared
-with the rows within `reach` ranks. Two rows are at least as far apart as their projections,
-so when the window's edge on some axis lies farther than the k-th distance found, the
-neighbours are proven exact. Only the unproven rows go on, on their best axis with a wider
-window, until all are proven; a row among many identical ones is proven at once. The work
-of a round is (unproven rows) x (window). `exact=False` stops after the first round.
+Neighbours are exact (`neighbours.nearest_rows`). `exact=False` compares each row only with the
+rows within `reach` ranks on a few unit projections (chunked running totals, no single-task
+sort): one round, whatever the data, and neighbours that are near, not always the nearest.
 """
 
 from __future__ import annotations
@@ -14,7 +10,6 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +17,9 @@ from pyspark.sql.window import Window
 
 from sprintlens import params as P
 from sprintlens.functions import numeric as N
+from sprintlens.operators.neighbours import nearest_rows
 from sprintlens.operators.ranking import running_totals
 from sprintlens.operators.shaping import with_row
-from sprintlens.session import scratch_dir
 
 
 def ranked_axes(rows: DataFrame, row_id: str, size: int, axes: int, seed: int) -> DataFrame:
@@ -43,30 +38,8 @@ def ranked_axes(rows: DataFrame, row_id: str, size: int, axes: int, seed: int) -
     )
 
 
-def _edges(asking: DataFrame, ranked: DataFrame, reach: int) -> DataFrame:
-    """Per row: its widest window (axis, edge). A side past the end of the axis has no edge."""
-    at = ranked.select("axis", "position", "at")
-    side = lambda sign: at.select(
-        "axis", (F.col("position") - sign * reach).alias("position"), F.col("at").alias(f"at{sign}")
-    )
-    lookup = (
-        asking.select("id", "axis", "position", "at")
-        .join(side(1), ["axis", "position"], "left")
-        .join(side(-1), ["axis", "position"], "left")
-    )
-    open_end = F.lit(float("inf"))
-    edge = F.least(
-        F.coalesce(F.col("at1") - F.col("at"), open_end), F.coalesce(F.col("at") - F.col("at-1"), open_end)
-    )
-    return (
-        lookup.select("id", "axis", edge.alias("edge"))
-        .groupBy("id")
-        .agg(F.max("edge").alias("edge"), F.max_by("axis", "edge").alias("axis"))
-    )
-
-
 def _compare(asking: DataFrame, ranked: DataFrame, size: int, k: int, reach: int) -> DataFrame:
-    """id, x, the k nearest rows of the windows, the axis with the widest window, proven or not.
+    """id, x, the k nearest rows of the windows.
 
     Windows are joined by blocks of an eighth of the reach: a row is copied to 17 blocks or
     so, and the pairs of a block are cut to the k nearest before they are shuffled.
@@ -90,49 +63,20 @@ def _compare(asking: DataFrame, ranked: DataFrame, size: int, k: int, reach: int
         order = Window.partitionBy(*keys).orderBy("d", "other")
         return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
-    best = (
+    return (
         nearest(nearest(pairs, "id", "axis").drop("rank").dropDuplicates(["id", "other"]), "id")
         .groupBy("id")
-        .agg(
-            F.first("x").alias("x"),
-            F.max("d").alias("d"),
-            F.array_sort(F.collect_list(F.struct("rank", "other", "z"))).alias("neighbours"),
-        )
-    )
-    enough = (F.size("neighbours") == k) | (F.col("edge") == float("inf"))
-    return best.join(_edges(asking, ranked, reach), "id").select(
-        "id", "x", "neighbours", "axis", (enough & (F.col("edge") >= F.sqrt("d") * (1 + 1e-9))).alias("proven")
+        .agg(F.first("x").alias("x"), F.array_sort(F.collect_list(F.struct("rank", "other", "z"))).alias("neighbours"))
     )
 
 
 def near_rows(
-    rows: DataFrame, row_id: str, size: int, k: int = 5, axes: int = 4, reach: int = 8, seed: int = P.SEED,
-    exact: bool = True,
+    rows: DataFrame, row_id: str, size: int, k: int = 5, axes: int = 4, reach: int = 8, seed: int = P.SEED
 ) -> DataFrame:
-    """id, x, neighbours (array of the k nearest vectors, nearest first).
-
-    Rounds are written to the shared scratch folder, so each one starts from a table.
-    """
-    spark = rows.sparkSession
+    """id, x, neighbours (array of the k nearest vectors of the windows, nearest first)."""
     reach = max(reach, k)  # the first and last rows of an axis have neighbours on one side only
     ranked = ranked_axes(rows, row_id, size, axes, seed)
-    columns = ("id", "x", "neighbours")
-    if not exact:
-        return _compare(ranked, ranked, size, k, reach).select(*columns)
-    base = scratch_dir(spark, "neighbours")
-    ranked.write.parquet(f"{base}/ranked")
-    ranked = asking = spark.read.parquet(f"{base}/ranked")
-    rounds = []
-    while True:
-        path = f"{base}/round={len(rounds)}"
-        _compare(asking, ranked, size, k, reach).write.parquet(path)
-        done = spark.read.parquet(path)
-        rounds.append(done.where("proven").select(*columns))
-        rest = done.where(~F.col("proven")).select("id", "axis")
-        if rest.isEmpty():
-            return reduce(DataFrame.unionByName, rounds)
-        asking = ranked.join(rest, ["id", "axis"])
-        reach *= 4
+    return _compare(ranked, ranked, size, k, reach).select("id", "x", "neighbours")
 
 
 def smote(
@@ -154,7 +98,7 @@ def smote(
     small = with_row(plain, "__c", counts).where(F.col(label) == F.col("__c.minority")).select(
         row_id, F.array(*features).alias("x")
     )
-    found = near_rows(small, row_id, len(features), k, axes, reach, exact=exact)
+    found = nearest_rows(small, row_id, k) if exact else near_rows(small, row_id, len(features), k, axes, reach)
 
     # Row i of m gets floor(gap / m) copies, the first gap mod m rows one more.
     gap, have = F.col("__c.gap"), F.col("__c.have")

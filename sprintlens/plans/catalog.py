@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sprintlens import params as P
 from sprintlens.functions import text as X
 from sprintlens.operators import (
+    boosting,
     drift,
     explain,
     features,
@@ -20,13 +21,17 @@ from sprintlens.operators import (
     models,
     oversample,
     profile,
+    resampling,
     risk,
     scoring,
+    search,
     shaping,
+    shapley,
     silver,
+    stages,
 )
 from sprintlens.plans import setup as S
-from sprintlens.session import scratch_dir
+from sprintlens.session import scratch_dir, stable_dir
 from sprintlens.sources import readers, views, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -543,6 +548,14 @@ def reliability_curve(spark, d):
 
 @query
 def bootstrap_ci(spark, d):
+    """Exactly n draws per replicate, by cells."""
+    test = S.scored(spark, d).where(split_is("test"))
+    replicates = resampling.multinomial_replicates(test, threshold=S.THRESHOLD, replicates=S.REPLICATES, digits=None)
+    return S.shown(metrics.bootstrap_ci(replicates))
+
+
+@query
+def bootstrap_poisson(spark, d):
     test = S.scored(spark, d).where(split_is("test"))
     replicates = metrics.bootstrap_replicates(
         test, "sprint_id", threshold=S.THRESHOLD, replicates=S.REPLICATES, digits=None
@@ -774,6 +787,13 @@ def champion_vs_baseline(spark, d):
 # -- fitted models ------------------------------------------------------------------------
 
 
+#: Parameters of the challenger outside the search.
+LEAFWISE = {
+    "n_estimators": 1000, "max_depth": 9, "learning_rate": 0.05, "subsample": 1.0, "colsample_bytree": 0.8,
+    "reg_alpha": 0.01, "reg_lambda": 1.0, "num_leaves": 31, "min_child_samples": 20,
+}
+
+
 def _model_matrix(spark, d):
     return models.model_frame(S.matrix(spark, d))
 
@@ -793,19 +813,18 @@ def _splits(frame):
     return frame.where(split_is("train")), frame.where(split_is("val"))
 
 
-_TRIAL_PATHS: dict[tuple[str, str], str] = {}
 _SEARCHED: dict[tuple[str, str], DataFrame] = {}
 
 
 def _trials(spark, d):
-    """The full search of both families, run once per application and folder and kept in the
-    shared scratch folder; each trial is stored as it ends."""
+    """The full search of both families, kept in the shared scratch folder under a name that
+    follows from the rows: any session with that folder goes on where the last one ended."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _SEARCHED:
-        path = _TRIAL_PATHS.setdefault(key, scratch_dir(spark, "trials"))
         with _prepared(spark, d, "train", "val") as frame:
-            boosted, forest = (models.stored_search(f"{path}/{f}", f, *_splits(frame)) for f in ("boosted", "forest"))
-        _SEARCHED[key] = boosted.unionByName(forest)
+            parts = _splits(frame)
+            path = stable_dir(spark, f"tree-trials-{search.fingerprint(*parts)}")
+            _SEARCHED[key] = models.tree_search(path, *parts)
     return _SEARCHED[key]
 
 
@@ -848,38 +867,91 @@ def champion(spark, d):
 def lopo_metrics(spark, d):
     params, _, winner = _tuned(spark, d)
     with _prepared(spark, d, "train", "cal") as frame:
-        build, _ = models.FAMILIES[winner]
+        build = models.FAMILIES[winner]
         table = models.fold_metrics(frame, build(params[winner]), S.PROJECTS)
         summary = models.fold_summary(table)
         table = shaping.with_row(table, "s", summary).select(*table.columns, "s.f2_mean", "s.f2_std")
         return spark.createDataFrame(table.collect(), table.schema)
 
 
+@query
+def leafwise_boosting(spark, d):
+    """Best leaf first, stopped by the validation loss: suites of both splits and the rounds kept."""
+    with _prepared(spark, d, "train", "val") as frame:
+        train, val = _splits(frame)
+        settings = search.settings_of("leafwise", LEAFWISE, watched=True)
+        forest = boosting.fit(train, {0: settings}, watched=val)[0]
+        scored = scoring.predict(stages.BoostedTrees(forest), frame)
+        table = models.measured(scored, ["split"]).withColumn("rounds", F.lit(len(forest.trees)))
+        return spark.createDataFrame(table.collect(), table.schema)
+
+
+def _calibrated(spark, d, frame):
+    """The champion and its calibration map as one pipeline, saved and loaded again."""
+    fitted = _refitted(spark, d, frame)
+    winner, calibration, table = models.calibrate(scoring.predict(fitted, frame))
+    path = scratch_dir(spark, "model")
+    writers.save_model(fitted if calibration is None else stages.as_pipeline(fitted, calibration), path)
+    return readers.load_model(path), winner, table
+
+
 @query
 def calibration_compare(spark, d):
-    """Refit on train and val, calibrated on cal, saved, loaded, and compared per split."""
+    """Refit on train and val, calibrated on cal, compared per split."""
     with _prepared(spark, d) as frame:
-        path = scratch_dir(spark, "model")
-        writers.save_model(_refitted(spark, d, frame), path)
-        scored = scoring.predict(readers.load_model(path), frame)
-        winner, _, table = models.calibrate(scored)
+        _, winner, table = _calibrated(spark, d, frame)
         table = table.withColumn("winner", F.col("method") == winner)
         return spark.createDataFrame(table.collect(), table.schema)
 
 
+@query
+def calibrated_scores(spark, d):
+    """Every sprint scored by the saved pipeline of champion and calibration map."""
+    with _prepared(spark, d) as frame:
+        model, _, _ = _calibrated(spark, d, frame)
+        path = scratch_dir(spark, "scores")
+        scoring.predict(model, frame).select("sprint_id", "split", "p").write.parquet(path)
+        return spark.read.parquet(path)
+
+
+def _explained(spark, d, explainer):
+    """Contributions of the champion on the test rows, written once."""
+    with _prepared(spark, d) as frame:
+        path = scratch_dir(spark, "contributions")
+        explainer(_refitted(spark, d, frame), frame.where(split_is("test"))).write.parquet(path)
+        return spark.read.parquet(path)
+
+
 @query
 def shapley_sampled(spark, d):
-    frame = _model_matrix(spark, d)
-    model = _refitted(spark, d, frame)
-    table = explain.sampled_contributions(model, frame.where(split_is("test")), P.FEATURES, "sprint_id")
+    table = _explained(spark, d, lambda model, test: explain.sampled_contributions(model, test, P.FEATURES, "sprint_id"))
     return explain.global_importance(table)
 
 
+@query
+def shapley_trees(spark, d):
+    """Exact contributions of the champion's trees to the margin of every test row."""
+    return _explained(spark, d, lambda model, test: shapley.tree_contributions(model, test, "sprint_id"))
+
+
+@query
+def shapley_kernel(spark, d):
+    """Contributions of the best logistic model by weighted coalitions against the mean row."""
+    with _prepared(spark, d) as frame:
+        grid = [{"C": 1.0, "penalty": "l2", "smote": False}]
+        _, fitted = models.logistic_trials(*_splits(frame), grid)
+        path = scratch_dir(spark, "contributions")
+        model, test = next(iter(fitted.values())), frame.where(split_is("test"))
+        shapley.kernel_contributions(model, test, P.FEATURES, "sprint_id").write.parquet(path)
+        return spark.read.parquet(path)
+
+
 @query
 def partial_dependence_trees(spark, d):
-    frame = _model_matrix(spark, d)
-    model = _refitted(spark, d, frame)
-    test = frame.where(split_is("test"))
-    parts = explain.sampled_contributions(model, test, P.FEATURES, "sprint_id")
-    top = [r["feature"] for r in explain.global_importance(parts).limit(5).collect()]
-    return explain.partial_dependence(test, lambda df: scoring.predict(model, df), top)
+    with _prepared(spark, d) as frame:
+        model, test = _refitted(spark, d, frame), frame.where(split_is("test"))
+        parts = shapley.tree_contributions(model, test, "sprint_id")
+        top = [r["feature"] for r in explain.global_importance(parts).limit(5).collect()]
+        path = scratch_dir(spark, "dependence")
+        explain.partial_dependence(test, lambda df: scoring.predict(model, df), top).write.parquet(path)
+        return spark.read.parquet(path)

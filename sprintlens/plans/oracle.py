@@ -550,7 +550,7 @@ def oracle_sql() -> dict[str, str]:
         "threshold_report": build(" UNION ALL ".join(
             f"SELECT split, {suite_columns()}, '{rule}' AS rule FROM {suite('scored', ['split'], f'(SELECT threshold_{rule} FROM best WHERE split = {chr(39)}val{chr(39)})', where='split IN (' + names_in(('val', 'test')) + ')')}" for rule in ("f2", "value")), "scored", "best"),
         "reliability_curve": build(f"SELECT split, CAST({' + '.join(f'CAST(p > {lit(i / 10)} AS INTEGER)' for i in range(1, 10))} AS INTEGER) AS bin, CAST((2 * sum(CAST(round(p * 1e6) AS BIGINT)) + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS prob_predicha_media, {r('avg(y)', 'frecuencia_real')}, count(*) AS n FROM scored GROUP BY 1, 2", "scored"),
-        "bootstrap_ci": build(f"SELECT metric, {r('ci_lo', 'ci_lo')}, {r('ci_hi', 'ci_hi')} FROM intervals", "intervals"),
+        "bootstrap_poisson": build(f"SELECT metric, {r('ci_lo', 'ci_lo')}, {r('ci_hi', 'ci_hi')} FROM intervals", "intervals"),
         "mcnemar": build(f"""SELECT sprint_year, a_right_b_wrong, a_wrong_b_right, {r('statistic', 'statistic')}, {r('pv', 'p_value')}, pv < 0.05 AS significant FROM (
  SELECT *, CASE WHEN a_right_b_wrong + a_wrong_b_right = 0 THEN 1e0 ELSE {chi2_tail('statistic')} END AS pv FROM (
  SELECT *, coalesce(power(abs(a_right_b_wrong - a_wrong_b_right) - 1e0, 2) / nullif(CAST(a_right_b_wrong + a_wrong_b_right AS DOUBLE), 0), 0) AS statistic FROM (

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sprintlens import params as P
-from sprintlens.operators import drift, explain, features, metrics, models, risk, scoring
+from sprintlens.operators import drift, explain, features, metrics, models, resampling, risk, scoring, shapley, stages
 from sprintlens.sources import readers, writers
 
 
@@ -29,9 +29,7 @@ class Settings:
     cases: Sequence[tuple[str, str]] = (("tp", "HTTPCLIENT"), ("tn", "IO"), ("fn", "MATH"))
     trials: int = 50
     grid: Sequence[dict] = field(default_factory=models.logistic_grid)
-    tree_trials: dict[str, Sequence[dict]] | None = None
     replicates: int = 1000
-    shapley_rounds: int = 8
 
 
 def run(spark: SparkSession, gold_path: str, out: str, settings: Settings | None = None) -> DataFrame:
@@ -51,27 +49,22 @@ def run(spark: SparkSession, gold_path: str, out: str, settings: Settings | None
         table, _ = models.logistic_trials(train, val, s.grid)
         report(table, "logistic_trials")
 
+        table = models.tree_search(f"{out}/trials", train, val, s.trials)
+        found = {r["study"]: r for r in models.best_trial(table).collect()}
         fitted, f2, best_params = {}, {}, {}
         for family in models.FAMILIES:
-            trials = (s.tree_trials or {}).get(family) or models.sample_trials(models.FAMILIES[family][1], s.trials)
-            table = models.resume(
-                f"{out}/trials/{family}",
-                lambda known, f=family, t=trials: models.tune_trees(f, train, val, known=known, trials=t)[0],
-                spark,
-            )
-            best = models.best_trial(table).first()
+            best = found[family]
             best_params[family], f2[family] = json.loads(best["params"]), best["f2"]
             fitted[family] = models.refit(family, best_params[family], frame)
         report(models.champion_report(fitted, f2, frame), "champion")
         names = list(models.FAMILIES)
         winner = models.select_champion(f2[names[0]], f2[names[1]], *names)
-        writers.save_model(fitted[winner], f"{out}/model")
-
         scored = scoring.predict(fitted[winner], frame).persist()
         method, calibrated, table = models.calibrate(scored)
         report(table, "calibration")
-        if calibrated is not None:
-            scored = calibrated(scored)
+        model = fitted[winner] if calibrated is None else stages.as_pipeline(fitted[winner], calibrated)
+        writers.save_model(model, f"{out}/model")
+        scored = scoring.predict(model, frame)
         scored = scored.withColumn("sprint_year", F.col("year").cast("bigint")).persist()
 
         report(models_folds(frame, winner, best_params[winner], s), "folds")
@@ -93,15 +86,11 @@ def run(spark: SparkSession, gold_path: str, out: str, settings: Settings | None
         report(drift.drift_report(matrix, is_("train"), is_("test")), "drift")
         report(drift.yearly_drift(scored, s.reference_end), "drift_by_year")
         shifted = drift.simulated_shift(frame.where(is_("test")))
-        rescored = scoring.predict(fitted[winner], shifted)
-        if calibrated is not None:
-            rescored = calibrated(rescored)
+        rescored = scoring.predict(model, shifted)
         report(drift.simulated_drift(rescored, "log_avg_cycle_time"), "drift_simulated")
 
         test = frame.where(is_("test"))
-        parts = explain.sampled_contributions(
-            fitted[winner], test, P.FEATURES, "sprint_id", rounds=s.shapley_rounds
-        ).persist()
+        parts = shapley.tree_contributions(fitted[winner], test, "sprint_id").persist()
         importance = explain.global_importance(parts)
         report(importance, "importance")
         top = [r["feature"] for r in importance.limit(5).collect()]
@@ -118,7 +107,7 @@ def run(spark: SparkSession, gold_path: str, out: str, settings: Settings | None
         parts.unpersist()
 
         intervals = metrics.bootstrap_ci(
-            metrics.bootstrap_replicates(tested, "sprint_id", threshold=threshold, replicates=s.replicates)
+            resampling.multinomial_replicates(tested, threshold=threshold, replicates=s.replicates)
         )
         summary = metrics.final_evaluation(scored, threshold, intervals).withColumns(
             {
@@ -138,6 +127,6 @@ def run(spark: SparkSession, gold_path: str, out: str, settings: Settings | None
 
 def models_folds(frame: DataFrame, family: str, params: dict, s: Settings) -> DataFrame:
     """Leave-one-project-out of the champion's parameters on train and cal."""
-    build, _ = models.FAMILIES[family]
+    build = models.FAMILIES[family]
     pool = frame.where(F.col("split").isin("train", "cal"))
     return models.fold_metrics(pool, build(params), s.projects)

@@ -25,8 +25,8 @@ def build_session(app: str = "sprintlens", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def stable_dir(spark: SparkSession, name: str) -> str:
+    """The folder of this name below the cluster's shared checkpoint folder.
 
     Only a local master may fall back to a folder of this machine; on a cluster the
     setting is required because executors and driver must see the same files.
@@ -37,4 +37,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="sprintlens-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}"
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the cluster's shared checkpoint folder."""
+    return stable_dir(spark, f"{name}-{uuid.uuid4().hex}")

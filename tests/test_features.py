@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sprintlens import params as P
 from sprintlens.operators import features, oversample
+from sprintlens.operators.neighbours import nearest_rows
 
 
 def gold(spark, rows):
@@ -78,11 +79,10 @@ def points(spark, minority=9, majority=31):
     return spark.createDataFrame(rows, "i string, y double, a double, b double, c double"), rows
 
 
-def test_neighbours_equal_brute_force(spark, many_chunks):
-    """A window of 5 ranks among 120 rows cannot hold all neighbours: later rounds must find them."""
+def test_neighbours_equal_brute_force(spark):
     df, rows = points(spark, minority=120, majority=1)
     small = df.where("y = 0").select("i", F.array("a", "b", "c").alias("x"))
-    got = {r["id"]: [n["other"] for n in r["neighbours"]] for r in oversample.near_rows(small, "i", 3, reach=5).collect()}
+    got = {r["id"]: [n["other"] for n in r["neighbours"]] for r in nearest_rows(small, "i", 5, cell_rows=16).collect()}
     vectors = {r[0]: np.array(r[2:]) for r in rows if r[1] == 0}
     assert len(got) == 120
     for i, v in vectors.items():

@@ -43,9 +43,8 @@ def test_jobs_and_pipeline(spark, tmp_path):
     )
     settings = pipeline.Settings(
         years=S.YEARS, bounds=S.BOUNDS, reference_end=S.REFERENCE_END, projects=("C1", "C2"),
-        cases=(("tp", "C1"), ("tn", "C2")), replicates=10, shapley_rounds=1,
-        grid=models.logistic_grid()[4:5],
-        tree_trials={"boosted": [{"maxIter": 3, "maxDepth": 3}], "forest": [{"numTrees": 3, "maxDepth": 3}]},
+        cases=(("tp", "C1"), ("tn", "C2")), replicates=10,
+        grid=models.logistic_grid()[4:5], trials=1,
     )
     summary = pipeline.run(spark, path, f"{out}/run", settings).first()
     assert summary["champion"] in models.FAMILIES and 0 < summary["test_f2"] <= 1

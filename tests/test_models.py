@@ -39,29 +39,9 @@ def test_logistic_trials_score_every_parameter(matrix):
     assert best["f2"] == max(r["f2"] for r in rows)
 
 
-def test_trials_resume(spark, matrix, tmp_path):
-    seen = []
-
-    def table(known):
-        trials = models.sample_trials(models.boosted_space, 2)
-        for t in trials:
-            t.update(maxIter=2, maxDepth=2)
-        out, fitted = models.tune_trees("boosted", part(matrix, "train"), part(matrix, "val"), known=known, trials=trials)
-        seen.append(len(fitted))
-        return out
-
-    for _ in range(2):
-        stored = models.resume(str(tmp_path / "trials"), table, spark)
-    assert seen == [2, 0] and stored.count() == 2
-
-
-def test_search_is_seeded():
-    assert models.sample_trials(models.forest_space, 3) == models.sample_trials(models.forest_space, 3)
-
-
 def test_champion_needs_a_margin():
     assert models.select_champion(0.9, 0.904) == "boosted"
-    assert models.select_champion(0.9, 0.906) == "forest"
+    assert models.select_champion(0.9, 0.906) == "leafwise"
 
 
 def test_folds_and_summary(matrix):
@@ -75,7 +55,7 @@ def test_isotonic_pools_violators(spark):
     df = spark.createDataFrame([(float(p), int(y)) for p, y in rows], "p double, y int")
     apply = models.fit_isotonic(df, "y")
     probe = spark.createDataFrame([(0.0,), (0.4,), (0.9,), (2.0,)], "p double")
-    assert [r["q"] for r in apply(probe, "q").collect()] == pytest.approx([0.0, 0.6, 1.0, 1.0])
+    assert [r["q"] for r in apply.on(probe, "p", "q").collect()] == pytest.approx([0.0, 0.6, 1.0, 1.0])
 
 
 def test_platt_matches_newton_on_smoothed_targets(spark):
@@ -91,7 +71,7 @@ def test_platt_matches_newton_on_smoothed_targets(spark):
         beta += np.linalg.solve(x.T @ (x * (q * (1 - q))[:, None]), x.T @ (t - q))
     probe = spark.createDataFrame([(v,) for v in (0.0, 0.3, 0.9)], "p double")
     want = 1 / (1 + np.exp(-(beta[0] * np.array([0.0, 0.3, 0.9]) + beta[1])))
-    assert np.allclose([r["q"] for r in apply(probe, "q").collect()], want, atol=1e-4)
+    assert np.allclose([r["q"] for r in apply.on(probe, "p", "q").collect()], want, atol=1e-4)
 
 
 def test_calibration_keeps_the_lowest_brier_on_cal(spark):
@@ -109,7 +89,7 @@ def test_calibration_keeps_the_lowest_brier_on_cal(spark):
 
 
 def test_saved_model_scores_alike(spark, matrix, tmp_path):
-    model = models.refit("boosted", {"maxIter": 3, "maxDepth": 2}, matrix)
+    model = models.refit("boosted", {"n_estimators": 3, "max_depth": 2}, matrix)
     writers.save_model(model, str(tmp_path / "m"))
     probe = part(matrix, "test")
     a = {r["sprint_id"]: r["p"] for r in scoring.predict(model, probe).collect()}

@@ -10,7 +10,7 @@ from sprintlens.plans import catalog
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["bootstrap_ci", "final_evaluation"])
+@pytest.mark.parametrize("name", ["bootstrap_ci", "bootstrap_poisson", "final_evaluation"])
 def test_queries_draw_all_replicates(spark, monkeypatch, name):
     drawn, intervals = [], metrics.bootstrap_ci
 
