@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,8 @@ from sprintlens.operators.ranking import collapse, percentiles_from_totals, runn
 from sprintlens.operators.shaping import with_row
 
 BINS = 10
+#: Sample size up to which path counts give the p-value, as in the published library.
+EXACT_ROWS = 10_000
 
 
 def drift_by_cohort(
@@ -22,12 +27,14 @@ def drift_by_cohort(
     cohorts: dict[str, Column],
     features: Sequence[str],
     digits: int | None = 4,
+    exact: bool = True,
 ) -> DataFrame:
     """Distance, p-value, stability index and flag per cohort and feature.
 
     Reference and cohorts are conditions on the rows of one frame. Their counts per
     distinct value stand side by side, so one running total serves every cohort: the
     largest gap of two distribution functions, the reference deciles, and the bin counts.
+    p-values of samples up to EXACT_ROWS are exact unless `exact` is off.
     """
     names = ["n_ref", *[f"n_{i}" for i in range(len(cohorts))]]
     member = [F.coalesce(c, F.lit(False)).cast("int").alias(n) for n, c in zip(names, [reference, *cohorts.values()])]
@@ -77,7 +84,7 @@ def drift_by_cohort(
             F.sum((a - e) * F.ln(a / e)).alias("psi"),
         )
         .where((F.col("n_ref") >= P.MIN_SAMPLE) & (F.col("n_cur") >= P.MIN_SAMPLE))
-        .withColumn("p", N.kolmogorov_tail(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
+        .withColumn("p", (two_sample_tail if exact else N.kolmogorov_tail)(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
     )
     shaped = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
     return measured.select(
@@ -92,10 +99,10 @@ def drift_by_cohort(
 
 def drift_report(
     df: DataFrame, reference: Column, target: Column, features: Sequence[str] = P.FEATURES,
-    digits: int | None = 4,
+    digits: int | None = 4, exact: bool = True,
 ) -> DataFrame:
     """Per feature between two samples of the frame, largest stability index first."""
-    report = drift_by_cohort(df, reference, {"target": target}, features, digits)
+    report = drift_by_cohort(df, reference, {"target": target}, features, digits, exact)
     return report.drop("cohort").orderBy(F.col("psi").desc(), "feature")
 
 
@@ -106,6 +113,7 @@ def yearly_drift(
     label: str = P.LABEL,
     score: str = "p",
     digits: int | None = 4,
+    exact: bool = True,
 ) -> DataFrame:
     """Per year with enough rows: size, positive rate, suite at .5, ratio PSI, drifted features.
 
@@ -127,7 +135,7 @@ def yearly_drift(
         "brier",
     ).where(F.col("n_sprints") >= P.MIN_YEAR_ROWS)
     cohorts = {str(y): F.col(year) == y for y in years}
-    per_feature = drift_by_cohort(df, F.col(year) <= reference_end, cohorts, watched, digits)
+    per_feature = drift_by_cohort(df, F.col(year) <= reference_end, cohorts, watched, digits, exact)
     summary = per_feature.groupBy(F.col("cohort").cast("bigint").alias(year)).agg(
         F.max(F.when(F.col("feature") == ratio_feature, F.col("psi"))).alias("psi_bsr"),
         F.sum(F.when(F.col("feature").isin(*features), F.col("drift_flag")).otherwise(0)).alias("n_drift_feat"),
@@ -179,6 +187,47 @@ def drift_headline(report: DataFrame, yearly: DataFrame, simulated: DataFrame) -
     )
 
 
+# -- exact p-value ------------------------------------------------------------------
+
+
+def lattice_tail(distance: float, a: int, b: int) -> float:
+    """P(two-sample distance >= this one) under equal distributions, by counting lattice paths.
+
+    u is the share of all paths to a point of the diagonal i + j = s that never were `distance`
+    apart; a path comes to (i, j) from the left with chance i / s. Only points inside are kept."""
+    m, n = (a, b) if a < b else (b, a)
+    g = math.gcd(m, n)
+    h = round(distance * (m // g) * n)
+    if h <= 0:
+        return 1.0
+    u, low = np.ones(1), 0
+    for s in range(1, m + n + 1):
+        lo = max(0, s - n, (s * m - h * g) // (m + n) + 1)
+        hi = min(m, s, -(-(s * m + h * g) // (m + n)) - 1)
+        if lo > hi:
+            return 1.0
+        padded = np.zeros(hi - lo + 2)  # u at i = lo - 1 .. hi of the diagonal before
+        first, last = max(low, lo - 1), min(low + len(u) - 1, hi)
+        if first <= last:
+            padded[first - lo + 1 : last - lo + 2] = u[first - low : last - low + 1]
+        i = np.arange(lo, hi + 1)
+        u, low = padded[:-1] * (i / s) + padded[1:] * ((s - i) / s), lo
+    return float(min(1.0, max(0.0, 1.0 - u[0])))
+
+
+def two_sample_tail(distance: Column, a: Column, b: Column) -> Column:
+    """Exact while no sample has more than EXACT_ROWS rows, the limit series beyond. One row per
+    feature and cohort comes here."""
+
+    @F.pandas_udf("double")
+    def tail(d: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([lattice_tail(*row) for row in zip(d, x.astype(int), y.astype(int))], dtype=float)
+
+    small = F.greatest(a, b) <= EXACT_ROWS
+    asked = [F.when(small, c).otherwise(other) for c, other in ((distance, 0.0), (a, 1.0), (b, 1.0))]
+    return F.when(small, tail(*asked)).otherwise(N.kolmogorov_tail(distance, a, b))
+
+
 # -- rules ------------------------------------------------------------------------
 
 # Guard name, metric, direction in which it fires, limit.

@@ -332,9 +332,10 @@ def leaderboard(*parts: DataFrame) -> DataFrame:
 
 def final_evaluation(
     df: DataFrame, threshold: float, intervals: DataFrame | None = None, label=P.LABEL, score="p",
-    digits: int | None = 4,
+    digits: int | None = 4, per_fold: DataFrame | None = None,
 ) -> DataFrame:
-    """One row: val and test suites, their F2 gap, flagging rate, optional intervals."""
+    """One row: val and test suites, their F2 gap, flagging rate; where given, intervals and the
+    mean and spread of F2 over the folds."""
     suites = metric_suite(df.where(F.col("split").isin("val", "test")), label, score, threshold, ["split"], None)
     names = ("f2", "recall", "precision", "pr_auc", "roc_auc", "brier")
     shaped = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
@@ -357,4 +358,9 @@ def final_evaluation(
             *[of(m, side).alias(f"test_{m}_ci_{side}") for m in ("f2", "recall", "brier") for side in ("lo", "hi")]
         )
         record = with_row(record, "ci", bounds).select(*record.columns, "ci.*")
+    if per_fold is not None:
+        spread = per_fold.agg(
+            shaped(F.avg("f2")).alias("lopo_f2_mean"), shaped(F.stddev_samp("f2")).alias("lopo_f2_std")
+        )
+        record = with_row(record, "folds", spread).select(*record.columns, "folds.*")
     return record

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sprintlens import params as P
@@ -238,6 +238,29 @@ def quality_counters(spark, d):
     return S.shown(shaping.null_shares(df, ["issue_key", "created_ts", "resolved_ts", "cycle_time_days"]))
 
 
+@query
+def row_accounting(spark, d):
+    """Rows before and after the filter on resolved issues, counted while they are written."""
+    seen = Observation("resolved")
+    df = silver.classify_tracker_b(S.tracker_b_raw(spark, d))
+    kept = shaping.counted_filter(df, F.col("cycle_time_days") >= 30, seen)
+    path = scratch_dir(spark, "resolved")
+    kept.write.parquet(path)
+    counts = seen.get
+    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_stored"))
+    return stored.select(*[F.lit(counts[c]).cast("long").alias(c) for c in ("rows_before", "rows_after")], "rows_stored")
+
+
+@query
+def module_files(spark, d):
+    """Name, project and version of every module file, from its path alone."""
+    path = F.concat(F.lit("file:/raw/code-1.0/"), "basename", F.when(F.length("basename") % 2 == 0, ".csv").otherwise(".CSV"))
+    stem = X.file_stem(path)
+    return views.modules(spark, d).select(
+        "basename", stem.alias("stem"), X.module_project(stem).alias("project"), X.module_version(stem).alias("version")
+    )
+
+
 @query
 def null_profile_drop(spark, d):
     """Columns more than 40 % null are dropped; the surviving schema and its null counts."""
@@ -587,20 +610,29 @@ def leaderboard(spark, d):
     return S.shown(metrics.leaderboard(baselines, score))
 
 
+def _folds(spark, d):
+    """Suites of the fold projects under the closed-form score, which no fold has to fit."""
+    return metrics.metric_suite(
+        S.scored(spark, d).where(F.col("project").isin(*S.PROJECTS)), threshold=S.THRESHOLD, by=["project"], digits=None
+    )
+
+
 @query
 def final_evaluation(spark, d):
     scored = S.scored(spark, d)
     replicates = metrics.bootstrap_replicates(
         scored.where(split_is("test")), "sprint_id", threshold=S.THRESHOLD, replicates=S.REPLICATES, digits=None
     )
-    return S.shown(metrics.final_evaluation(scored, S.THRESHOLD, metrics.bootstrap_ci(replicates), digits=None))
+    intervals = metrics.bootstrap_ci(replicates)
+    return S.shown(metrics.final_evaluation(scored, S.THRESHOLD, intervals, digits=None, per_fold=_folds(spark, d)))
 
 
 # -- drift and monitoring -----------------------------------------------------------
 
 
+# The SQL twins of the drift queries state the limit series; exact p-values have a query of their own.
 def _report(spark, d, names=P.FEATURES):
-    return drift.drift_report(S.matrix(spark, d), split_is("train"), split_is("test"), names, digits=None)
+    return drift.drift_report(S.matrix(spark, d), split_is("train"), split_is("test"), names, digits=None, exact=False)
 
 
 @query
@@ -618,9 +650,15 @@ def drift_report(spark, d):
     return S.shown(_report(spark, d))
 
 
+@query
+def drift_report_exact(spark, d):
+    """As `drift_report`, with p-values by path counts where samples allow."""
+    return S.shown(drift.drift_report(S.matrix(spark, d), split_is("train"), split_is("test"), digits=None))
+
+
 @query
 def drift_by_year(spark, d):
-    return S.shown(drift.yearly_drift(S.scored(spark, d), S.REFERENCE_END, digits=None))
+    return S.shown(drift.yearly_drift(S.scored(spark, d), S.REFERENCE_END, digits=None, exact=False))
 
 
 def _simulated(spark, d):
@@ -637,14 +675,14 @@ def drift_simulated(spark, d):
 
 @query
 def drift_headline(spark, d):
-    yearly = drift.yearly_drift(S.scored(spark, d), S.REFERENCE_END, digits=None)
+    yearly = drift.yearly_drift(S.scored(spark, d), S.REFERENCE_END, digits=None, exact=False)
     return S.shown(drift.drift_headline(_report(spark, d), yearly, _simulated(spark, d)))
 
 
 @query
 def monitoring_guards(spark, d):
-    final = metrics.final_evaluation(S.scored(spark, d), S.THRESHOLD, digits=None).select(
-        "flagging_rate_test", F.col("test_brier").alias("brier"), F.col("test_f2").alias("f2")
+    final = metrics.final_evaluation(S.scored(spark, d), S.THRESHOLD, digits=None, per_fold=_folds(spark, d)).select(
+        "flagging_rate_test", F.col("test_brier").alias("brier"), F.col("test_f2").alias("f2"), "lopo_f2_std", F.col("f2_gap").alias("f2_drop")
     )
     return S.shown(drift.monitoring_guards(writers.metrics_long(final, "run", "final").select("key", "value")))
 
@@ -676,8 +714,11 @@ def global_importance(spark, d):
     )
 
 
-# Coefficients of a linear model, fixed so that the SQL twin can use the same.
-LINEAR = {"log_avg_cycle_time": 0.8, "bugs_per_issue": 1.5, "log_total_issues": 0.4, "bsr_missing": -0.2}
+# The closed-form score's own coefficients of the features that it is linear in.
+LINEAR = {
+    "log_avg_cycle_time": P.SCORE_CYCLE, "bugs_per_issue": P.SCORE_RATIO,
+    "log_total_issues": P.SCORE_SIZE, "cycle_missing": P.SCORE_MISSING,
+}
 
 
 @query
@@ -715,8 +756,9 @@ def top_drivers(spark, d):
 
 @query
 def partial_dependence(spark, d):
-    names = ("log_avg_cycle_time", "num_bugs_sprint", "cycle_missing", "change_failure_rate")
     test = S.matrix(spark, d).where(split_is("test"))
+    importance = explain.global_importance(scoring.contributions(test, ["sprint_id"]))
+    names = [r["feature"] for r in importance.limit(5).collect()]
     return S.shown(
         explain.partial_dependence(test, lambda df: scoring.closed_form_score(df, S.INTERCEPT), names)
     )

@@ -378,6 +378,8 @@ def pick(split: str, m: str) -> str:
 
 FLAG_RATE = f"(SELECT {ratio('tp + fp', 'tp + fp + fn + tn')} FROM final_suite WHERE split = 'test')"
 
+FOLD_F2 = f"(SELECT {f2()} AS f FROM {suite('scored', ['project'], T, where='project IN (' + names_in(S.PROJECTS) + ')')})"
+
 what_if_base = """SELECT sprint_id, num_bugs_sprint AS bugs, num_stories_sprint AS stories, num_tasks_sprint AS tasks, avg_cycle_time_days AS cycle,
   sprint_year AS yr, sprint_month AS mon, deploy_frequency_weekly AS deploy, change_failure_rate AS cfr FROM gold"""
 part("inputs", what_if_base, "gold")
@@ -404,7 +406,9 @@ def impute_scale_sql() -> str:
 
 
 def pdp_sql() -> str:
-    spots = {"log_avg_cycle_time": "log_cycle", "num_bugs_sprint": "bugs", "cycle_missing": "missing", "change_failure_rate": "cfr"}
+    # the score has five terms: they are the five most important features; two of them are only
+    # read from the counts below them, so that their own column moves nothing
+    spots = {"log_avg_cycle_time": "log_cycle", "bugs_per_issue": None, "log_total_issues": None, "cycle_missing": "missing", "change_failure_rate": "cfr"}
     pieces = []
     for f, arg in spots.items():
         grid = f"""(SELECT DISTINCT v FROM (
@@ -412,7 +416,7 @@ def pdp_sql() -> str:
           FROM (SELECT count(DISTINCT {f}) AS nd, quantile_cont(CAST({f} AS DOUBLE), 0.05) AS lo, quantile_cont(CAST({f} AS DOUBLE), 0.95) AS hi FROM feat WHERE split = 'test'), range(50) g(i)
           UNION ALL SELECT CASE WHEN (SELECT count(DISTINCT {f}) FROM feat WHERE split = 'test') < 50 THEN CAST({f} AS DOUBLE) END FROM feat WHERE split = 'test') WHERE v IS NOT NULL)"""
         pieces.append(
-            f"SELECT '{f}' AS feature, {r('v', 'value')}, {r(f'avg({probability(**{arg: chr(118)})})', 'mean_p')} FROM (SELECT * FROM feat WHERE split = 'test'), {grid} GROUP BY v"
+            f"SELECT '{f}' AS feature, {r('v', 'value')}, {r(f'avg({probability(**({arg: chr(118)} if arg else {}))})', 'mean_p')} FROM (SELECT * FROM feat WHERE split = 'test'), {grid} GROUP BY v"
         )
     return build(" UNION ALL ".join(pieces), "feat")
 
@@ -493,6 +497,9 @@ def oracle_sql() -> dict[str, str]:
         "report_round_trip": build(f"SELECT sprint_year, count(*) AS n, {i64(f'sum({lbl})', 'positives')}, count(*) AS n_json FROM gold GROUP BY sprint_year", "gold"),
         "run_log_evidence": build(f"""SELECT {", ".join(f"{r(f'(SELECT {c} FROM final_suite WHERE split = {chr(39)}{s}{chr(39)})', f'{s}_{c}')}" for s, c in (("val", "tp"), ("val", "fp"), ("test", "tp"), ("test", "fn")))}, 0.9526e0 AS lopo_f2_mean""", "final_suite"),
         "quality_counters": build(" UNION ALL ".join(f"SELECT '{n}' AS \"column\", count(*) AS rows, {i64(f'sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)', 'nulls')}, {r(f'avg(CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END)', 'null_share')} FROM tracker_b" for n, c in (("issue_key", "issue_key"), ("created_ts", "created"), ("resolved_ts", "resolutiondate"), ("cycle_time_days", "cycle_time_days"))), "tracker_b"),
+        "row_accounting": build(f"SELECT count(*) AS rows_before, count(*) FILTER (WHERE cycle_time_days >= 30) AS rows_after, count(*) FILTER (WHERE cycle_time_days >= 30) AS rows_stored FROM tracker_b", "tracker_b"),
+        "module_files": build("""SELECT basename, stem, coalesce(nullif(split_part(stem, '-', 1), stem), '') AS project, CASE WHEN stem = '' THEN '' ELSE split_part(stem, '-', 2) END AS version
+ FROM (SELECT basename, CASE WHEN length(basename) % 2 = 0 THEN basename ELSE '' END AS stem FROM modules)""", "modules"),
         "null_profile_drop": build("""SELECT "column", rows, nulls FROM (""" + " UNION ALL ".join(f"SELECT '{n}' AS \"column\", count(*) AS rows, {i64(f'sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)', 'nulls')} FROM tracker_b" for n, c in (("Issue key", "issue_key"), ("Issue Type", "issuetype_name"), ("Status", "status"), ("Project key", "project_key"), ("Created", "created"), ("Resolved", "resolutiondate"), ("Assignee", "CAST(NULL AS VARCHAR)"))) + ") WHERE nulls <= 0.4 * rows", "tracker_b"),
         "cycle_time_summary": build(f"""SELECT (SELECT count(*) FROM silver) AS total, (SELECT count(cycle_time_days) FROM silver) AS resolved, {r('(SELECT count(cycle_time_days) / CAST(count(*) AS DOUBLE) FROM silver)', 'coverage')},
  p25, p50, p75, p90, mean, max FROM ({distribution('cycle_time_days', 'silver', (0.25, 0.5, 0.75, 0.9))})""", "silver"),
@@ -558,7 +565,7 @@ def oracle_sql() -> dict[str, str]:
  FROM (SELECT sprint_year, y, CAST(p >= 0.5 AS INTEGER) AS a, CAST(p >= 0.75 AS INTEGER) AS b FROM scored) GROUP BY sprint_year)))""", "scored"),
         "metrics_by_project": build(f"SELECT project, {suite_columns()} FROM {suite('scored', ['project'], T, where='project IN (' + names_in(S.PROJECTS) + ')')}", "scored"),
         "leaderboard": build(f"SELECT baseline AS label, {suite_columns()} FROM {suite('baseline_rows', ['baseline'], '0.5e0', where='split = ' + chr(39) + 'val' + chr(39))} UNION ALL SELECT 'closed_form' AS label, {suite_columns()} FROM final_suite WHERE split = 'val'", "baseline_rows", "final_suite"),
-        "final_evaluation": build(f"SELECT {T} AS threshold, " + ", ".join(r(pick(s, m), f"{s}_{m}") for s in ("val", "test") for m in ("f2", "recall", "precision", "pr_auc", "roc_auc", "brier")) + f", {r(pick('val', 'f2') + ' - ' + pick('test', 'f2'), 'f2_gap')}, {r(FLAG_RATE, 'flagging_rate_test')}, {FLAG_RATE} > 0.85 AS flagging_warning, " + ", ".join(r(f"(SELECT ci_{side} FROM intervals WHERE metric = '{m}')", f"test_{m}_ci_{side}") for m in ("f2", "recall", "brier") for side in ("lo", "hi")), "final_suite", "intervals"),
+        "final_evaluation": build(f"SELECT {T} AS threshold, " + ", ".join(r(pick(s, m), f"{s}_{m}") for s in ("val", "test") for m in ("f2", "recall", "precision", "pr_auc", "roc_auc", "brier")) + f", {r(pick('val', 'f2') + ' - ' + pick('test', 'f2'), 'f2_gap')}, {r(FLAG_RATE, 'flagging_rate_test')}, {FLAG_RATE} > 0.85 AS flagging_warning, " + ", ".join(r(f"(SELECT ci_{side} FROM intervals WHERE metric = '{m}')", f"test_{m}_ci_{side}") for m in ("f2", "recall", "brier") for side in ("lo", "hi")) + f", {r('(SELECT avg(f) FROM ' + FOLD_F2 + ')', 'lopo_f2_mean')}, {r('(SELECT stddev_samp(f) FROM ' + FOLD_F2 + ')', 'lopo_f2_std')}", "final_suite", "intervals", "scored"),
         "psi_by_feature": build(f"SELECT feature, {r('psi', 'psi')}, CASE WHEN psi > 0.25 THEN 'red' WHEN psi > 0.1 THEN 'amber' ELSE 'green' END AS light FROM {report}", report),
         "ks_by_feature": build(f"SELECT feature, {r('ks', 'ks_stat')}, {r('p', 'p_value')} FROM {report}", report),
         "drift_report": build(f"SELECT feature, {r('ks', 'ks_stat')}, {r('p', 'p_value')}, {r('psi', 'psi')}, flag AS drift_flag FROM {report}", report),
@@ -567,7 +574,7 @@ def oracle_sql() -> dict[str, str]:
         "drift_headline": build(f"""SELECT (SELECT CAST(sum(flag) AS BIGINT) FROM {report}) AS n_drifted, {r(f'(SELECT max(psi) FROM {report})', 'psi_max')}, (SELECT count(*) FROM {report} WHERE psi > 0.25) AS n_psi_high,
  (SELECT sprint_year FROM year_report ORDER BY f2_raw, sprint_year LIMIT 1) AS worst_year, {r('(SELECT min(f2_raw) FROM year_report)', 'worst_year_f2')},
  {r(f'(SELECT {f2()} FROM shift_suite WHERE shift = 0) - (SELECT {f2()} FROM shift_suite WHERE shift = 0.5e0)', 'f2_drop_50pct')}""", report, "year_report", "shift_suite"),
-        "monitoring_guards": build(" UNION ALL ".join(f"SELECT '{g}' AS guard, '{k}' AS key, {r(v, 'value')}, {lit(limit)} AS \"limit\", {v} {op} {lit(limit)} AS fired" for g, k, v, limit, op in (("flagging_rate", "flagging_rate_test", FLAG_RATE, 0.85, ">"), ("calibration", "brier", pick("test", "brier"), 0.1, ">"), ("retrain_level", "f2", pick("test", "f2"), 0.9, "<"))), "final_suite"),
+        "monitoring_guards": build(" UNION ALL ".join(f"SELECT '{g}' AS guard, '{k}' AS key, {r(v, 'value')}, {lit(limit)} AS \"limit\", ({v}) {op} {lit(limit)} AS fired" for g, k, v, limit, op in (("flagging_rate", "flagging_rate_test", FLAG_RATE, 0.85, ">"), ("calibration", "brier", pick("test", "brier"), 0.1, ">"), ("retrain_level", "f2", pick("test", "f2"), 0.9, "<"), ("fold_spread", "lopo_f2_std", f"(SELECT stddev_samp(f) FROM {FOLD_F2})", 0.05, ">"), ("retrain_drop", "f2_drop", pick("val", "f2") + " - " + pick("test", "f2"), 0.03, ">="))), "final_suite", "scored"),
         "health_lights": build(f"""SELECT {r('f', 'f2')}, {r('m', 'psi_max')}, {r('b', 'brier')}, CASE WHEN f > 0.9 THEN 'green' WHEN f > 0.85 THEN 'amber' ELSE 'red' END AS performance_light,
  CASE WHEN m < 0.25 THEN 'green' WHEN m < 0.4 THEN 'amber' ELSE 'red' END AS drift_light, CASE WHEN b < 0.1 THEN 'green' ELSE 'amber' END AS calibration_light
  FROM (SELECT {pick('test', 'f2')} AS f, (SELECT max(psi) FROM {report}) AS m, {pick('test', 'brier')} AS b)""", "final_suite", report),

@@ -67,7 +67,8 @@ def run(spark: SparkSession, gold_path: str, out: str, settings: Settings | None
         scored = scoring.predict(model, frame)
         scored = scored.withColumn("sprint_year", F.col("year").cast("bigint")).persist()
 
-        report(models_folds(frame, winner, best_params[winner], s), "folds")
+        per_fold = models_folds(frame, winner, best_params[winner], s)
+        report(per_fold, "folds")
 
         on_val = scored.where(F.col("split") == "val")
         best = metrics.best_thresholds(metrics.threshold_sweep(on_val, digits=None)).first()
@@ -109,7 +110,7 @@ def run(spark: SparkSession, gold_path: str, out: str, settings: Settings | None
         intervals = metrics.bootstrap_ci(
             resampling.multinomial_replicates(tested, threshold=threshold, replicates=s.replicates)
         )
-        summary = metrics.final_evaluation(scored, threshold, intervals).withColumns(
+        summary = metrics.final_evaluation(scored, threshold, intervals, per_fold=per_fold).withColumns(
             {
                 "champion": F.lit(winner),
                 "calibration_method": F.lit(method),

@@ -78,3 +78,35 @@ def test_years_with_few_rows_are_left_out(spark):
     df = df.withColumns({f: F.col("v") for f in (*P.FEATURES[:5], "log_bug_story_ratio")})
     out = drift.yearly_drift(df, 2000).collect()
     assert [(r["sprint_year"], r["n_sprints"], r["psi_bsr"]) for r in out] == [(2000, 40, 0.0)]
+
+
+def paths_apart(d, m, n):
+    """Share of all orders of m and n values whose distribution functions are d apart or more."""
+    from itertools import combinations
+
+    far = total = 0
+    for chosen in combinations(range(m + n), m):
+        i = j = 0
+        gap = 0.0
+        for s in range(m + n):
+            i, j = (i + 1, j) if s in chosen else (i, j + 1)
+            gap = max(gap, abs(i / m - j / n))
+        total += 1
+        far += gap >= d - 1e-12
+    return far / total
+
+
+@pytest.mark.parametrize("m,n", [(3, 3), (4, 6), (5, 7), (2, 9), (6, 6), (1, 4)])
+def test_exact_p_values_equal_enumeration(m, n):
+    for d in sorted({abs(i / m - j / n) for i in range(m + 1) for j in range(n + 1)}):
+        assert drift.lattice_tail(d, m, n) == pytest.approx(paths_apart(d, m, n), abs=1e-12)
+        assert drift.lattice_tail(d, n, m) == pytest.approx(drift.lattice_tail(d, m, n), abs=1e-12)
+
+
+def test_exact_p_values_come_near_the_limit_and_stop_at_the_bound(spark, monkeypatch):
+    df = spark.createDataFrame([(0.03, 3000.0, 2500.0), (0.2, 300.0, 250.0), (0.0, 50.0, 60.0)], "d double, a double, b double")
+    p = [r[0] for r in df.select(drift.two_sample_tail(F.col("d"), F.col("a"), F.col("b"))).collect()]
+    series = [r[0] for r in df.select(drift.N.kolmogorov_tail(F.col("d"), F.col("a"), F.col("b"))).collect()]
+    assert p[2] == 1.0 and p == pytest.approx(series, abs=0.02) and p[:2] != series[:2]
+    monkeypatch.setattr(drift, "EXACT_ROWS", 10)
+    assert [r[0] for r in df.select(drift.two_sample_tail(F.col("d"), F.col("a"), F.col("b"))).collect()] == series

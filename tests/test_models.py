@@ -39,6 +39,23 @@ def test_logistic_trials_score_every_parameter(matrix):
     assert best["f2"] == max(r["f2"] for r in rows)
 
 
+def test_grid_point_equals_newton_steps(matrix):
+    """Coefficients of one l2 trial against Newton steps on the same prepared rows."""
+    train = part(matrix, "train")
+    _, fitted = models.logistic_trials(train, part(matrix, "val"), [{"C": 0.5, "penalty": "l2", "smote": False}])
+    got = next(iter(fitted.values())).stages[-1]
+    rows = np.array(train.select(P.LABEL, *P.FEATURES).collect(), float)
+    y, x = rows[:, 0], rows[:, 1:]
+    x = (x - x.mean(0)) / x.std(0, ddof=1)
+    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+    x1, beta = np.column_stack([x, np.ones(len(y))]), np.zeros(x.shape[1] + 1)
+    penalty = np.diag([1 / 0.5] * x.shape[1] + [0])
+    for _ in range(50):
+        q = 1 / (1 + np.exp(-x1 @ beta))
+        beta -= np.linalg.solve(x1.T @ (x1 * (w * q * (1 - q))[:, None]) + penalty, x1.T @ (w * (q - y)) + penalty @ beta)
+    assert np.allclose([*got.coefficients, got.intercept], beta, atol=2e-3)
+
+
 def test_champion_needs_a_margin():
     assert models.select_champion(0.9, 0.904) == "boosted"
     assert models.select_champion(0.9, 0.906) == "leafwise"
