@@ -6,11 +6,17 @@ Each shard links its members to their nearest ones and prunes robustly (a link g
 neighbour is `alpha` times closer to its end); the adjacency lists of all shards are united per
 class. Every class then searches, in each block of its cells and of as many more near ones, the
 united graph: a greedy beam from the block's medoid, then, from what it found in range and from the class's own links,
-expansion through neighbours in range until nothing new turns up. Pairs found are verified by
+expansion through neighbours in range until nothing new turns up. What is found is verified by
 cosine in double precision.
 
+A dense group has links in the square of its size, so links are not written out: a search returns
+how many vectors it found, each counted in the first of the class's cells that holds it, and the
+links of a block reduced to a forest. Both are as long as the list of searches.
+
 Recall is audited against brute force for a bounded sample of classes (the sample is shipped to
-the data); below `recall`, the search runs again with more overlap and a wider beam.
+the data), drawn until AUDIT_LINKED of them have true links or AUDIT_MOST are drawn; it is the
+mean, over classes with true links, of the share found. Below `recall`, the search runs again with
+more overlap and a wider beam; below LEAST_RECALL in the last run, it fails.
 
 Defined cases: vectors that are null, zero, empty or hold null or non-finite components link
 with nothing and are kept; vectors of different length don't link; rows that repeat a vec_id
@@ -42,6 +48,8 @@ BEAM = 24
 EXPAND = 4
 ALPHA = 1.2
 AUDIT = 200
+AUDIT_LINKED, AUDIT_MOST = 50, 3200
+LEAST_RECALL = 0.9
 #: Expansion passes through neighbours up to so many times as far as the threshold.
 SLACK = 2.0
 RECALL = 0.95
@@ -69,24 +77,28 @@ def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cells(classes: DataFrame, pivots: list[np.ndarray], overlap: int) -> DataFrame:
-    """id, v, cell, own: each class in the cells of its nearest pivots of its own length; the
-    first `overlap` of them are its own, the others are searched only."""
+    """id, v, n, cell, own, cells: each class in the cells of its nearest pivots of its own length;
+    the first `overlap` of them are its own, the others are searched only."""
     by_width = {w: np.array([i for i, p in enumerate(pivots) if len(p) == w]) for w in {len(p) for p in pivots}}
     tables = {w: np.array([pivots[i] for i in rows]) for w, rows in by_width.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, cells, own = [], [], []
+            rows, cells, own, lists = [], [], [], []
             for i, v in enumerate(_numbers(batch.column(1))):
                 near = np.argsort(-(tables[len(v)] @ v), kind="stable")[: overlap * PROBES] if len(v) in tables else []
                 numbers = by_width[len(v)][near] if len(near) else [-len(v)]
                 rows += [i] * len(numbers)
                 cells += [int(c) for c in numbers]
                 own += [k < overlap for k in range(len(numbers))]
+                lists += [[int(c) for c in numbers]] * len(numbers)
             part = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells, pa.int64()), pa.array(own, pa.bool_())], ["id", "v", "cell", "own"])
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(cells, pa.int64()), pa.array(own, pa.bool_()), pa.array(lists, pa.list_(pa.int64()))],
+                ["id", "v", "n", "cell", "own", "cells"],
+            )
 
-    return classes.select("id", "v").mapInArrow(run, "id long, v binary, cell long, own boolean")
+    return classes.select("id", "v", "n").mapInArrow(run, "id long, v binary, n long, cell long, own boolean, cells array<long>")
 
 
 def robust_prune(points: np.ndarray, candidates: np.ndarray, vectors: np.ndarray, degree: int, alpha: float) -> np.ndarray:
@@ -135,6 +147,7 @@ def range_search(q: np.ndarray, seeds: list[np.ndarray], x: np.ndarray, links: l
     table = np.full((n, width), -1)
     for i, a in enumerate(links):
         table[i, : len(a)] = a
+    onward = np.where(table < 0, n, table)
     medoid = int((x @ x.mean(0)).argmax())
     beam = min(beam, n)
     found: list[np.ndarray] = []
@@ -170,45 +183,78 @@ def range_search(q: np.ndarray, seeds: list[np.ndarray], x: np.ndarray, links: l
             best[active], score[active] = np.take_along_axis(all_best, top, 1), np.take_along_axis(all_score, top, 1)
             done[active] = np.take_along_axis(all_done, top, 1)
         for i in range(m):
-            known = np.unique(np.concatenate([best[i][best[i] >= 0], seeds[start + i]])).astype(np.int64)
-            hits, frontier = np.zeros(0, np.int64), known
+            known = np.zeros(n + 1, bool)
+            known[n] = True
+            frontier = np.unique(np.concatenate([best[i][best[i] >= 0], seeds[start + i]]).astype(np.int64))
+            known[frontier] = True
+            hits = []
             while len(frontier):
                 near = x[frontier] @ part[i]
-                hits = np.concatenate([hits, frontier[near >= threshold]])
-                reach = np.unique(table[frontier[1 - near <= SLACK * (1 - threshold)]])
-                frontier = np.setdiff1d(reach[reach >= 0], known)
-                known = np.union1d(known, frontier)
-            found.append(np.unique(hits))
+                hits.append(frontier[near >= threshold])
+                reach = onward[frontier[1 - near <= SLACK * (1 - threshold)]].ravel()
+                fresh = reach[~known[reach]]
+                known[fresh] = True
+                frontier = np.unique(fresh)
+            found.append(np.concatenate(hits))
     return found
 
 
-def _search(beam: int, threshold: float):
-    def run(probes: pa.Table, members: pa.Table) -> pa.Table:
-        a, b = [], []
+class Forest:
+    """Links among a task's ids, reduced to one root per group while they come in."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids, self.parent = ids, np.arange(len(ids))
+
+    def _roots(self, at: np.ndarray) -> np.ndarray:
+        while True:
+            up = self.parent[at]
+            if np.array_equal(up, at):
+                return at
+            at = up
+
+    def link(self, ids: np.ndarray) -> None:
+        roots = self._roots(np.searchsorted(self.ids, ids))
+        self.parent[roots] = roots.min()
+
+    def root_of(self, ids: np.ndarray) -> np.ndarray:
+        return self.ids[self._roots(np.searchsorted(self.ids, ids))]
+
+
+def _search(beam: int, threshold: float, overlap: int):
+    def run(key, probes: pa.Table, members: pa.Table) -> pa.Table:
+        q_ids, count = probes["id"].to_numpy(), np.zeros(probes.num_rows, np.int64)
+        forest = Forest(np.unique(q_ids))  # members of a cell are among those that search it
         if probes.num_rows and members.num_rows:
+            cell = key[0].as_py()
             ids = members["m_id"].to_numpy()
             order = np.argsort(ids, kind="stable")
-            ids = ids[order]
+            ids, sizes = ids[order], members["m_n"].to_numpy()[order]
             x = np.array(_numbers(members["m_v"]))[order]
             place = lambda out: (lambda at: at[ids[at] == out])(np.minimum(np.searchsorted(ids, out), len(ids) - 1)) if len(out) else np.zeros(0, np.int64)
             own = lambda column: [place(np.asarray(o if o is not None else [], np.int64)) for o in column.to_pylist()]
             links = own(members["m_out"])
             links = [links[i] for i in order]
-            q_ids = probes["id"].to_numpy()
+            cells = members["m_cells"].to_pylist()
+            homes = np.full((len(ids), overlap), np.iinfo(np.int64).min)
+            for i, at in enumerate(order):
+                homes[i, : min(overlap, len(cells[at]))] = cells[at][:overlap]
             q = np.array(_numbers(probes["v"]))
-            # a margin for rounding in the search; verification is exact
-            for i, hits in enumerate(range_search(q, own(probes["out"]), x, links, beam, threshold - 1e-9)):
-                for j in hits:
-                    if ids[j] != q_ids[i] and float(np.dot(q[i], x[j])) >= threshold:
-                        a.append(min(q_ids[i], ids[j]))
-                        b.append(max(q_ids[i], ids[j]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            asked = probes["cells"].to_pylist()
+            for i, hits in enumerate(range_search(q, own(probes["out"]), x, links, beam, threshold)):
+                hits = hits[ids[hits] != q_ids[i]]
+                if len(hits):
+                    forest.link(np.append(ids[hits], q_ids[i]))
+                    earlier = asked[i][: asked[i].index(cell)]
+                    first = ~np.isin(homes[hits], earlier).any(1)
+                    count[i] = sizes[hits[first]].sum()
+        return pa.table({"id": q_ids, "others": count, "root": forest.root_of(q_ids)})
 
     return run
 
 
 def _links(classes: DataFrame, threshold: float, overlap: int, beam: int, shard_rows: int) -> DataFrame:
-    """Distinct pairs a < b of classes found and verified."""
+    """id, others (vectors of other classes linked), root (a class of the same component): a row
+    per class and block that it searched."""
     n = classes.count()
     # pivots are a bounded sample; their number follows the table up to MOST_PIVOTS
     wanted = max(1, min(MOST_PIVOTS, overlap * n // shard_rows))
@@ -222,38 +268,49 @@ def _links(classes: DataFrame, threshold: float, overlap: int, beam: int, shard_
         graphs.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("out"))).alias("out")), "graph-united"
     )  # at most `overlap` lists per class
     members = members.join(united, "id").select(
-        "cell", "block", F.col("id").alias("m_id"), F.col("v").alias("m_v"), F.col("out").alias("m_out")
+        "cell", "block", F.col("id").alias("m_id"), F.col("v").alias("m_v"), F.col("n").alias("m_n"), F.col("cells").alias("m_cells"), F.col("out").alias("m_out")
     )
     probes = homes.withColumn("_block", F.explode(F.sequence(F.lit(0), F.coalesce(blocks - 1, F.lit(0)).cast("int")))).join(
         united.select(F.col("id").alias("_id"), F.col("out")), F.col("id") == F.col("_id")
-    ).select("id", "v", F.col("cell").alias("_cell"), "_block", "out")
-    pairs = probes.groupBy("_cell", "_block").cogroup(members.groupBy("cell", "block")).applyInArrow(_search(beam, threshold), "a long, b long")
-    return written(pairs.distinct(), "graph-links")
+    ).select("id", "v", "cells", F.col("cell").alias("_cell"), "_block", "out")
+    found = probes.groupBy("_cell", "_block").cogroup(members.groupBy("cell", "block")).applyInArrow(
+        _search(beam, threshold, overlap), "id long, others long, root long"
+    )
+    return written(found.filter("others > 0 OR id <> root"), "graph-links")
 
 
 def _audit(classes: DataFrame, links: DataFrame, threshold: float, sample: int) -> float:
-    """Share of the true links of a bounded sample of classes that were found."""
-    drawn = classes.orderBy(F.xxhash64(F.lit("audit"), "id"), "id").limit(sample).select("id", "v").collect()
+    """Mean share of the linked vectors of a class that were found, over drawn classes that have
+    any; 1 where none of AUDIT_MOST drawn classes has one."""
+    while True:
+        drawn = classes.orderBy(F.xxhash64(F.lit("audit"), "id"), "id").limit(sample).select("id", "v").collect()
+        found = classes.sparkSession.createDataFrame([(r["id"],) for r in drawn], "id long").join(links, "id").groupBy("id").agg(F.sum("others").alias("hit"))
+        hit = {r["id"]: r["hit"] for r in found.collect()}  # as many as were drawn
+        true = {r["id"]: r["n"] for r in _true_counts(classes, drawn, threshold).collect()}
+        linked = [i for i, n in true.items() if n]
+        if len(linked) >= AUDIT_LINKED or len(drawn) < sample or sample >= AUDIT_MOST:
+            return float(np.mean([hit.get(i, 0) / true[i] for i in linked])) if linked else 1.0
+        sample *= 4
+
+
+def _true_counts(classes: DataFrame, drawn: list, threshold: float) -> DataFrame:
+    """id, n: vectors of other classes in range of each drawn class, by brute force."""
     q_ids, q = np.array([r["id"] for r in drawn], np.int64), [np.frombuffer(r["v"], np.float64) for r in drawn]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
-            ids, rows = batch.column(0).to_numpy(), _numbers(batch.column(1))
+            ids, sizes, rows = batch.column(0).to_numpy(), batch.column(2).to_numpy(), _numbers(batch.column(1))
+            total = np.zeros(len(q_ids), np.int64)
             for width in {len(v) for v in rows}:
                 at = np.array([i for i, v in enumerate(rows) if len(v) == width])
                 mine = np.array([i for i, v in enumerate(q) if len(v) == width], np.int64)
                 if len(mine):
-                    hit = np.array([q[i] for i in mine]) @ np.array([rows[i] for i in at]).T >= threshold
-                    for i, j in zip(*np.nonzero(hit)):
-                        if q_ids[mine[i]] != ids[at[j]]:
-                            a.append(min(q_ids[mine[i]], ids[at[j]]))
-                            b.append(max(q_ids[mine[i]], ids[at[j]]))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                    near = np.array([q[i] for i in mine]) @ np.array([rows[i] for i in at]).T >= threshold
+                    total[mine] += (near & (q_ids[mine][:, None] != ids[at])) @ sizes[at]
+            yield pa.RecordBatch.from_arrays([pa.array(q_ids), pa.array(total)], ["id", "n"])
 
-    true = classes.select("id", "v").mapInArrow(run, "a long, b long").distinct()
-    row = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hit")).first()
-    return (row["hit"] or 0) / row["n"] if row["n"] else 1.0
+    counted = classes.select("id", "v", "n").mapInArrow(run, "id long, n long")
+    return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM,
@@ -268,13 +325,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, overlap: i
     classes = written(by_key.select("id", "embedding", "n").mapInArrow(_unit, "id long, n long, v binary"), "graph-units")
     for _ in range(3):
         links = _links(classes, threshold, overlap, beam, shard_rows)
-        if _audit(classes, links, threshold, audit) >= recall:
+        measured = _audit(classes, links, threshold, audit)
+        if measured >= recall:
             break
         overlap, beam = overlap + 2, beam * 2
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sizes = classes.select(F.col("id").alias("b"), "n")
-    degree = both.join(sizes, "b").groupBy("a").agg(F.sum("n").alias("others"))
-    group = components(links, "a", "b")
+    else:
+        if measured < LEAST_RECALL:
+            raise ValueError(f"near_duplicates found {measured:.3f} of the audited links, less than {LEAST_RECALL}")
+    degree = links.groupBy(F.col("id").alias("a")).agg(F.sum("others").alias("others"))
+    group = components(links, "id", "root")
     per_class = (
         by_key.select(*keys, "id", "n")
         .join(degree, F.col("id") == F.col("a"), "left")
