@@ -13,8 +13,10 @@ Allocation by cost, cheapest first:
 1. Every set searches its subsets that at most `common` sets share (unshared ones cost nothing).
    Candidates must share as many subsets as the bound leaves over, not just one.
 2. Sets left incomplete (members of large families, sets made of common passages) compare
-   shared subsets in stars. Where all sharing sets are then one component, nothing is left to
-   find and the subset is free.
+   a few smallest subsets in stars, which unites most families. Blocks of sets, dealt by the
+   components so far, then send each subset once per component; those that several components
+   share are compared in stars again. Where all sharing sets are one component, nothing is left
+   to find and the subset is free.
 3. Sets still incomplete use one-deletion neighbourhoods, again with stars and free ones.
 4. Sets that even so fall short buy subsets in the order of their cost (number of components
    that share them, the same for every set) until their value is H + 1; sets of different
@@ -46,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprintlens.llm.byte_text import ByteText, mixed
-from sprintlens.llm.common import written
+from sprintlens.llm.common import tucked, written
 from sprintlens.llm.components import components
 from sprintlens.llm.word_pieces import pieces_of
 
@@ -60,6 +62,10 @@ HASH_BYTES = 2 << 20
 SLICE_BYTES = 8 << 20
 #: Bands whose sizes stay below this take every shingle as a segment.
 SINGLE = 64
+#: Subsets of a set by which families are united first.
+LEAST_SUBSETS = 4
+#: Shingles of the sets that are cut into subsets together, about.
+SLICE_SHINGLES = 1 << 20
 #: Bits of the parities that sets in doubt are compared by before they are verified.
 PARITY_BITS = 512
 U = np.uint64
@@ -370,71 +376,127 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(placed.groupBy("block").cogroup(members.groupBy("m_block")).applyInArrow(_verify, "a long, b long"), "ngram-links")
 
 
-ENTRY = np.dtype([("id", np.int64), ("n", np.int32), ("which", np.int8), ("seg", np.int32), ("value", np.int8)])
+ENTRY = np.dtype([("id", np.int64), ("n", np.int32), ("which", np.int8), ("seg", np.int32), ("value", np.int8), ("component", np.int64), ("block", np.int32)])
 
 
-def _incomplete_index(buckets: int, deletions: bool):
-    """Sets left incomplete -> entries of their subsets (and one-deletion neighbourhoods)."""
+def _entries(table: pa.Table | pa.RecordBatch, deletions: bool, least: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Signatures of the subsets (and one-deletion neighbourhoods) of sets left incomplete, with
+    their entries, by slices of sets; with `least`, only so many of the smallest of each set."""
+    lists = [np.frombuffer(s, U) for s in table["shingles"].to_pylist()]
+    ids, which_of, component = (table[c].to_numpy() for c in ("set_id", "which", "component"))
+    upto = np.cumsum([len(x) for x in lists])
+    bounds = np.unique(np.append(np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, SLICE_SHINGLES)), len(lists)))
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        sigs, entries = [], []
+        for which in (0, 1):
+            rows = lo + np.flatnonzero(which_of[lo:hi] == which)
+            if not len(rows):
+                continue
+            counts = np.array([len(lists[r]) for r in rows])
+            x = np.concatenate([lists[r] for r in rows])
+            starts, owner, number, scheme = segments(x, counts, which)
+            length = np.diff(np.append(starts, len(x)))
+            entry = np.zeros(len(starts), ENTRY)
+            entry["id"], entry["component"], entry["n"], entry["which"] = ids[rows][owner], component[rows][owner], counts[owner], which
+            entry["seg"] = np.arange(len(starts)) - np.searchsorted(owner, owner, "left")
+            entry["value"] = np.where(deletions & (length > 1), 2, 1)
+            total, place = run_sums(mixed(x), starts), _place(number, scheme)
+            sig = mixed(total + place)
+            if least is not None:
+                order = np.lexsort((sig, owner))
+                few = order[np.arange(len(order)) - np.searchsorted(owner, owner[order], "left") < least]
+                sig, entry = sig[few], entry[few]
+            sigs.append(sig)
+            entries.append(entry)
+            if deletions:
+                of = np.repeat(np.arange(len(starts)), length)
+                more = length[of] > 1
+                sigs.append(mixed(total[of][more] - mixed(x)[more] + place[of][more]))
+                entries.append(entry[of][more])
+        yield np.concatenate(sigs), np.concatenate(entries)
+
+
+def _by_bucket(sig: np.ndarray, entry: np.ndarray, buckets: int) -> pa.Table:
+    bucket = ((sig >> U(40)) % U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    sig, entry, bucket = sig[order], entry[order], bucket[order]
+    at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+    ends = np.append(at[1:], len(bucket))
+    return pa.table({
+        "bucket": pa.array(bucket[at].astype(np.int32)), "sig": pa.array([sig[i:j].tobytes() for i, j in zip(at, ends)], pa.binary()),
+        "entry": pa.array([entry[i:j].tobytes() for i, j in zip(at, ends)], pa.binary()),
+    })
+
+
+def _least_subsets(buckets: int, least: int):
+    """The smallest subsets of each set, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                lists = [np.frombuffer(s, U) for s in part.column(2).to_pylist()]
-                ids, which_of = part.column(0).to_numpy(), part.column(1).to_numpy()
-                sigs, entries = [], []
-                for which in (0, 1):
-                    rows = np.flatnonzero(which_of == which)
-                    if not len(rows):
-                        continue
-                    counts = np.array([len(lists[r]) for r in rows])
-                    x = np.concatenate([lists[r] for r in rows])
-                    starts, owner, number, scheme = segments(x, counts, which)
-                    length = np.diff(np.append(starts, len(x)))
-                    entry = np.zeros(len(starts), ENTRY)
-                    entry["id"], entry["n"], entry["which"] = ids[rows][owner], counts[owner], which
-                    entry["seg"] = np.arange(len(starts)) - np.searchsorted(owner, owner, "left")
-                    entry["value"] = np.where(deletions & (length > 1), 2, 1)
-                    total, place = run_sums(mixed(x), starts), _place(number, scheme)
-                    sigs.append(mixed(total + place))
-                    entries.append(entry)
-                    if deletions:
-                        of = np.repeat(np.arange(len(starts)), length)
-                        more = length[of] > 1
-                        sigs.append(mixed(total[of][more] - mixed(x)[more] + place[of][more]))
-                        entries.append(entry[of][more])
-                sig, entry = np.concatenate(sigs), np.concatenate(entries)
-                bucket = ((sig >> U(40)) % U(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                sig, entry, bucket = sig[order], entry[order], bucket[order]
-                at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-                ends = np.append(at[1:], len(bucket))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[at].astype(np.int32)), pa.array([sig[i:j].tobytes() for i, j in zip(at, ends)], pa.binary()),
-                     pa.array([entry[i:j].tobytes() for i, j in zip(at, ends)], pa.binary())], ["bucket", "sig", "entry"])
+            for sig, entry in _entries(batch, False, least):
+                yield from _by_bucket(sig, entry, buckets).to_batches()
 
     return run
 
 
-GROUPS = "sig long, rep long, rep_n int, id long, n int, which int, seg int, value int"
+def _block_index(buckets: int, deletions: bool):
+    """Signatures of a block of sets, packed by bucket: one entry for each signature and component
+    of the block, so that what a family shares travels once per block."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        found = []
+        for sig, entry in _entries(table, deletions):
+            order = np.lexsort((entry["component"], sig))
+            sig, entry = sig[order], entry[order]
+            once = np.ones(len(sig), bool)
+            once[1:] = (sig[1:] != sig[:-1]) | (entry["component"][1:] != entry["component"][:-1])
+            sig, entry = sig[once], entry[once]
+            entry["block"] = key[0].as_py()
+            found.append(_by_bucket(sig, entry, buckets))
+        return pa.concat_tables(found)
+
+    return run
+
+
+GROUPS = "sig long, rep long, rep_n int, id long, n int, component long, block int"
 
 
 def _groups(table: pa.Table) -> pa.Table:
-    """Entries of signatures that several sets share, each with one of four representatives."""
+    """Entries of signatures that several components share, each with one of four representatives."""
     sig = np.concatenate([np.frombuffer(s, U) for s in table["sig"].to_pylist()])
     entry = np.concatenate([np.frombuffer(s, ENTRY) for s in table["entry"].to_pylist()])
     order = np.lexsort((mixed(entry["id"].view(U) + (sig & U(3))), sig))
     sig, entry = sig[order], entry[order]
     starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     lengths = np.diff(np.append(starts, len(sig)))
-    differ = np.maximum.reduceat(entry["id"], starts) != np.minimum.reduceat(entry["id"], starts)
+    differ = np.maximum.reduceat(entry["component"], starts) != np.minimum.reduceat(entry["component"], starts)
     keep = np.repeat(differ, lengths)
     rep = np.repeat(entry[starts], lengths)[keep]
     sig, entry = sig[keep], entry[keep]
-    return pa.table({
-        "sig": sig.view(np.int64), "rep": rep["id"].copy(), "rep_n": rep["n"].copy(), "id": entry["id"].copy(), "n": entry["n"].copy(),
-        "which": entry["which"].astype(np.int32), "seg": entry["seg"].copy(), "value": entry["value"].astype(np.int32),
-    })
+    columns = {"sig": sig.view(np.int64), "rep": rep["id"].copy(), "rep_n": rep["n"].copy()}
+    return pa.table(columns | {c: entry[c].copy() for c in ("id", "n", "component", "block")})
+
+
+def _costly_entries(deletions: bool):
+    """Of a block of sets: the entries whose signatures several components share."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table, costly: pa.Table) -> pa.Table:
+        wanted = np.unique(costly["sig"].to_numpy()).view(U)
+        found = []
+        for sig, entry in _entries(table, deletions) if table.num_rows and len(wanted) else ():
+            wanted_too = np.isin(sig, wanted)
+            sig, entry = sig[wanted_too], entry[wanted_too]
+            found.append(pa.table({
+                "sig": sig.view(np.int64), "id": entry["id"].copy(), "n": entry["n"].copy(),
+                "which": entry["which"].astype(np.int32), "seg": entry["seg"].copy(), "value": entry["value"].astype(np.int32),
+            }))
+        none = {c: pa.array([], pa.int64() if k == "long" else pa.int32()) for c, k in (x.split() for x in COSTLY.split(", "))}
+        return pa.concat_tables(found) if found else pa.table(none)
+
+    return run
+
+
+COSTLY = "sig long, id long, n int, which int, seg int, value int"
 
 
 def _similar_sizes(a: str, b: str):
@@ -448,14 +510,28 @@ def _bound(n, which):
     return F.floor((n + F.when(which == 0, F.least(largest, hi - 1)).otherwise(largest)) / 7)
 
 
-def _costly(groups: DataFrame, known: DataFrame) -> DataFrame:
+def _labelled(rows: DataFrame, known: DataFrame, key: str = "id") -> DataFrame:
+    """The rows with the component of their set, as far as links are known."""
+    joined = rows.join(known, F.col(key) == F.col("node"), "left")
+    return joined.withColumn("component", F.coalesce("component", key)).drop("node")
+
+
+def _costly(entries: DataFrame, known: DataFrame) -> DataFrame:
     """Entries of signatures whose sets are in several components, with component and cost."""
-    placed = groups.select("sig", "id", "n", "which", "seg", "value").join(known, F.col("id") == F.col("node"), "left")
-    placed = placed.withColumn("component", F.coalesce("component", "id")).drop("node")
+    placed = _labelled(entries, known)
     many = placed.groupBy("sig").agg(F.count_distinct("component").alias("cost")).filter("cost > 1")
     return placed.join(many, "sig")
 
 
+def _blocks(left: DataFrame, known: DataFrame, size: int) -> DataFrame:
+    """Sets with their component, dealt to blocks of about BLOCK_SETS by component; a component
+    with many sets is many blocks."""
+    placed = _labelled(left, known, "set_id")
+    parts = placed.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("parts"))
+    dealt = F.pmod(F.xxhash64("component", F.pmod(F.xxhash64("set_id"), F.col("parts"))), F.lit(max(1, size // BLOCK_SETS)))
+    return placed.join(parts, "component").select("set_id", "which", "shingles", "component", dealt.cast("int").alias("block"))
+
+
 def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     spark = docs.sparkSession
@@ -493,18 +569,28 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
     sets = written(chosen.select("text").mapInArrow(_sets, "set_id long, shingles binary").dropDuplicates(["set_id"]), "ngram-sets")
     links = [verified(candidates, sets)]
 
-    exact = None
+    exact = known = None
     for deletions in (False, True):
-        if incomplete.isEmpty():
+        size = incomplete.count()
+        if not size:
             break
         left = incomplete.join(sets, "set_id").select("set_id", F.col("which").cast("int"), "shingles")
-        grouped = left.mapInArrow(_incomplete_index(buckets, deletions), "bucket int, sig binary, entry binary").groupBy("bucket").applyInArrow(_groups, GROUPS)
-        grouped = written(grouped, "ngram-groups")
-        exact = grouped if exact is None else exact
-        stars = grouped.filter((F.col("id") != F.col("rep")) & _similar_sizes("n", "rep_n")).select(F.col("id").alias("a"), F.col("rep").alias("b"))
-        links.append(verified(stars, sets))
+        stars = lambda rows: rows.filter((F.col("id") != F.col("rep")) & _similar_sizes("n", "rep_n")).select(F.col("id").alias("a"), F.col("rep").alias("b"))
+        if known is None:  # families first: most of them share one of a few smallest subsets
+            few = left.withColumn("component", F.col("set_id")).mapInArrow(_least_subsets(buckets, LEAST_SUBSETS), "bucket int, sig binary, entry binary")
+            links.append(verified(stars(few.groupBy("bucket").applyInArrow(_groups, GROUPS)), sets))
+            known = written(components(_all(links), "a", "b"), "ngram-known")
+        dealt = written(_blocks(left, known, size), "ngram-dealt")
+        packed = dealt.groupBy("block").applyInArrow(_block_index(buckets, deletions), "bucket int, sig binary, entry binary")
+        shared = written(packed.groupBy("bucket").applyInArrow(_groups, GROUPS), "ngram-groups")
+        links.append(verified(stars(shared), sets))
         known = written(components(_all(links), "a", "b"), "ngram-known")
-        paid = _costly(grouped, known).groupBy("id", "which", "seg").agg(F.max("value").alias("value")).groupBy("id", "which").agg(F.sum("value").alias("paid"))
+        # a block gets back the signatures that several components still share
+        costly = _costly(shared.drop("component"), known).select(F.col("block").alias("_block"), "sig").distinct()
+        found = dealt.groupBy("block").cogroup(costly.groupBy("_block")).applyInArrow(_costly_entries(deletions), COSTLY)
+        found = written(found, "ngram-costly-entries")
+        exact = found if exact is None else exact
+        paid = found.groupBy("id", "which", "seg").agg(F.max("value").alias("value")).groupBy("id", "which").agg(F.sum("value").alias("paid"))
         worth = left.mapInArrow(_worth(deletions), "id long, which int, n long, worth long")
         short = _bound(F.col("n"), F.col("which")) + 1 - F.col("worth") + F.coalesce("paid", F.lit(0))
         still = worth.join(paid, ["id", "which"], "left").filter(short > 0).select(F.col("id").alias("set_id"), "which")
@@ -591,6 +677,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     also where they have no words; other rows without words all stay. Rows are told apart by a
     64-bit hash of id and text, so a repeated id does not keep a copy.
     """
+    docs, restored = tucked(docs, "doc_id", "text")
     key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
     rows = docs.select(key.alias("doc_id"), "text")
     groups = similar_components(rows, **options).groupBy(F.col("doc_id").alias("_row")).agg(F.min("component_id").alias("_group"))
@@ -603,4 +690,4 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     one = docs.join(single, key == F.col("_row"), "left_semi")
     several = docs.join(repeated.select("_row"), key == F.col("_row"))
     whole = F.min(F.struct(*docs.columns)).alias("_doc")
-    return one.unionByName(several.groupBy("_row").agg(whole).select("_doc.*"))
+    return restored(one.unionByName(several.groupBy("_row").agg(whole).select("_doc.*")))
