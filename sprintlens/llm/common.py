@@ -24,6 +24,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tucked(docs: DataFrame, *needed: str):
+    """The frame with all other columns renamed by position, so that none of them meets a name
+    that an operator uses, and the function that gives them their names back."""
+    names = [c if c in needed else f"_c{i}" for i, c in enumerate(docs.columns)]
+    own = docs.columns
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(own, names)])
+    return renamed, lambda df, *more: df.select(*[F.col(n).alias(c) for c, n in zip(own, names)], *more)
+
+
 def attach(rows: DataFrame, per_key: DataFrame, key: str, salt_by: Column, salts: int = 32) -> DataFrame:
     """Rows with the columns of their key's single row (inner, nulls match nulls).
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sprintlens.llm.line_spread import MIN_SITES
+from sprintlens.llm.line_spread import MIN_SITES, WORDS, WORDY_SITES
 
 OP7 = r"""
 WITH sized AS (
@@ -65,7 +65,7 @@ WITH cut AS (
 lines AS (SELECT *, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM cut),
 common AS (
   SELECT line, min(doc_id) AS first_doc FROM lines WHERE line <> ''
-  GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES}),
+  GROUP BY line HAVING count(DISTINCT source) >= CASE WHEN len(string_split(line, ' ')) >= {WORDS} THEN {WORDY_SITES} ELSE {MIN_SITES} END),
 marked AS (
   SELECT l.*, coalesce(c.line IS NOT NULL AND l.doc_id <> c.first_doc, FALSE) AS gone
   FROM lines l LEFT JOIN common c ON l.line = c.line),

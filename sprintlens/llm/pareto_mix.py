@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sprintlens.llm.common import WORD, attach, written
+from sprintlens.llm.common import WORD, attach, tucked, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -142,7 +142,11 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix, each as often as it is taken; repeated ids count as one document."""
-    copies = mix(docs, **options).filter(F.col("copies") > 0).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    joined = docs.join(copies.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    """The documents of the mix, each as often as it is taken. Rows are told apart by id and number
+    of words; of rows equal in both, each is taken as often as the one taken most."""
+    rows, restored = tucked(docs, "doc_id", "text", "source")
+    rows = rows.withColumn("_size", word_count(F.col("text")))
+    taken = mix(rows.select("doc_id", "text", "source"), **options).filter(F.col("copies") > 0)
+    copies = taken.groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_words")).agg(F.max("copies").alias("_copies"))
+    joined = rows.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words")))
+    return restored(joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))))
