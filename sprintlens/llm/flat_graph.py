@@ -9,9 +9,10 @@ united graph: a greedy beam from the block's medoid, then, from what it found in
 expansion through neighbours in range until nothing new turns up. What is found is verified by
 cosine in double precision.
 
-A dense group has links in the square of its size, so links are not written out: a search returns
-how many vectors it found, each counted in the first of the class's cells that holds it, and the
-links of a block reduced to a forest. Both are as long as the list of searches.
+A dense group has links in the square of its size, so these are not written out: a search returns
+how many vectors it found, each counted in the first cell that is both classes' own, and the links
+of a block reduced to a forest. Both are as long as the list of searches. Only links of classes
+without a common own cell, which either may miss, are written as pairs.
 
 Recall is audited against brute force for a bounded sample of classes (the sample is shipped to
 the data), drawn until AUDIT_LINKED of them have true links or AUDIT_MOST are drawn; it is the
@@ -223,6 +224,7 @@ class Forest:
 def _search(beam: int, threshold: float, overlap: int):
     def run(key, probes: pa.Table, members: pa.Table) -> pa.Table:
         q_ids, count = probes["id"].to_numpy(), np.zeros(probes.num_rows, np.int64)
+        far: list[list[int]] = [[] for _ in range(probes.num_rows)]
         forest = Forest(np.unique(q_ids))  # members of a cell are among those that search it
         if probes.num_rows and members.num_rows:
             cell = key[0].as_py()
@@ -244,17 +246,19 @@ def _search(beam: int, threshold: float, overlap: int):
                 hits = hits[ids[hits] != q_ids[i]]
                 if len(hits):
                     forest.link(np.append(ids[hits], q_ids[i]))
-                    earlier = asked[i][: asked[i].index(cell)]
-                    first = ~np.isin(homes[hits], earlier).any(1)
-                    count[i] = sizes[hits[first]].sum()
-        return pa.table({"id": q_ids, "others": count, "root": forest.root_of(q_ids)})
+                    mine = asked[i][:overlap]
+                    if cell in mine:  # the first cell that is both theirs counts
+                        count[i] = sizes[hits[~np.isin(homes[hits], mine[: mine.index(cell)]).any(1)]].sum()
+                    else:
+                        far[i] = ids[hits[~np.isin(homes[hits], mine).any(1)]].tolist()
+        return pa.table({"id": q_ids, "others": count, "root": forest.root_of(q_ids), "far": pa.array(far, pa.list_(pa.int64()))})
 
     return run
 
 
 def _links(classes: DataFrame, threshold: float, overlap: int, beam: int, shard_rows: int) -> DataFrame:
-    """id, others (vectors of other classes linked), root (a class of the same component): a row
-    per class and block that it searched."""
+    """id, others (vectors linked in this block), root (a class of the same component), far (linked
+    classes that share no own cell with it): a row per class and block that it searched."""
     n = classes.count()
     # pivots are a bounded sample; their number follows the table up to MOST_PIVOTS
     wanted = max(1, min(MOST_PIVOTS, overlap * n // shard_rows))
@@ -274,18 +278,26 @@ def _links(classes: DataFrame, threshold: float, overlap: int, beam: int, shard_
         united.select(F.col("id").alias("_id"), F.col("out")), F.col("id") == F.col("_id")
     ).select("id", "v", "cells", F.col("cell").alias("_cell"), "_block", "out")
     found = probes.groupBy("_cell", "_block").cogroup(members.groupBy("cell", "block")).applyInArrow(
-        _search(beam, threshold, overlap), "id long, others long, root long"
+        _search(beam, threshold, overlap), "id long, others long, root long, far array<long>"
     )
-    return written(found.filter("others > 0 OR id <> root"), "graph-links")
+    return written(found.filter("others > 0 OR id <> root OR size(far) > 0"), "graph-links")
 
 
-def _audit(classes: DataFrame, links: DataFrame, threshold: float, sample: int) -> float:
+def _totals(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """id, others: vectors of other classes linked with each class, whichever of both found it."""
+    far = links.select("id", F.explode("far").alias("to")).select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).distinct()
+    both = far.unionByName(far.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(classes.select(F.col("id").alias("b"), "n"), "b")
+    rows = links.select("id", "others").unionByName(both.select(F.col("a").alias("id"), F.col("n").alias("others")))
+    return rows.groupBy("id").agg(F.sum("others").alias("others"))
+
+
+def _audit(classes: DataFrame, totals: DataFrame, threshold: float, sample: int) -> float:
     """Mean share of the linked vectors of a class that were found, over drawn classes that have
     any; 1 where none of AUDIT_MOST drawn classes has one."""
     while True:
         drawn = classes.orderBy(F.xxhash64(F.lit("audit"), "id"), "id").limit(sample).select("id", "v").collect()
-        found = classes.sparkSession.createDataFrame([(r["id"],) for r in drawn], "id long").join(links, "id").groupBy("id").agg(F.sum("others").alias("hit"))
-        hit = {r["id"]: r["hit"] for r in found.collect()}  # as many as were drawn
+        found = classes.sparkSession.createDataFrame([(r["id"],) for r in drawn], "id long").join(totals, "id")
+        hit = {r["id"]: r["others"] for r in found.collect()}  # as many as were drawn
         true = {r["id"]: r["n"] for r in _true_counts(classes, drawn, threshold).collect()}
         linked = [i for i, n in true.items() if n]
         if len(linked) >= AUDIT_LINKED or len(drawn) < sample or sample >= AUDIT_MOST:
@@ -325,14 +337,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, overlap: i
     classes = written(by_key.select("id", "embedding", "n").mapInArrow(_unit, "id long, n long, v binary"), "graph-units")
     for _ in range(3):
         links = _links(classes, threshold, overlap, beam, shard_rows)
-        measured = _audit(classes, links, threshold, audit)
+        totals = written(_totals(links, classes), "graph-totals")
+        measured = _audit(classes, totals, threshold, audit)
         if measured >= recall:
             break
         overlap, beam = overlap + 2, beam * 2
     else:
         if measured < LEAST_RECALL:
             raise ValueError(f"near_duplicates found {measured:.3f} of the audited links, less than {LEAST_RECALL}")
-    degree = links.groupBy(F.col("id").alias("a")).agg(F.sum("others").alias("others"))
+    degree = totals.withColumnRenamed("id", "a")
     group = components(links, "id", "root")
     per_class = (
         by_key.select(*keys, "id", "n")

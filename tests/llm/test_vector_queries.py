@@ -50,7 +50,8 @@ def test_audit_fails_a_search_that_loses_links(spark, monkeypatch):
 
     def finds_nothing(key, probes, members):
         none = pa.array(np.zeros(probes.num_rows, np.int64))
-        return pa.table({"id": probes["id"], "others": none, "root": probes["id"]})
+        far = pa.array([[]] * probes.num_rows, pa.list_(pa.int64()))
+        return pa.table({"id": probes["id"], "others": none, "root": probes["id"], "far": far})
 
     monkeypatch.setattr(flat_graph, "_search", lambda *args: finds_nothing)
     with pytest.raises(ValueError):
