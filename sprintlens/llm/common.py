@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +17,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Shuffle files of a query go when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession):
+    """What runs inside leaves no shuffle files behind: operators of many rounds would else pile
+    up those of all rounds on the executors' disks."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared scratch folder and read back: later stages start from
     files, so a lost executor never makes them run what came before."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    with shuffles_released(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,6 +2,9 @@
 
 Each step is an aggregation and a join over the links; nothing is collected. The links after
 each round are written to the shared scratch folder, so that rounds don't pile up lineage.
+
+Defined cases: links of a node with itself, repeated links and either direction count once; null
+ends link nothing; no links give no rows.
 """
 
 from __future__ import annotations
@@ -9,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sprintlens.llm.common import written
+from sprintlens.llm.common import shuffles_released, written
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -31,7 +34,8 @@ def _is_stars(links: DataFrame) -> bool:
         links.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
     )
     per_node = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
-    return per_node.filter("down + up > 1 AND down > 0").isEmpty()
+    with shuffles_released(links.sparkSession):
+        return per_node.filter("down + up > 1 AND down > 0").isEmpty()
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
