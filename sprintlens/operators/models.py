@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,7 @@ from sprintlens.operators.metrics import mcnemar, metric_suite
 from sprintlens.operators.oversample import smote
 from sprintlens.operators.scoring import predict
 from sprintlens.operators.shaping import with_row
+from sprintlens.session import scratch_dir
 
 DELIVERY = ("deploy_frequency_weekly", "change_failure_rate")
 
@@ -81,6 +82,15 @@ def logistic(inverse_penalty: float, penalty: str, weight_sum: float, label: str
     )
 
 
+def without_summary(model, spark: SparkSession):
+    """The model saved and loaded again. The summary of its training, which a fitted model takes
+    along into every task, holds the session: once rows are observed in that session, such a
+    model can't be sent to tasks."""
+    path = scratch_dir(spark, "fitted")
+    model.write().session(spark).save(path)
+    return type(model).read().session(spark).load(path)
+
+
 def tree_pipeline(estimator: Estimator, features: Sequence[str] = P.FEATURES) -> Pipeline:
     return Pipeline(
         stages=[
@@ -204,7 +214,7 @@ def logistic_trials(
     def fit(p: dict):
         prepared, rows, size = sources[p["smote"]]
         fitted = logistic(p["C"], p["penalty"], size, label).fit(rows)
-        return PipelineModel(stages=[*prepared.stages, fitted])
+        return PipelineModel(stages=[*prepared.stages, without_summary(fitted, train.sparkSession)])
 
     try:
         return run_trials("logistic", grid, fit, val, label, parallelism=8)
@@ -225,7 +235,7 @@ def boosted(params: dict, label: str = P.LABEL) -> Callable[[DataFrame], object]
 
 def forest(params: dict, label: str = P.LABEL) -> Callable[[DataFrame], object]:
     estimator = RandomForestClassifier(labelCol=label, weightCol="weight", seed=P.SEED, **params)
-    return lambda train: tree_pipeline(estimator).fit(add_balanced_weight(train, label))
+    return lambda train: without_summary(tree_pipeline(estimator).fit(add_balanced_weight(train, label)), train.sparkSession)
 
 
 def _second_order(family: str, params: dict, label: str) -> Callable[[DataFrame], object]:

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sprintlens import params as P
@@ -39,6 +40,18 @@ def test_logistic_trials_score_every_parameter(matrix):
     assert best["f2"] == max(r["f2"] for r in rows)
 
 
+def test_models_score_in_a_session_that_observed_rows(spark, matrix):
+    """The first observation gives a session a part that can't be sent to tasks."""
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    train, val = part(matrix, "train"), part(matrix, "val")
+    table, fitted = models.logistic_trials(train, val, [{"C": 1.0, "penalty": "l2", "smote": False}])
+    assert table.count() == 1
+    for model in (*fitted.values(), models.forest({"numTrees": 2, "maxDepth": 2})(train)):
+        assert scoring.predict(model, val).where("p between 0 and 1").count() == val.count()
+
+
 def test_grid_point_equals_newton_steps(matrix):
     """Coefficients of one l2 trial against Newton steps on the same prepared rows."""
     train = part(matrix, "train")
