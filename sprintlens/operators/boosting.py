@@ -37,6 +37,7 @@ ONE_TASK_ROWS = 1_000_000
 LEAST_GAIN = 1e-6
 LEAST_HESSIAN = 1e-3
 WRITE_EVERY = 16
+SLAB_NODES = 32  # whose splits are searched together
 
 
 @dataclass(frozen=True)
@@ -191,6 +192,9 @@ def best_splits(hist: np.ndarray, starts: np.ndarray, s: Settings, columns: np.n
     """Of nodes x bins x (g, h, rows): the best allowed split of each node.
 
     Equal gains go to the first feature, then the lowest cut, then missing values to the right."""
+    if len(hist) > SLAB_NODES:
+        slabs = (hist[i : i + SLAB_NODES] for i in range(0, len(hist), SLAB_NODES))
+        return [split for slab in slabs for split in best_splits(slab, starts, s, columns)]
     total = hist[:, : starts[1]].sum(1)
     upto = np.cumsum(hist, axis=1)
     first, width = starts[:-1], np.diff(starts)
@@ -207,44 +211,48 @@ def best_splits(hist: np.ndarray, starts: np.ndarray, s: Settings, columns: np.n
 
 
 class Entries:
-    """All (row, bin) pairs by feature and bin, sorted once per table: nodes with fewer rows than
-    bins find their splits by running sums over their own pairs, in the same order as bins."""
+    """Rows by feature and bin, sorted once per table and feature when first asked for: nodes with
+    fewer rows than bins find their splits by running sums over their own rows, one feature after
+    another, in the same order as bins."""
 
     def __init__(self, bins: np.ndarray):
-        order = np.argsort(bins, axis=0, kind="stable")
-        self.row = order.T.ravel()
-        self.feature = np.repeat(np.arange(bins.shape[1]), len(bins))
-        self.bin = np.take_along_axis(bins, order, 0).T.ravel()
+        self.bins, self.order = bins, {}
+
+    def _sorted_rows(self, feature: int) -> np.ndarray:
+        if feature not in self.order:
+            self.order[feature] = np.argsort(self.bins[:, feature], kind="stable").astype(np.int32)
+        return self.order[feature]
 
     def best_splits(self, slot, slots: int, g, h, starts: np.ndarray, s: Settings, columns: np.ndarray):
         """Best split of each slot and the sums (g, h, rows) of each slot."""
         inside = np.flatnonzero(slot >= 0)
         count = lambda at, v, n: np.bincount(at, v, n).astype(np.int64)
         total = np.stack([count(slot[inside], v, slots) for v in (g[inside], h[inside], None)], axis=-1)
-        at = slot[self.row]
-        use = np.flatnonzero((at >= 0) & columns[self.feature])
-        if not len(use):
-            return [None] * slots, total
-        use = use[np.argsort(at[use].astype(np.uint16), kind="stable")]
-        at, b, row, f = at[use], self.bin[use], self.row[use], self.feature[use]
-        group = at * len(columns) + f
-        start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        of = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(use))))
-        values = np.stack([g[row], h[row], np.ones(len(use), np.int64)], axis=-1)
-        upto = np.cumsum(values, axis=0)
-        lost = b == starts[f + 1] - 1
-        missing = np.stack([count(of[lost], values[lost, i], len(start)) for i in range(3)], axis=-1)
-        end = np.append((b[1:] != b[:-1]) | (at[1:] != at[:-1]), True)
-        cut = np.flatnonzero(end & ~lost)
-        left = upto[cut] - (upto[start] - values[start])[of[cut]]
-        gain = _gains(left, missing[of[cut]], total[at[cut]], True, s)
-        bound = np.searchsorted(at[cut], np.arange(slots + 1))
-        out: list[dict | None] = []
-        for lo, hi in zip(bound[:-1], bound[1:]):
-            best = int(gain[lo:hi].argmax()) if hi > lo else -1
-            i, way = lo + best // 2, best % 2
-            out.append(None if best < 0 else _split(gain[i, way], b[cut[i]], way, left[i], missing[of[cut[i]]], starts, s))
-        return out, total
+        best, out = np.full(slots, -np.inf), [None] * slots
+        for feature in np.flatnonzero(columns).tolist() if len(inside) else ():
+            row = self._sorted_rows(feature)
+            row = row[slot[row] >= 0]
+            row = row[np.argsort(slot[row].astype(np.uint16), kind="stable")]
+            at, b = slot[row], self.bins[row, feature].astype(np.int64)
+            start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            of = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(row))))
+            values = np.stack([g[row], h[row], np.ones(len(row), np.int64)], axis=-1)
+            upto = np.cumsum(values, axis=0)
+            lost = b == starts[feature + 1] - 1
+            missing = np.stack([count(of[lost], values[lost, i], len(start)) for i in range(3)], axis=-1)
+            end = np.append((b[1:] != b[:-1]) | (at[1:] != at[:-1]), True)
+            cut = np.flatnonzero(end & ~lost)
+            if not len(cut):
+                continue
+            left = upto[cut] - (upto[start] - values[start])[of[cut]]
+            gain = _gains(left, missing[of[cut]], total[at[cut]], True, s)
+            first = np.flatnonzero(np.concatenate([[True], at[cut][1:] != at[cut][:-1]]))
+            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(cut)]):
+                i, way = lo + int(gain[lo:hi].argmax()) // 2, int(gain[lo:hi].argmax()) % 2
+                k = int(at[cut[i]])
+                if gain[i, way] > best[k]:  # equal gains stay with the first feature
+                    best[k], out[k] = gain[i, way], (b[cut[i]], way, left[i], missing[of[cut[i]]])
+        return [x and _split(best[k], *x, starts, s) for k, x in enumerate(out)], total
 
 
 class Growth:
@@ -295,7 +303,8 @@ class Growth:
                     heapq.heappush(queue, (-self.gain[child], child))
         return kept
 
-    def tree(self) -> Tree:
+    def _kept_order(self) -> tuple[set[int], list[int], dict[int, int]]:
+        """Nodes with splits that stay, all nodes that stay in their order, and their places."""
         kept = set(self.kept_splits())
         order, at = [0], {0: 0}
         for node in order:
@@ -303,6 +312,20 @@ class Growth:
                 for child in (self.left[node], self.right[node]):
                     at[child] = len(order)
                     order.append(child)
+        return kept, order, at
+
+    def kept_nodes(self) -> np.ndarray:
+        """For each node of the growth the node of `tree` at which its rows end up."""
+        kept, _, at = self._kept_order()
+        out = np.zeros(len(self.feature), np.int64)
+        out[list(at)] = list(at.values())
+        for node, f in enumerate(self.feature):  # children come after their parent
+            if f >= 0 and node not in kept:
+                out[[self.left[node], self.right[node]]] = out[node]
+        return out
+
+    def tree(self) -> Tree:
+        kept, order, at = self._kept_order()
         inner = np.array([n in kept for n in order])
         sums = np.array([self.sums[n] for n in order], float)
         value = np.where(inner, 0.0, leaf_value(sums[:, 0] / UNIT, sums[:, 1] / UNIT, self.s))
@@ -360,13 +383,21 @@ def gradients(margin: np.ndarray, y: np.ndarray, w: tuple[float, float]) -> tupl
     return np.rint(weight * (p - y) * UNIT).astype(np.int64), np.rint(weight * np.maximum(p * (1 - p), 1e-16) * UNIT).astype(np.int64)
 
 
-def counted(bins: np.ndarray, slot: np.ndarray, slots: int, g: np.ndarray, h: np.ndarray, size: int) -> np.ndarray:
-    """slots x bins x (g, h, rows); rows with slot -1 are left out."""
+def counted(bins: np.ndarray, slot: np.ndarray, slots: int, g: np.ndarray, h: np.ndarray, size: int, starts: np.ndarray | None = None, columns: np.ndarray | None = None) -> np.ndarray:
+    """slots x bins x (g, h, rows), feature by feature; rows with slot -1 are left out. With
+    `columns`, of the drawn ones and the first alone: its sums are the totals."""
     use = np.flatnonzero(slot >= 0)
-    at = (slot[use, None] * size + bins[use]).ravel()
-    times = bins.shape[1]
-    parts = [np.bincount(at, np.repeat(v[use], times), slots * size) for v in (g, h)] + [np.bincount(at, minlength=slots * size)]
-    return np.stack(parts, axis=-1).reshape(slots, size, 3).astype(np.int64)  # sums stay below 2^53
+    pick = (lambda x: x) if len(use) == len(slot) else (lambda x: x[use])
+    at, sums = pick(slot), [pick(g).astype(float), pick(h).astype(float), None]
+    out = np.zeros((slots, size, 3), np.int64)
+    for k in range(bins.shape[1]):
+        if columns is not None and k and not columns[k]:
+            continue
+        lo, hi = (0, size) if starts is None else (int(starts[k]), int(starts[k + 1]))
+        cell = pick(bins[:, k]) + (at * (hi - lo) - lo)
+        for i, v in enumerate(sums):
+            out[:, lo:hi, i] += np.bincount(cell, v, slots * (hi - lo)).astype(np.int64).reshape(slots, hi - lo)  # sums stay below 2^53
+    return out
 
 
 # -- in tasks -------------------------------------------------------------------------
@@ -375,6 +406,7 @@ def counted(bins: np.ndarray, slot: np.ndarray, slots: int, g: np.ndarray, h: np
 def fit_rows(layout: Layout, bins, y, keys, s: Settings, watched: tuple | None = None) -> Forest:
     """Trees of rows at hand; with `watched` (bins, y) and patience, those up to the best round."""
     starts, size = layout.starts, int(layout.starts[-1])
+    bins = compact(bins, size)
     positives = int((y > 0).sum())
     w = weights_of(s, positives, len(y) - positives)
     forest = Forest(layout, start_margin(w, positives, len(y) - positives), [])
@@ -384,27 +416,27 @@ def fit_rows(layout: Layout, bins, y, keys, s: Settings, watched: tuple | None =
     entries = Entries(bins)
     for round_ in range(s.n_estimators):
         g, h = gradients(margin, y, w)
-        node = np.where(drawn_rows(keys, round_, s), 0, -1)
+        drawn, node = drawn_rows(keys, round_, s), np.zeros(len(y), np.int64)
         columns, growth = drawn_columns(len(layout.features), round_, s), Growth(s)
         hists: dict | None = None
         while growth.examined:
             asked = growth.examined
             slot = np.full(len(growth.feature) + 1, -1)
             slot[asked] = np.arange(len(asked))
-            slot = slot[node]
+            slot = np.where(drawn, slot[node], -1)
             if 2 * len(asked) * size <= np.count_nonzero(slot >= 0) * len(columns) and (hists is not None or asked == [0]):
-                hists = hists or {0: counted(bins, slot, 1, g, h, size)[0]}
+                hists = hists or {0: counted(bins, slot, 1, g, h, size, starts, columns)[0]}
                 stack = np.stack([hists[n] for n in asked])
                 totals, splits = stack[:, : starts[1]].sum(1), best_splits(stack, starts, s, columns)
             else:
                 hists = None
                 splits, totals = entries.best_splits(slot, len(asked), g, h, starts, s, columns)
             made = growth.take(dict(zip(asked, splits)), dict(zip(asked, totals)))
-            _send_down(growth, made, bins, node, starts)
-            hists = _child_counts(growth, made, hists, bins, node, g, h, size) if hists else None
+            _send_down(growth, bins, node, starts)
+            hists = _child_counts(growth, made, hists, bins, drawn, node, g, h, starts, columns) if hists else None
         tree = growth.tree()
         forest.trees.append(tree)
-        margin = margin + tree.predict(bins, starts)
+        margin = margin + tree.value[growth.kept_nodes()[node]]
         if watched and s.patience:
             seen = seen + tree.predict(watched[0], starts)
             loss = log_loss(seen, watched[1])
@@ -417,18 +449,18 @@ def fit_rows(layout: Layout, bins, y, keys, s: Settings, watched: tuple | None =
     return forest
 
 
-def _send_down(growth: Growth, made: list, bins, node, starts) -> None:
-    """Rows (`node`, in place) of the nodes just split go to the children, all others to -1."""
+def _send_down(growth: Growth, bins, node, starts) -> None:
+    """Rows (`node`, in place) of the nodes just split go to the children, all others stay."""
     arrays = growth.arrays()
-    rows = np.flatnonzero(node >= 0)
+    rows = np.flatnonzero((arrays.feature >= 0)[node])
     at = node[rows]
     f = arrays.feature[at]
-    b = bins[rows, np.maximum(f, 0)]
+    b = bins[rows, f]
     go_left = np.where(b == starts[f + 1] - 1, arrays.missing_left[at], b <= arrays.cut[at])
-    node[rows] = np.where(f < 0, -1, np.where(go_left, arrays.left[at], arrays.right[at]))
+    node[rows] = np.where(go_left, arrays.left[at], arrays.right[at])
 
 
-def _child_counts(growth: Growth, made: list, hists: dict, bins, node, g, h, size) -> dict:
+def _child_counts(growth: Growth, made: list, hists: dict, bins, drawn, node, g, h, starts, columns) -> dict:
     """Counts the smaller child of each split; its sibling is the parent less that child."""
     into, counts = np.full(len(growth.feature) + 1, -1), {}
     for parent, *children in made:
@@ -436,17 +468,23 @@ def _child_counts(growth: Growth, made: list, hists: dict, bins, node, g, h, siz
         if any(c in growth.examined for c in children):
             into[small] = len(counts)
             counts[small] = (parent, children[0] if small == children[1] else children[1])
-    stack = counted(bins, into[node], len(counts), g, h, size)
+    stack = counted(bins, np.where(drawn, into[node], -1), len(counts), g, h, int(starts[-1]), starts, columns)
     out = {}
     for (small, (parent, sibling)), hist in zip(counts.items(), stack):
         out[small], out[sibling] = hist, hists[parent] - hist
     return out
 
 
+def compact(bins: np.ndarray, size: int) -> np.ndarray:
+    """The same bin numbers, feature after feature in memory and no wider than needed."""
+    return np.asfortranarray(bins, np.min_scalar_type(size))
+
+
 def binned_rows(layout: Layout, rows: DataFrame, label: str, row_id: str):
     """(bins, y, keys) of a table of at most ONE_TASK_ROWS rows."""
     got = rows.select(F.xxhash64(row_id).alias("k"), F.col(label).cast("double").alias("y"), *[F.col(f).cast("double") for f in layout.features]).toPandas().sort_values("k")
-    return layout.binned([got[f].to_numpy() for f in layout.features]), got["y"].to_numpy(), got["k"].to_numpy()
+    bins = layout.binned([got[f].to_numpy() for f in layout.features])
+    return compact(bins, int(layout.starts[-1])), got["y"].to_numpy(), got["k"].to_numpy()
 
 
 def fit_in_tasks(layout: Layout, rows: DataFrame, trials: dict[int, Settings], label: str, row_id: str, watched: DataFrame | None = None) -> dict[int, Forest]:
@@ -555,7 +593,7 @@ def _losses(state: DataFrame, layout: Layout, names: list, pending: dict) -> dic
 
 def _level(state, layout, trials, weights, names, growths, pending, round_) -> dict:
     """{trial: ({node: split}, {node: sums})} of all examined nodes of all trials, by one job."""
-    starts, size = layout.starts, int(layout.starts[-1])
+    starts = layout.starts
     asked = {t: (g.arrays(), list(g.examined)) for t, g in growths.items() if g.examined}
     columns = {t: drawn_columns(len(layout.features), round_, trials[t]) for t in asked}
 
@@ -570,7 +608,7 @@ def _level(state, layout, trials, weights, names, growths, pending, round_) -> d
                 into = np.full(len(tree.feature), -1)
                 into[nodes] = np.arange(len(nodes))
                 slot = np.where(drawn_rows(keys, round_, trials[t]), into[walk(tree, bins, starts)], -1)
-                hist = counted(bins, slot, len(nodes), g, h, size)
+                hist = counted(bins, slot, len(nodes), g, h, int(starts[-1]), starts, columns[t])
                 at, b = np.nonzero(hist[..., 2])
                 yield pd.DataFrame({"trial": t, "node": np.array(nodes)[at], "bin": b, "g": hist[at, b, 0], "h": hist[at, b, 1], "n": hist[at, b, 2]})
 

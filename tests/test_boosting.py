@@ -374,3 +374,51 @@ def test_isotonic_chunks_equal_one_pass(spark, order):
         got = sorted(map(tuple, isotonic_blocks(df, "y", "p", chunks).collect()))
         assert got == want
     assert isotonic_blocks(df.limit(0), "y", "p", 3).count() == 0
+
+
+def test_a_fit_holds_few_bytes_a_row():
+    """Bins, gradients and what a feature needs at a time; not all (row, feature) pairs at once."""
+    import tracemalloc
+
+    rng, n, k = np.random.default_rng(3), 60_000, 17
+    x = rng.integers(0, 40, (n, k)).astype(float)
+    layout = boosting.Layout(tuple(f"f{i}" for i in range(k)), tuple(tuple(map(float, range(40))) for _ in range(k)))
+    bins, y = layout.binned(list(x.T)), (x[:, 0] + x[:, 1] > 39).astype(float)
+    tracemalloc.start()
+    try:
+        forest = boosting.fit_rows(layout, bins, y, np.arange(n), Settings(n_estimators=2, max_depth=4))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(forest.trees) == 2 and peak < 250 * n
+
+
+def test_counts_of_drawn_columns_are_those_of_all():
+    x, y = made_rows()
+    layout = layout_of(x)
+    bins, starts = layout.binned(list(x.T)), layout.starts
+    g, h = boosting.gradients(np.linspace(-1, 1, len(y)), y, (1.0, 0.7))
+    node, size = np.arange(len(y)) % 3 - 1, int(starts[-1])
+    whole = boosting.counted(bins, node, 2, g, h, size)
+    drawn = boosting.counted(boosting.compact(bins, size), node, 2, g, h, size, starts, np.array([False, True, False, True]))
+    assert not drawn[:, starts[2] : starts[3]].any()
+    for k in (0, 1, 3):
+        assert (drawn[:, starts[k] : starts[k + 1]] == whole[:, starts[k] : starts[k + 1]]).all()
+
+
+def test_rows_end_at_the_leaves_that_trees_send_them_to():
+    """Margins are kept up by the nodes in which rows ended, also below splits that best-first drops."""
+    x, y = made_rows()
+    layout = layout_of(x)
+    bins, keys = layout.binned(list(x.T)), np.arange(len(y))
+    for s in (Settings(n_estimators=6, max_depth=5, subsample=0.6), Settings(n_estimators=6, max_depth=7, num_leaves=5)):
+        forest = boosting.fit_rows(layout, bins, y, keys, s)
+        less = boosting.fit_rows(layout, bins, y, keys, boosting.replace(s, n_estimators=5))
+        g, _ = boosting.gradients(less.margin(bins), y, (1.0, 1.0))
+        drawn = boosting.drawn_rows(keys, 5, s)
+        tree = forest.trees[5]
+        ends = tree.leaf_of(bins, layout.starts)
+        for leaf in np.unique(ends[drawn]):
+            mine = drawn & (ends == leaf)
+            _, h = boosting.gradients(less.margin(bins), y, (1.0, 1.0))
+            assert tree.value[leaf] == pytest.approx(boosting.leaf_value(g[mine].sum() / boosting.UNIT, h[mine].sum() / boosting.UNIT, s))
