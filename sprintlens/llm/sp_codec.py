@@ -31,6 +31,11 @@ from sprintlens.llm.word_pieces import ChunkEncoder, interleave, lists, pieces_o
 
 #: The word mark of the library, U+2581.
 MARK = "▁"
+#: Texts are encoded and decoded in slices of about so many bytes: ids, spans and the lists that
+#: the library decodes take some twenty times as much.
+SLICE_BYTES = 512 << 10
+#: Distinct words that a worker remembers.
+WORDS = 150_000
 
 
 def _message(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -101,7 +106,7 @@ class Codec:
         self.plain = not self.map.units and self.prefix and not self.squeeze and self.escape
         self.by_word = self.plain and not any(MARK in n.lstrip(MARK) or n[:2] == MARK * 2 and n.strip(MARK) for n in names)
         self.end = [self.sp.eos_id()] if end_id else []
-        self.words = ChunkEncoder(lambda chunks: self.sp.encode(chunks, num_threads=1))
+        self.words = ChunkEncoder(lambda chunks: self.sp.encode(chunks, num_threads=1), keep=WORDS)
 
     def _covered(self, i: int, name: str, mark: int) -> int:
         if self.sp.is_control(i):
@@ -198,21 +203,28 @@ def shared_codec(path: str, end_id: bool) -> Codec:
     return Codec(path, end_id)
 
 
+RESULTS = ("ids", "begins", "ends", "decoded")
+
+
+def coded(codec: Codec, batches: Iterator[pa.RecordBatch], kept: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches of a text and the kept columns, slice by slice: the kept columns and the results."""
+    pa.default_memory_pool().release_unused()  # what earlier tasks left to a worker that is used again
+    for batch in batches:
+        for part in pieces_of(batch, SLICE_BYTES):
+            ids, begins, ends, counts = codec.encode(part.column(0))
+            decoded = pa.array(codec.decode(ids, counts), pa.string())
+            arrays = [lists(x, counts) for x in (ids, begins, ends)]
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], *arrays, decoded], [*kept, *RESULTS])
+
+
 def encode_decode(docs: DataFrame, model_path: str, end_id: bool = True, keep: tuple[str, ...] | None = None) -> DataFrame:
     """Columns `keep` (default: all) with ids, begins, ends (byte spans) and decoded of `text`."""
-    results = ("ids", "begins", "ends", "decoded")
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in results]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
     slim = docs.select(F.col("text").cast("string").alias("_source_text"), *kept)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(*kept).schema)
     schema = f"{fields}, ids array<int>, begins array<int>, ends array<int>, decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = shared_codec(model_path, end_id)
-        for batch in batches:
-            for part in pieces_of(batch, 2 << 20):
-                ids, begins, ends, counts = codec.encode(part.column(0))
-                decoded = pa.array(codec.decode(ids, counts), pa.string())
-                arrays = [lists(x, counts) for x in (ids, begins, ends)]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], *arrays, decoded], [*kept, *results])
+        yield from coded(shared_codec(model_path, end_id), batches, kept)
 
     return slim.mapInArrow(run, schema)

@@ -106,6 +106,19 @@ def test_one_of_each_keeps_columns_and_smallest(spark, family):
     assert {r.doc_id for r in kept.collect()} == {c for _, c in brute_components(family).values()}
 
 
+def test_texts_are_coded_in_small_slices(monkeypatch):
+    """A worker holds ids, spans and lists of half a megabyte of text at a time, not of two."""
+    codec, sizes = sp_codec.Codec(tokenizer_file("piece_bpe_32k.model")), []
+    encode = codec.encode
+    monkeypatch.setattr(codec, "encode", lambda texts: sizes.append(sum(len(t) for t in texts.to_pylist())) or encode(texts))
+    rng = np.random.default_rng(5)
+    texts = [" ".join(words_of(rng, 400)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(1500))], ["text", "doc_id"])
+    out = pa.Table.from_batches(list(sp_codec.coded(codec, iter([batch]), ["doc_id"])))
+    assert sum(sizes) > 2 << 20 and max(sizes) <= 512 << 10
+    assert out["decoded"].to_pylist() == texts and out["doc_id"].to_pylist() == list(range(1500))
+
+
 def test_tokens_equal_library_and_files_are_in_order(spark, family):
     from tokenizers import Tokenizer
 
