@@ -20,9 +20,9 @@ Allocation by cost, cheapest first:
 3. Sets still incomplete use one-deletion neighbourhoods, again with stars and free ones.
 4. Sets that even so fall short buy subsets in the order of their cost (number of components
    that share them, the same for every set) until their value is H + 1; sets of different
-   components that bought the same subset are compared where, from there on, both have as many
-   subsets left as a pair of their sizes must share, and the parities of their shingles differ
-   in no more bits than the pair may differ in shingles.
+   components are compared once, at the first subset that both bought, where from there on both
+   have as many subsets left as a pair of their sizes must share, and the parities of their
+   shingles differ in no more bits than the pair may differ in shingles.
 Candidates are verified by exact intersection. Equal sets are one set throughout.
 
 Work per task is bounded: signatures travel in packed blocks by hash bucket (as many as
@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprintlens.llm.byte_text import ByteText, mixed
-from sprintlens.llm.common import tucked, written
+from sprintlens.llm.common import shuffles_released, tucked, written
 from sprintlens.llm.components import components
 from sprintlens.llm.word_pieces import pieces_of
 
@@ -57,6 +57,8 @@ WIDTH = 5
 COMMON = 32
 #: Left sets of a verification block, about.
 BLOCK_SETS = 256
+#: Candidates among no more sets than so many blocks hold are dealt without components.
+FEW_BLOCKS = 16
 #: Texts are hashed in small slices, and indexed in larger ones.
 HASH_BYTES = 2 << 20
 SLICE_BYTES = 8 << 20
@@ -357,17 +359,24 @@ def _verify(pairs: pa.Table, members: pa.Table) -> pa.Table:
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar. Blocks follow the candidates' components, and a
-    component with many sets is many blocks, by its left sets."""
+    component with many sets is many blocks, by its left sets. Few sets, of which no block would
+    get many copies, are dealt by their left sets alone."""
     pairs = written(pairs.select("a", "b").distinct(), "ngram-pairs")
-    group = written(components(pairs, "a", "b"), "ngram-blocks")
-    size = group.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    parts = F.ceil(F.col("size") / BLOCK_SETS)
-    placed = (
-        pairs.join(group.select(F.col("node").alias("a"), "component"), "a")
-        .join(size, "component")
-        .select("a", "b", F.xxhash64("component", F.pmod(F.xxhash64("a"), parts)).alias("block"))
-    )
-    placed = written(placed, "ngram-placed")
+    sizes = pairs.select(F.explode(F.array("a", "b")).alias("id")).agg(F.count_distinct("id"))
+    with shuffles_released(pairs.sparkSession):
+        nodes = sizes.first()[0]
+    if nodes <= FEW_BLOCKS * BLOCK_SETS:
+        placed = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(max(1, -(-nodes // BLOCK_SETS)))))
+    else:
+        group = written(components(pairs, "a", "b"), "ngram-blocks")
+        size = group.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+        parts = F.ceil(F.col("size") / BLOCK_SETS)
+        placed = (
+            pairs.join(group.select(F.col("node").alias("a"), "component"), "a")
+            .join(size, "component")
+            .select("a", "b", F.xxhash64("component", F.pmod(F.xxhash64("a"), parts)).alias("block"))
+        )
+        placed = written(placed, "ngram-placed")
     members = (
         placed.select("block", F.col("a").alias("m_id")).unionByName(placed.select("block", F.col("b").alias("m_id"))).distinct()
         .join(sets.select(F.col("set_id").alias("m_id"), "shingles"), "m_id")
@@ -608,20 +617,22 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
             .withColumn("all", F.count(F.lit(1)).over(Window.partitionBy("id", "which")))
             .join(worth.select("id", "which", "worth"), ["id", "which"])
             .filter(F.col("rank") <= _bound(F.col("n"), F.col("which")) + 1 - F.col("worth") + F.col("all"))
-            .select("sig", "cost", "id", "n", "component", "worth", (F.col("all") - F.col("rank") + 1).alias("ahead")),
+            .select("sig", "cost", "id", "which", "n", "component", "worth", (F.col("all") - F.col("rank") + 1).alias("ahead")),
             "ngram-bought",
         )
+        in_order = F.array_sort(F.collect_list(F.struct("cost", "sig")))["sig"]
+        lists = bought.groupBy("id", "which").agg(in_order.alias("sigs"))
         # subsets bought by the same sets give the same pairs: the first of them is enough
         buyers = bought.groupBy("sig", "cost").agg(F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id") % (1 << 20)).alias("sum"))
         first = buyers.groupBy("who", "sum").agg(F.min(F.struct("cost", "sig")).alias("first")).select("first.sig")
-        bought = bought.join(first, "sig", "left_semi").join(parities, "id")
-        side = lambda x: bought.select("sig", *[F.col(c).alias(x + c) for c in ("id", "n", "component", "worth", "ahead", "parity")])
+        bought = bought.join(first, "sig", "left_semi").join(parities, "id").join(lists, ["id", "which"])
+        side = lambda x: bought.select("sig", *[F.col(c).alias(x + c) for c in ("id", "n", "component", "worth", "ahead", "parity", "sigs")])
         # from the first subset that two sets share, either must have as many ahead as they need to share
         needed = F.greatest("aworth", "bworth") - F.floor((F.col("an") + F.col("bn")) / 7)
         apart = reduce(add, [F.bit_count(F.col("aparity")[k].bitwiseXOR(F.col("bparity")[k])) for k in range(PARITY_BITS // 64)])
         rest = side("a").join(side("b"), "sig").filter(
             (F.col("aid") < F.col("bid")) & (F.col("acomponent") != F.col("bcomponent")) & _similar_sizes("an", "bn") & (F.least("aahead", "bahead") >= needed)
-            & (7 * apart <= F.col("an") + F.col("bn"))
+            & (7 * apart <= F.col("an") + F.col("bn")) & (F.array_intersect("asigs", "bsigs")[0] == F.col("sig"))
         ).select(F.col("aid").alias("a"), F.col("bid").alias("b"))
         links.append(verified(rest, sets))
 

@@ -92,6 +92,29 @@ def test_ngram_components_equal_brute_force(spark, family, common):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(family)
 
 
+@pytest.mark.parametrize("few_blocks", [0, 16])
+def test_sets_of_common_passages_are_compared_once(spark, monkeypatch, few_blocks):
+    """Sets that share many subsets that are all too common: a pair is a candidate once per band,
+    at the first of them, and no link is lost, with blocks by component and by left sets."""
+    rng, seen, verified = np.random.default_rng(8), [], ngram_join.verified
+    passages = [words_of(rng, 40, 10**6) for _ in range(10)]
+    texts = []
+    for i in range(60):
+        chosen = np.sort(rng.choice(10, 7, replace=False)).tolist()
+        texts.append(" ".join(w for k in chosen for w in passages[k]) + f" n{i}")
+
+    def recorded(pairs, sets):
+        seen.append((pairs.count(), pairs.distinct().count()))
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(ngram_join, "verified", recorded)
+    monkeypatch.setattr(ngram_join, "FEW_BLOCKS", few_blocks)
+    found = ngram_join.similar_components(documents(spark, texts), common=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(texts)
+    rows, pairs = seen[-1]
+    assert len(seen) == 5 and pairs and rows <= 2 * pairs
+
+
 def test_ngram_repeated_rows_null_ids_and_empty_table(spark):
     docs = documents(spark, ["a b c d e f"] * 3 + [None], ids=[5, 5, 7, None])
     found = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.similar_components(docs).collect())
