@@ -17,12 +17,14 @@ Allocation by cost, cheapest first:
    components so far, then send each subset once per component; those that several components
    share are compared in stars again. Where all sharing sets are one component, nothing is left
    to find and the subset is free.
-3. Sets still incomplete use one-deletion neighbourhoods, again with stars and free ones.
+3. Sets still incomplete use one-deletion neighbourhoods, again with stars and free ones;
+   only those that they can complete get back what costs (a costly subset stays costly).
 4. Sets that even so fall short buy subsets in the order of their cost (number of components
    that share them, the same for every set) until their value is H + 1; sets of different
    components are compared once, at the first subset that both bought, where from there on both
    have as many subsets left as a pair of their sizes must share, and the parities of their
-   shingles differ in no more bits than the pair may differ in shingles.
+   shingles differ in no more bits than the pair may differ in shingles. Subsets that only sets of
+   one component bought are left out before.
 Candidates are verified by exact intersection. Equal sets are one set throughout.
 
 Work per task is bounded: signatures travel in packed blocks by hash bucket (as many as
@@ -44,7 +46,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprintlens.llm.byte_text import ByteText, mixed
@@ -64,6 +66,9 @@ HASH_BYTES = 2 << 20
 SLICE_BYTES = 8 << 20
 #: Bands whose sizes stay below this take every shingle as a segment.
 SINGLE = 64
+#: Bits of the map of wanted keys: for each key, and at most.
+SLOTS_PER_KEY = 16
+MOST_SLOTS = 1 << 25
 #: Subsets of a set by which families are united first.
 LEAST_SUBSETS = 4
 #: Shingles of the sets that are cut into subsets together, about.
@@ -362,9 +367,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     component with many sets is many blocks, by its left sets. Few sets, of which no block would
     get many copies, are dealt by their left sets alone."""
     pairs = written(pairs.select("a", "b").distinct(), "ngram-pairs")
-    sizes = pairs.select(F.explode(F.array("a", "b")).alias("id")).agg(F.count_distinct("id"))
-    with shuffles_released(pairs.sparkSession):
-        nodes = sizes.first()[0]
+    nodes = 2 * pairs.count()
+    if nodes > FEW_BLOCKS * BLOCK_SETS:
+        ends = [pairs.select(F.col(c).alias("id")).distinct() for c in ("a", "b")]
+        with shuffles_released(pairs.sparkSession):
+            nodes = ends[0].unionByName(ends[1]).distinct().count()
     if nodes <= FEW_BLOCKS * BLOCK_SETS:
         placed = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(max(1, -(-nodes // BLOCK_SETS)))))
     else:
@@ -408,7 +415,7 @@ def _entries(table: pa.Table | pa.RecordBatch, deletions: bool, least: int | Non
             entry = np.zeros(len(starts), ENTRY)
             entry["id"], entry["component"], entry["n"], entry["which"] = ids[rows][owner], component[rows][owner], counts[owner], which
             entry["seg"] = np.arange(len(starts)) - np.searchsorted(owner, owner, "left")
-            entry["value"] = np.where(deletions & (length > 1), 2, 1)
+            entry["value"] = np.where(length > 1, 2, 1)
             total, place = run_sums(mixed(x), starts), _place(number, scheme)
             sig = mixed(total + place)
             if least is not None:
@@ -573,10 +580,11 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
     candidates = written(pairs.filter(F.col("shared") >= F.greatest(F.lit(1), F.col("cold_a") - least, F.col("cold_b") - least)).select("a", "b"), "ngram-candidates")
 
     wanted = candidates.select(F.col("a").alias("set_id")).unionByName(candidates.select(F.col("b").alias("set_id"))).unionByName(incomplete.select("set_id")).distinct()
-    first_docs = classes.join(wanted, "set_id").select(F.col("first_doc").alias("_doc"))
-    chosen = texts.join(first_docs, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    sets = written(chosen.select("text").mapInArrow(_sets, "set_id long, shingles binary").dropDuplicates(["set_id"]), "ngram-sets")
-    links = [verified(candidates, sets)]
+    wanted = written(classes.join(wanted, "set_id").select("set_id", F.xxhash64("first_doc").alias("key")), "ngram-wanted")
+    chosen = marked(texts, F.xxhash64("doc_id"), wanted).filter("_marked").select("text")
+    found_sets = chosen.mapInArrow(_sets, "set_id long, shingles binary").join(wanted.select("set_id"), "set_id", "left_semi")
+    sets = written(found_sets.dropDuplicates(["set_id"]), "ngram-sets")
+    links = verified(candidates, sets)
 
     exact = known = None
     for deletions in (False, True):
@@ -587,28 +595,35 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
         stars = lambda rows: rows.filter((F.col("id") != F.col("rep")) & _similar_sizes("n", "rep_n")).select(F.col("id").alias("a"), F.col("rep").alias("b"))
         if known is None:  # families first: most of them share one of a few smallest subsets
             few = left.withColumn("component", F.col("set_id")).mapInArrow(_least_subsets(buckets, LEAST_SUBSETS), "bucket int, sig binary, entry binary")
-            links.append(verified(stars(few.groupBy("bucket").applyInArrow(_groups, GROUPS)), sets))
-            known = written(components(_all(links), "a", "b"), "ngram-known")
+            links = links.unionByName(verified(stars(few.groupBy("bucket").applyInArrow(_groups, GROUPS)), sets))
+            known = written(components(links, "a", "b"), "ngram-known")
+            worth = written(left.mapInArrow(_worth, "id long, which int, n long, worth long, most long"), "ngram-worth")
+            able = None
         dealt = written(_blocks(left, known, size), "ngram-dealt")
         packed = dealt.groupBy("block").applyInArrow(_block_index(buckets, deletions), "bucket int, sig binary, entry binary")
         shared = written(packed.groupBy("bucket").applyInArrow(_groups, GROUPS), "ngram-groups")
-        links.append(verified(stars(shared), sets))
-        known = written(components(_all(links), "a", "b"), "ngram-known")
+        known = _united(known, verified(stars(shared), sets))
         # a block gets back the signatures that several components still share
         costly = _costly(shared.drop("component"), known).select(F.col("block").alias("_block"), "sig").distinct()
-        found = dealt.groupBy("block").cogroup(costly.groupBy("_block")).applyInArrow(_costly_entries(deletions), COSTLY)
+        asking = dealt if able is None else dealt.join(able, ["set_id", "which"], "left_semi")
+        found = asking.groupBy("block").cogroup(costly.groupBy("_block")).applyInArrow(_costly_entries(deletions), COSTLY)
         found = written(found, "ngram-costly-entries")
         exact = found if exact is None else exact
-        paid = found.groupBy("id", "which", "seg").agg(F.max("value").alias("value")).groupBy("id", "which").agg(F.sum("value").alias("paid"))
-        worth = left.mapInArrow(_worth(deletions), "id long, which int, n long, worth long")
-        short = _bound(F.col("n"), F.col("which")) + 1 - F.col("worth") + F.coalesce("paid", F.lit(0))
-        still = worth.join(paid, ["id", "which"], "left").filter(short > 0).select(F.col("id").alias("set_id"), "which")
-        incomplete = written(incomplete.join(still, ["set_id", "which"], "left_semi"), "ngram-incomplete")
+        paid = found.groupBy("id", "which", "seg").agg(F.max("value").alias("value")).groupBy("id", "which")
+        paid = paid.agg(F.count(F.lit(1)).alias("paid"), F.sum("value").alias("paid_most"))
+        lacks = lambda value, paid: _bound(F.col("n"), F.col("which")) + 1 - F.col(value) + F.coalesce(paid, F.lit(0)) > 0
+        state = worth.withColumnRenamed("id", "set_id").join(paid.withColumnRenamed("id", "set_id"), ["set_id", "which"], "left")
+        state = state.withColumns({"lacks": lacks("worth", "paid"), "lacks_most": lacks("most", "paid_most")})
+        if able is None:
+            incomplete = written(incomplete.join(state.filter("lacks").select("set_id", "which", "lacks_most"), ["set_id", "which"]), "ngram-incomplete")
+            able = incomplete.filter("NOT lacks_most").select("set_id", "which")
+        else:  # sets that no neighbourhood could complete have not asked
+            done = state.filter("NOT lacks_most").select("set_id", "which").join(able, ["set_id", "which"], "left_semi")
+            incomplete = written(incomplete.join(done, ["set_id", "which"], "left_anti"), "ngram-incomplete")
     if not incomplete.isEmpty():
         # the order of subsets by cost is the same for all sets, so of two similar sets both buy
         # the first subset that they share
         left = incomplete.join(sets, "set_id").select("set_id", F.col("which").cast("int"), "shingles")
-        worth = left.mapInArrow(_worth(False), "id long, which int, n long, worth long")
         parities = left.select("set_id", "shingles").mapInArrow(_parities, "id long, parity array<long>").dropDuplicates(["id"])
         costly = written(_costly(exact.join(incomplete.select(F.col("set_id").alias("id"), "which"), ["id", "which"], "left_semi"), known), "ngram-costly")
         order = Window.partitionBy("id", "which").orderBy("cost", "sig")
@@ -620,12 +635,17 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
             .select("sig", "cost", "id", "which", "n", "component", "worth", (F.col("all") - F.col("rank") + 1).alias("ahead")),
             "ngram-bought",
         )
-        in_order = F.array_sort(F.collect_list(F.struct("cost", "sig")))["sig"]
-        lists = bought.groupBy("id", "which").agg(in_order.alias("sigs"))
         # subsets bought by the same sets give the same pairs: the first of them is enough
-        buyers = bought.groupBy("sig", "cost").agg(F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id") % (1 << 20)).alias("sum"))
+        buyers = bought.groupBy("sig", "cost").agg(
+            F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id") % (1 << 20)).alias("sum"),
+            (F.min("component") < F.max("component")).alias("several"),
+        ).filter("several")
         first = buyers.groupBy("who", "sum").agg(F.min(F.struct("cost", "sig")).alias("first")).select("first.sig")
-        bought = bought.join(first, "sig", "left_semi").join(parities, "id").join(lists, ["id", "which"])
+        bought = written(bought.join(first, "sig", "left_semi"), "ngram-first")
+        in_order = F.array_sort(F.collect_list(F.struct("cost", "sig")))["sig"]
+        lists = bought.groupBy("id", "which").agg(in_order.alias("sigs"))
+        bought = bought.join(parities.join(lists, "id"), ["id", "which"])
+        bought = bought.withColumn("sigs", F.slice("sigs", 1, F.array_position("sigs", F.col("sig")).cast("int")))
         side = lambda x: bought.select("sig", *[F.col(c).alias(x + c) for c in ("id", "n", "component", "worth", "ahead", "parity", "sigs")])
         # from the first subset that two sets share, either must have as many ahead as they need to share
         needed = F.greatest("aworth", "bworth") - F.floor((F.col("an") + F.col("bn")) / 7)
@@ -634,9 +654,9 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
             (F.col("aid") < F.col("bid")) & (F.col("acomponent") != F.col("bcomponent")) & _similar_sizes("an", "bn") & (F.least("aahead", "bahead") >= needed)
             & (7 * apart <= F.col("an") + F.col("bn")) & (F.array_intersect("asigs", "bsigs")[0] == F.col("sig"))
         ).select(F.col("aid").alias("a"), F.col("bid").alias("b"))
-        links.append(verified(rest, sets))
+        known = _united(known, verified(rest, sets))
 
-    joined = components(_all(links), "a", "b")
+    joined = components(links, "a", "b") if known is None else known
     labelled = written(
         classes.select("set_id", "first_doc").join(joined, F.col("set_id") == F.col("node"), "left").select("set_id", "first_doc", F.coalesce("component", "set_id").alias("label")),
         "ngram-labels",
@@ -658,28 +678,42 @@ def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["id", "parity"])
 
 
-def _worth(deletions: bool):
-    """Value of all segments of each incomplete set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            worth, size = [], []
-            for which, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                x = np.frombuffer(blob, U)
-                starts = segments(x, np.array([len(x)]), which)[0]
-                length = np.diff(np.append(starts, len(x)))
-                worth.append(int(np.where(deletions & (length > 1), 2, 1).sum()))
-                size.append(len(x))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(worth, pa.int64())], ["id", "which", "n", "worth"])
-
-    return run
-
-
-def _all(links: list[DataFrame]) -> DataFrame:
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+def _worth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Value of all segments of each incomplete set, without and with one-deletion neighbourhoods."""
+    for batch in batches:
+        worth, most, size = [], [], []
+        for which, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            x = np.frombuffer(blob, U)
+            starts = segments(x, np.array([len(x)]), which)[0]
+            length = np.diff(np.append(starts, len(x)))
+            worth.append(len(length))
+            most.append(int(np.where(length > 1, 2, 1).sum()))
+            size.append(len(x))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in (size, worth, most)]], ["id", "which", "n", "worth", "most"])
+
+
+def _united(known: DataFrame, links: DataFrame) -> DataFrame:
+    """The components known so far, united by further links."""
+    if links.isEmpty():
+        return known
+    return written(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links), "a", "b"), "ngram-known")
+
+
+def marked(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows with _marked: true for each whose key is among `keys` (hashes in a column key), and
+    for few others. Of the keys a bit map of at most MOST_SLOTS bits travels to the rows, so that
+    texts that nobody asked for are not shuffled."""
+    count = keys.count()
+    slots = min(MOST_SLOTS, max(64, 1 << (SLOTS_PER_KEY * count).bit_length()))
+    slot = F.pmod(key, F.lit(slots))
+    words = (
+        keys.select(F.pmod("key", F.lit(slots)).alias("_slot"))
+        .groupBy(F.shiftright("_slot", 6).alias("_word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(_slot % 64 AS INT))")).alias("_bits"))
+    )
+    joined = rows.withColumn("_slot", slot).join(F.broadcast(words), F.shiftright("_slot", 6) == F.col("_word"), "left")
+    hit = F.coalesce(F.getbit("_bits", F.col("_slot") % 64) == 1, F.lit(False))
+    return joined.withColumn("_marked", hit).drop("_slot", "_word", "_bits")
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from sprintlens.llm import (
     chat_snapshots,
@@ -115,6 +116,35 @@ def test_sets_of_common_passages_are_compared_once(spark, monkeypatch, few_block
     assert len(seen) == 5 and pairs and rows <= 2 * pairs
 
 
+def test_neighbourhoods_are_sent_back_only_to_sets_they_can_complete(spark, monkeypatch):
+    """Sets of passages that are all too common: their neighbourhoods cost as much as their subsets."""
+    rng, entries, written = np.random.default_rng(8), [], ngram_join.written
+    passages = [words_of(rng, 40, 10**6) for _ in range(10)]
+    chosen = [np.sort(rng.choice(10, 7, replace=False)).tolist() for _ in range(40)]
+    texts = [" ".join(w for k in c for w in passages[k]) + f" n{i}" for i, c in enumerate(chosen)]
+
+    def recorded(df, name):
+        out = written(df, name)
+        if name == "ngram-costly-entries":
+            entries.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", recorded)
+    found = ngram_join.similar_components(documents(spark, texts), common=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(texts)
+    assert len(entries) == 2 and entries[1] <= entries[0]
+
+
+def test_marked_keeps_all_rows_and_misses_no_key(spark):
+    rows = spark.range(2000).select(F.when(F.col("id") < 1990, F.col("id")).alias("id"))
+    keys = rows.filter("id % 50 = 0 OR id IS NULL").select(F.xxhash64("id").alias("key"))
+    out = ngram_join.marked(rows, F.xxhash64("id"), keys)
+    assert out.columns == ["id", "_marked"] and out.count() == 2000
+    assert out.filter("(id % 50 = 0 OR id IS NULL) AND NOT _marked").count() == 0
+    assert out.filter("_marked").count() < 300
+    assert ngram_join.marked(rows, F.xxhash64("id"), keys.limit(0)).filter("_marked").count() == 0
+
+
 def test_ngram_repeated_rows_null_ids_and_empty_table(spark):
     docs = documents(spark, ["a b c d e f"] * 3 + [None], ids=[5, 5, 7, None])
     found = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.similar_components(docs).collect())
