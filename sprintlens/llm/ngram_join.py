@@ -730,9 +730,14 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
         F.min("doc_id").alias("_id"), F.min(F.xxhash64("text")).alias("_text"), F.count(F.lit(1)).alias("_n")
     )
     best = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_text", "_row", "_n"))
-    picked = written(sizes.join(groups, "_row").groupBy("_group").agg(best.alias("_best")).select("_best._row", "_best._n"), "ngram-kept")
+    placed = written(sizes.join(groups, "_row"), "ngram-rows")
+    picked = written(placed.groupBy("_group").agg(best.alias("_best")).select("_best._row", "_best._n"), "ngram-kept")
     single, repeated = picked.filter("_n = 1"), picked.filter("_n > 1")
-    one = docs.join(single, key == F.col("_row"), "left_semi")
-    several = docs.join(repeated.select("_row"), key == F.col("_row"))
+    # most rows are alone and stay: only those that may not be are moved to meet their key
+    others = written(placed.join(single, "_row", "left_anti").select(F.col("_row").alias("key")), "ngram-others")
+    told = marked(docs, key, others)
+    alone, asked = told.filter("NOT _marked").select(*docs.columns), told.filter("_marked").select(*docs.columns)
+    one = asked.join(single, key == F.col("_row"), "left_semi")
+    several = asked.join(repeated.select("_row"), key == F.col("_row"))
     whole = F.min(F.struct(*docs.columns)).alias("_doc")
-    return restored(one.unionByName(several.groupBy("_row").agg(whole).select("_doc.*")))
+    return restored(alone.unionByName(one).unionByName(several.groupBy("_row").agg(whole).select("_doc.*")))

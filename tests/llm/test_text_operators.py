@@ -135,6 +135,22 @@ def test_neighbourhoods_are_sent_back_only_to_sets_they_can_complete(spark, monk
     assert len(entries) == 2 and entries[1] <= entries[0]
 
 
+def test_only_texts_asked_for_are_moved(spark, monkeypatch):
+    rng, moved, marked = np.random.default_rng(9), [], ngram_join.marked
+    texts = [" ".join(words_of(rng, 12, 10**6)) for _ in range(200)]
+    texts += texts[:3] + [None, None]
+
+    def recorded(rows, key, keys):
+        out = marked(rows, key, keys)
+        moved.append(out.filter("_marked").count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "marked", recorded)
+    kept = ngram_join.one_of_each(documents(spark, texts)).collect()
+    assert sorted(r.doc_id for r in kept) == [*range(200), 203, 204]
+    assert len(moved) == 2 and max(moved) < 60
+
+
 def test_marked_keeps_all_rows_and_misses_no_key(spark):
     rows = spark.range(2000).select(F.when(F.col("id") < 1990, F.col("id")).alias("id"))
     keys = rows.filter("id % 50 = 0 OR id IS NULL").select(F.xxhash64("id").alias("key"))
