@@ -64,7 +64,7 @@ class ByteText:
         """64-bit hashes of byte runs: polynomial over scrambled bytes, then scrambled."""
         if not len(starts):
             return np.zeros(0, np.uint64)
-        size = max(1 << 21, 1 << int(len(self.data)).bit_length())
+        size = max(1 << 19, 1 << int(len(self.data)).bit_length())
         up, down = _powers(size)
         letters = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
         upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters[self.data] * up[: len(self.data)])])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def memory_returned() -> None:
+    """Free pages go back to the system: a worker that is used again would else keep the most that
+    any of its tasks took, next to what the executor itself has grown to."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The function over batches, with its memory returned when it has ended."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            memory_returned()
+
+    return task
+
+
 def tucked(docs: DataFrame, *needed: str):
     """The frame with all other columns renamed by position, so that none of them meets a name
     that an operator uses, and the function that gives them their names back."""

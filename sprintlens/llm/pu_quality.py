@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sprintlens.llm.byte_text import ByteText
-from sprintlens.llm.common import in_fold
+from sprintlens.llm.common import in_fold, released
 from sprintlens.llm.pareto_mix import uniform
 from sprintlens.llm.word_pieces import pieces_of
 
@@ -38,6 +38,8 @@ POSITIVES = 8000
 UNLABELLED = 16000
 HIDDEN = 24
 EPOCHS = 60
+#: Texts are measured in slices of about so many bytes: a byte takes some fifty in the arrays.
+SLICE_BYTES = 512 << 10
 
 
 def statistics(texts: pa.Array) -> np.ndarray:
@@ -170,12 +172,12 @@ def _measured(docs: DataFrame, extra: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces_of(batch, 2 << 20):
+            for part in pieces_of(batch, SLICE_BYTES):
                 packed = pa.array([row.tobytes() for row in statistics(part.column(0))], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], packed], [*extra, "x"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*extra).schema)
-    return docs.select("text", *extra).mapInArrow(run, f"{fields}, x binary")
+    return docs.select("text", *extra).mapInArrow(released(run), f"{fields}, x binary")
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:
@@ -206,13 +208,13 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces_of(batch, 2 << 20):
+            for part in pieces_of(batch, SLICE_BYTES):
                 x = statistics(part.column(0)).astype(np.float64)
                 s = sigmoid(model.logits(x)) if model else np.full(len(x), 0.5)
                 arrays = [part.column(1), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "score", "predicted"])
 
-    return docs.select("text", "doc_id").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    return docs.select("text", "doc_id").mapInArrow(released(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
 def train_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -229,10 +231,10 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces_of(batch, 2 << 20):
+            for part in pieces_of(batch, SLICE_BYTES):
                 x = statistics(part.column(0)).astype(np.float64)
                 keep = sigmoid(model.logits(x)) >= 0.5 if model else np.ones(len(x), bool)
                 yield part.filter(pa.array(keep))
 
-    kept = passed.mapInArrow(run, passed.schema)
+    kept = passed.mapInArrow(released(run), passed.schema)
     return kept.select(*[F.col("text") if c == "text" else F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])

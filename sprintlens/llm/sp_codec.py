@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sprintlens.llm.common import memory_returned, released
 from sprintlens.llm.word_pieces import ChunkEncoder, interleave, lists, pieces_of
 
 #: The word mark of the library, U+2581.
@@ -208,7 +209,7 @@ RESULTS = ("ids", "begins", "ends", "decoded")
 
 def coded(codec: Codec, batches: Iterator[pa.RecordBatch], kept: list[str]) -> Iterator[pa.RecordBatch]:
     """Batches of a text and the kept columns, slice by slice: the kept columns and the results."""
-    pa.default_memory_pool().release_unused()  # what earlier tasks left to a worker that is used again
+    memory_returned()  # what earlier tasks left to a worker that is used again
     for batch in batches:
         for part in pieces_of(batch, SLICE_BYTES):
             ids, begins, ends, counts = codec.encode(part.column(0))
@@ -227,4 +228,4 @@ def encode_decode(docs: DataFrame, model_path: str, end_id: bool = True, keep: t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from coded(shared_codec(model_path, end_id), batches, kept)
 
-    return slim.mapInArrow(run, schema)
+    return slim.mapInArrow(released(run), schema)
