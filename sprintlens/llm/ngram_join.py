@@ -29,7 +29,9 @@ Candidates are verified by exact intersection. Equal sets are one set throughout
 
 Work per task is bounded: signatures travel in packed blocks by hash bucket (as many as
 spark.sql.shuffle.partitions), a signature frequent within a map task sends `common` + 1
-entries, and verification blocks hold a bounded number of left sets.
+entries, and verification blocks hold a bounded number of left sets. A text asked for is hashed
+once more and its set goes straight to the blocks that verify it; steps 2 to 4 read the sets
+left incomplete only.
 
 Defined cases: words and sets as the contract says (a text of one to four words is one
 shingle); null or empty text has an empty set, linked with nothing; repeated rows are equal
@@ -50,7 +52,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprintlens.llm.byte_text import ByteText, mixed
-from sprintlens.llm.common import shuffles_released, tucked, written
+from sprintlens.llm.common import memory_returned, released, shuffles_released, tucked, written
 from sprintlens.llm.components import components
 from sprintlens.llm.word_pieces import pieces_of
 
@@ -62,12 +64,12 @@ BLOCK_SETS = 256
 #: Candidates among no more sets than so many blocks hold are dealt without components.
 FEW_BLOCKS = 16
 #: Texts are hashed in small slices, and indexed in larger ones.
-HASH_BYTES = 2 << 20
-SLICE_BYTES = 8 << 20
+HASH_BYTES = 512 << 10
+SLICE_BYTES = 4 << 20
 #: Bands whose sizes stay below this take every shingle as a segment.
 SINGLE = 64
 #: Bits of the map of wanted keys: for each key, and at most.
-SLOTS_PER_KEY = 16
+SLOTS_PER_KEY = 64
 MOST_SLOTS = 1 << 25
 #: Subsets of a set by which families are united first.
 LEAST_SUBSETS = 4
@@ -169,21 +171,21 @@ def _take(x: np.ndarray, counts: np.ndarray, keep: np.ndarray) -> tuple[np.ndarr
     return x[np.repeat(keep, counts)], counts[keep]
 
 
-def _pack(sig: np.ndarray, index: np.ndarray) -> bytes:
-    raw = np.empty((len(sig), 7), np.uint8)
-    raw[:, :5] = sig.view(np.uint8).reshape(-1, 8)[:, :5]
-    raw[:, 5:] = index.astype(np.uint16).view(np.uint8).reshape(-1, 2)
-    return raw.tobytes()
+#: A set before its signatures in a block: n is negative for subsets in the next band; times is
+#: the number of signatures that follow (a set with more of them stands there again).
+HEAD = np.dtype([("id", np.int64), ("n", np.int32), ("times", np.uint8)])
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(blob, np.uint8).reshape(-1, 7)
-    sig = np.zeros((len(raw), 8), np.uint8)
-    sig[:, :5] = raw[:, :5]
-    return sig.view(U)[:, 0], np.ascontiguousarray(raw[:, 5:]).view(np.uint16)[:, 0].astype(np.int64)
+def _pack(sig: np.ndarray) -> np.ndarray:
+    """The lowest five bytes of each signature; the bucket tells the others apart."""
+    return np.ascontiguousarray(sig).view(np.uint8).reshape(-1, 8)[:, :5]
 
 
-SET_TYPE = np.dtype([("id", np.int64), ("n", np.int32), ("which", np.int8)])
+def _unpack(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(blob, np.uint8).reshape(-1, 5)
+    sig = np.zeros((len(raw), 8), np.uint8)
+    sig[:, :5] = raw
+    return sig.view(U)[:, 0]
 
 
 def _index(buckets: int, common: int):
@@ -212,8 +214,8 @@ def _index(buckets: int, common: int):
                     starts, owner, number, scheme = segments(xs, cs, which)
                     sigs.append(subset_signatures(xs, starts, number, scheme))
                     index.append(owner + sum(map(len, sets)))
-                    row = np.zeros(len(cs), SET_TYPE)
-                    row["id"], row["n"], row["which"] = ids[use], cs, which
+                    row = np.zeros(len(cs), HEAD)
+                    row["id"], row["n"] = ids[use], -cs if which else cs
                     sets.append(row)
                 sig, index, sets = np.concatenate(sigs), np.concatenate(index), np.concatenate(sets)
                 order = np.argsort(sig)
@@ -223,15 +225,22 @@ def _index(buckets: int, common: int):
                 hot = np.bincount(index[over], minlength=len(sets))
                 sig, index = sig[~over], index[~over]
                 bucket = ((sig >> U(40)) % U(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
+                order = np.lexsort((index, bucket))
                 sig, index, bucket = sig[order], index[order], bucket[order]
+                new = np.ones(len(sig), bool)
+                new[1:] = (index[1:] != index[:-1]) | (bucket[1:] != bucket[:-1])
+                start = np.flatnonzero(new)
+                length = np.diff(np.append(start, len(sig)))
+                new |= (np.arange(len(sig)) - np.repeat(start, length)) % 255 == 0
+                start = np.flatnonzero(new)
+                heads, packed = sets[index[start]], _pack(sig)
+                heads["times"] = np.diff(np.append(start, len(sig)))
                 bounds = np.searchsorted(bucket, np.arange(buckets + 1))
-                rows = []
-                for b in range(buckets):
-                    lo, hi = bounds[b], bounds[b + 1]
-                    if lo < hi:
-                        used, local = np.unique(index[lo:hi], return_inverse=True)
-                        rows.append((b, sets[used].tobytes(), _pack(sig[lo:hi], local), None))
+                first = np.searchsorted(bucket[start], np.arange(buckets + 1))
+                rows = [
+                    (b, heads[first[b] : first[b + 1]].tobytes(), packed[bounds[b] : bounds[b + 1]].tobytes(), None)
+                    for b in range(buckets) if bounds[b] < bounds[b + 1]
+                ]
                 many = np.flatnonzero(hot)
                 if len(many):
                     rows.append((int(ids[0] % buckets), sets[many].tobytes(), b"", hot[many].astype(np.int32).tobytes()))
@@ -264,16 +273,16 @@ def _match(common: int):
     and band the number of its subsets that are too common."""
 
     def run(table: pa.Table) -> pa.Table:
-        sigs, rows, sets, hot_rows, hot_counts, base = [np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, SET_TYPE)], [np.zeros(0, SET_TYPE)], [np.zeros(0, np.int32)], 0
+        memory_returned()  # what earlier groups left
+        sigs, rows, sets, hot_rows, hot_counts, base = [np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, HEAD)], [np.zeros(0, HEAD)], [np.zeros(0, np.int32)], 0
         for s, e, h in zip(table["sets"].to_pylist(), table["entries"].to_pylist(), table["hot"].to_pylist()):
-            members = np.frombuffer(s, SET_TYPE)
+            members = np.frombuffer(s, HEAD)
             if h is not None:
                 hot_rows.append(members)
                 hot_counts.append(np.frombuffer(h, np.int32))
                 continue
-            sig, index = _unpack(e)
-            sigs.append(sig)
-            rows.append(index + base)
+            sigs.append(_unpack(e))
+            rows.append(np.repeat(np.arange(base, base + len(members)), members["times"]))
             sets.append(members)
             base += len(members)
         sig, row, sets = np.concatenate(sigs), np.concatenate(rows), np.concatenate(sets)
@@ -291,7 +300,8 @@ def _match(common: int):
         sig, row = sig[once], row[once]
         i, j, frequent = _pairs_of_runs(sig, common)
         a, b = row[i], row[j]
-        na, nb = sets["n"][a].astype(np.int64), sets["n"][b].astype(np.int64)
+        n = np.abs(sets["n"])
+        na, nb = n[a].astype(np.int64), n[b].astype(np.int64)
         fit = 4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)
         a, b = a[fit], b[fit]
         ida, idb = sets["id"][a], sets["id"][b]
@@ -303,12 +313,16 @@ def _match(common: int):
         times = np.diff(np.append(at, len(ida)))
         hot = np.concatenate([sets[row[frequent]], *hot_rows])
         count = np.concatenate([np.ones(int(frequent.sum()), np.int32), *hot_counts])
-        key, inverse = np.unique(hot[["id", "which"]], return_inverse=True)
-        total = np.bincount(inverse, count, minlength=len(key)).astype(np.int64)
+        order = np.lexsort((hot["n"] < 0, hot["id"]))
+        hot, count = hot[order], count[order].astype(np.int64)
+        new = np.ones(len(hot), bool)
+        new[1:] = (hot["id"][1:] != hot["id"][:-1]) | ((hot["n"][1:] < 0) != (hot["n"][:-1] < 0))
+        key = hot[new]
+        total = np.add.reduceat(count, np.flatnonzero(new)) if len(hot) else count
         return pa.table({
             "a": np.concatenate([ida[at], key["id"]]), "b": np.concatenate([idb[at], np.full(len(key), -1)]),
-            "na": np.concatenate([sets["n"][a[at]], key["which"].astype(np.int32)]).astype(np.int32),
-            "nb": np.concatenate([sets["n"][b[at]], np.full(len(key), -1, np.int32)]).astype(np.int32),
+            "na": np.concatenate([n[a[at]], key["n"] < 0]).astype(np.int32),
+            "nb": np.concatenate([n[b[at]], np.full(len(key), -1, np.int32)]).astype(np.int32),
             "shared": np.concatenate([times, total]).astype(np.int32),
         })
 
@@ -342,6 +356,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(pairs: pa.Table, members: pa.Table) -> pa.Table:
+    memory_returned()
     ids = members["m_id"].to_numpy()
     blobs = members["shingles"]
     place = {i: k for k, i in enumerate(ids.tolist())}
@@ -362,34 +377,43 @@ def _verify(pairs: pa.Table, members: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a[ok], pa.int64()), "b": pa.array(b[ok], pa.int64())})
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar. Blocks follow the candidates' components, and a
-    component with many sets is many blocks, by its left sets. Few sets, of which no block would
-    get many copies, are dealt by their left sets alone."""
+def placed(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) with the block they are verified in. Blocks follow the candidates'
+    components, and a component with many sets is many blocks, by its left sets. Few sets, of which
+    no block would get many copies, are dealt by their left sets alone."""
     pairs = written(pairs.select("a", "b").distinct(), "ngram-pairs")
     nodes = 2 * pairs.count()
     if nodes > FEW_BLOCKS * BLOCK_SETS:
-        ends = [pairs.select(F.col(c).alias("id")).distinct() for c in ("a", "b")]
         with shuffles_released(pairs.sparkSession):
-            nodes = ends[0].unionByName(ends[1]).distinct().count()
+            nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).agg(F.approx_count_distinct("id")).first()[0]
     if nodes <= FEW_BLOCKS * BLOCK_SETS:
-        placed = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(max(1, -(-nodes // BLOCK_SETS)))))
-    else:
-        group = written(components(pairs, "a", "b"), "ngram-blocks")
-        size = group.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-        parts = F.ceil(F.col("size") / BLOCK_SETS)
-        placed = (
-            pairs.join(group.select(F.col("node").alias("a"), "component"), "a")
-            .join(size, "component")
-            .select("a", "b", F.xxhash64("component", F.pmod(F.xxhash64("a"), parts)).alias("block"))
-        )
-        placed = written(placed, "ngram-placed")
-    members = (
-        placed.select("block", F.col("a").alias("m_id")).unionByName(placed.select("block", F.col("b").alias("m_id"))).distinct()
-        .join(sets.select(F.col("set_id").alias("m_id"), "shingles"), "m_id")
-        .select(F.col("block").alias("m_block"), "m_id", "shingles")
+        return pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(max(1, -(-nodes // BLOCK_SETS)))))
+    group = written(components(pairs, "a", "b"), "ngram-blocks")
+    size = group.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    parts = F.ceil(F.col("size") / BLOCK_SETS)
+    dealt = (
+        pairs.join(group.select(F.col("node").alias("a"), "component"), "a")
+        .join(size, "component")
+        .select("a", "b", F.xxhash64("component", F.pmod(F.xxhash64("a"), parts)).alias("block"))
     )
-    return written(placed.groupBy("block").cogroup(members.groupBy("m_block")).applyInArrow(_verify, "a long, b long"), "ngram-links")
+    return written(dealt, "ngram-placed")
+
+
+def members_of(pairs: DataFrame) -> DataFrame:
+    """The sets (set_id) that each block verifies."""
+    return pairs.select("block", F.col("a").alias("set_id")).unionByName(pairs.select("block", F.col("b").alias("set_id"))).distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar. Pairs that are placed already come with sets that
+    hold the blocks they go to."""
+    if "blocks" in sets.columns:
+        members = sets.select(F.explode("blocks").alias("block"), "set_id", "shingles")
+    else:
+        pairs = placed(pairs)
+        members = members_of(pairs).join(sets, "set_id")
+    members = members.select(F.col("block").alias("m_block"), F.col("set_id").alias("m_id"), "shingles")
+    return written(pairs.groupBy("block").cogroup(members.groupBy("m_block")).applyInArrow(_verify, "a long, b long"), "ngram-links")
 
 
 ENTRY = np.dtype([("id", np.int64), ("n", np.int32), ("which", np.int8), ("seg", np.int32), ("value", np.int8), ("component", np.int64), ("block", np.int32)])
@@ -479,6 +503,7 @@ GROUPS = "sig long, rep long, rep_n int, id long, n int, component long, block i
 
 def _groups(table: pa.Table) -> pa.Table:
     """Entries of signatures that several components share, each with one of four representatives."""
+    memory_returned()
     sig = np.concatenate([np.frombuffer(s, U) for s in table["sig"].to_pylist()])
     entry = np.concatenate([np.frombuffer(s, ENTRY) for s in table["entry"].to_pylist()])
     order = np.lexsort((mixed(entry["id"].view(U) + (sig & U(3))), sig))
@@ -553,11 +578,11 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
-    described = written(texts.mapInArrow(_describe, "doc_id long, set_id long, n long, e0 long, e1 long"), "ngram-documents")
+    described = written(texts.mapInArrow(released(_describe), "doc_id long, set_id long, n long, e0 long, e1 long"), "ngram-documents")
     classes = written(
         described.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), *[F.first(c).alias(c) for c in ("n", "e0", "e1")]), "ngram-classes"
     )
-    blocks = texts.mapInArrow(_index(buckets, common), "bucket int, sets binary, entries binary, hot binary")
+    blocks = texts.mapInArrow(released(_index(buckets, common)), "bucket int, sets binary, entries binary, hot binary")
     found = written(blocks.groupBy("bucket").applyInArrow(_match(common), FOUND), "ngram-found")
 
     # how many subsets of each set and band are too common to be searched at once
@@ -579,12 +604,17 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
         ).drop("which")
     candidates = written(pairs.filter(F.col("shared") >= F.greatest(F.lit(1), F.col("cold_a") - least, F.col("cold_b") - least)).select("a", "b"), "ngram-candidates")
 
-    wanted = candidates.select(F.col("a").alias("set_id")).unionByName(candidates.select(F.col("b").alias("set_id"))).unionByName(incomplete.select("set_id")).distinct()
-    wanted = written(classes.join(wanted, "set_id").select("set_id", F.xxhash64("first_doc").alias("key")), "ngram-wanted")
+    # the blocks that verify a set travel with it, so that it is shuffled to them only
+    pairs = placed(candidates)
+    wanted = members_of(pairs).withColumns({"block": F.col("block").cast("long"), "again": F.lit(False)})
+    wanted = wanted.unionByName(incomplete.select("set_id", F.lit(None).cast("long").alias("block"), F.lit(True).alias("again")))
+    wanted = wanted.groupBy("set_id").agg(F.collect_list("block").alias("blocks"), F.max("again").alias("again"))
+    wanted = written(classes.join(wanted, "set_id").select("set_id", F.xxhash64("first_doc").alias("key"), "blocks", "again"), "ngram-wanted")
     chosen = marked(texts, F.xxhash64("doc_id"), wanted).filter("_marked").select("text")
-    found_sets = chosen.mapInArrow(_sets, "set_id long, shingles binary").join(wanted.select("set_id"), "set_id", "left_semi")
-    sets = written(found_sets.dropDuplicates(["set_id"]), "ngram-sets")
-    links = verified(candidates, sets)
+    hashed = chosen.mapInArrow(released(_sets), "set_id long, shingles binary").dropDuplicates(["set_id"])
+    sets = written(hashed.join(wanted.drop("key"), "set_id"), "ngram-sets")
+    links = verified(pairs, sets)
+    sets = sets.filter("again").select("set_id", "shingles")  # those that later steps compare
 
     exact = known = None
     for deletions in (False, True):

@@ -1,7 +1,13 @@
 """Written tables and the shuffle files behind them."""
 
+import os
+import subprocess
+import sys
+
+import numpy as np
 import pytest
 
+from sprintlens.llm import components as components_module
 from sprintlens.llm.common import CLEANUP, shuffles_released, written
 from sprintlens.llm.components import components
 
@@ -25,3 +31,47 @@ def test_components_of_odd_links(spark):
     found = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
     assert {r.node: r.component for r in found} == {1: 1, 2: 1, 9: 1}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_links_of_one_slice_need_no_rounds_and_slices_are_joined(spark, monkeypatch):
+    rng, names, inner = np.random.default_rng(5), [], components_module.written
+    ends = rng.permutation(400)[rng.integers(0, 400, (300, 2))].tolist() + [[7, 7], [7, 9], [9, 7], [None, 3]]
+    links = spark.createDataFrame(ends, "a long, b long").repartition(7)
+    parent = {n: n for e in ends[:-1] for n in e}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in ends[:-1]:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    linked = {n for a, b in ends[:-1] if a != b for n in (a, b)}
+    monkeypatch.setattr(components_module, "written", lambda df, name: names.append(name) or inner(df, name))
+    for slice_links, rounds in ((1 << 19, 0), (64, 1)):
+        monkeypatch.setattr(components_module, "SLICE_LINKS", slice_links)
+        names.clear()
+        found = components(links, "a", "b").collect()
+        assert sorted((r.node, r.component) for r in found) == sorted((n, find(n)) for n in linked)
+        assert (names.count("stars") >= rounds) if rounds else names == ["links"]
+
+
+def test_memory_of_a_task_goes_back_to_the_system():
+    """Chunks that the allocator would keep, below one that stays."""
+    code = """
+import os
+from sprintlens.llm.common import released
+held = lambda: int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+stays = []
+def run(batches):
+    chunks = [bytearray(b"x") * 100_000 for _ in range(1000)]
+    stays.append(bytearray(b"x") * 100_000)
+    yield from batches
+before = held()
+assert list(released(run)(iter([1, 2]))) == [1, 2]
+print(held() - before)
+"""
+    env = os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, check=True).stdout
+    assert float(out) < 40

@@ -161,6 +161,43 @@ def test_marked_keeps_all_rows_and_misses_no_key(spark):
     assert ngram_join.marked(rows, F.xxhash64("id"), keys.limit(0)).filter("_marked").count() == 0
 
 
+def test_later_steps_read_only_sets_left_incomplete(spark, monkeypatch):
+    rng, read, verified = np.random.default_rng(10), [], ngram_join.verified
+    texts = [" ".join(words_of(rng, 30, 10**6)) for _ in range(60)]
+    texts += [t + " again" for t in texts]
+    passages = [words_of(rng, 40, 10**6) for _ in range(10)]
+    for i in range(20):
+        chosen = np.sort(rng.choice(10, 7, replace=False)).tolist()
+        texts.append(" ".join(w for k in chosen for w in passages[k]) + f" n{i}")
+
+    def recorded(pairs, sets):
+        read.append((sets.count(), sets.select("set_id").distinct().count()))
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(ngram_join, "verified", recorded)
+    found = ngram_join.similar_components(documents(spark, texts), common=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(texts)
+    assert all(rows == sets for rows, sets in read)
+    assert read[0][0] == 140 and len(read) > 1 and max(rows for rows, _ in read[1:]) <= 20
+
+
+def test_subsets_travel_under_short_heads():
+    """Some three subsets of a set in a bucket: 5 bytes each and 13 of the set; a set with more than
+    255 of them stands there again."""
+    rng = np.random.default_rng(12)
+    texts = [" ".join(words_of(rng, 300, 10**6)) for _ in range(40)] + [" ".join(words_of(rng, 30_000, 10**6))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    for buckets, most in ((50, 11), (2, 7)):
+        (out,) = ngram_join._index(buckets, 32)(iter([batch]))
+        heads = [np.frombuffer(x, ngram_join.HEAD) for x in out.column("sets").to_pylist()]
+        sent = [ngram_join._unpack(x) for x in out.column("entries").to_pylist()]
+        assert [int(h["times"].sum()) for h in heads] == [len(x) for x in sent]
+        assert sum(13 * len(h) + 5 * len(x) for h, x in zip(heads, sent)) < most * sum(map(len, sent))
+        x, counts = ngram_join.shingle_sets(batch.column(0))
+        expected = sum(len(ngram_join.segments(*ngram_join._take(x, counts, use), w)[0]) for w, use in ((0, counts > 0), (1, ngram_join.reaches_on(counts))))
+        assert sum(map(len, sent)) == expected
+
+
 def test_ngram_repeated_rows_null_ids_and_empty_table(spark):
     docs = documents(spark, ["a b c d e f"] * 3 + [None], ids=[5, 5, 7, None])
     found = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.similar_components(docs).collect())
