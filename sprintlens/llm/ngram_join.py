@@ -559,7 +559,7 @@ def _labelled(rows: DataFrame, known: DataFrame, key: str = "id") -> DataFrame:
 
 def _costly(entries: DataFrame, known: DataFrame) -> DataFrame:
     """Entries of signatures whose sets are in several components, with component and cost."""
-    placed = _labelled(entries, known)
+    placed = written(_labelled(entries, known), "ngram-entries")  # read twice
     many = placed.groupBy("sig").agg(F.count_distinct("component").alias("cost")).filter("cost > 1")
     return placed.join(many, "sig")
 

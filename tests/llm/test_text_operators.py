@@ -181,6 +181,14 @@ def test_later_steps_read_only_sets_left_incomplete(spark, monkeypatch):
     assert read[0][0] == 140 and len(read) > 1 and max(rows for rows, _ in read[1:]) <= 20
 
 
+def test_entries_meet_their_components_once(spark):
+    entries = spark.createDataFrame([(1, 10), (1, 11), (2, 10), (2, 12), (3, 12)], "sig long, id long")
+    known = spark.createDataFrame([(10, 10), (12, 10)], "node long, component long")
+    costly = ngram_join._costly(entries, known)
+    assert sorted((r.sig, r.id, r.component, r.cost) for r in costly.collect()) == [(1, 10, 10, 2), (1, 11, 11, 2)]
+    assert costly._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
 def test_subsets_travel_under_short_heads():
     """Some three subsets of a set in a bucket: 5 bytes each and 13 of the set; a set with more than
     255 of them stands there again."""
