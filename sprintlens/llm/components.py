@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sprintlens.llm.common import shuffles_released, written
+from sprintlens.llm.common import released, shuffles_released, written
 
 #: Links that a task unites at once, 16 bytes each.
 SLICE_LINKS = 1 << 19
@@ -97,8 +97,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     slices = -(-(ends.count() + 1) // SLICE_LINKS)
     ends = ends.coalesce(slices)
     if slices == 1:
-        return ends.mapInArrow(_labelled, "node long, component long")
-    stars = written(ends.mapInArrow(_united, "u long, v long"), "stars")
+        return ends.mapInArrow(released(_labelled), "node long, component long")
+    stars = written(ends.mapInArrow(released(_united), "u long, v long"), "stars")
     while not _is_stars(stars):
         stars = written(_small_star(_large_star(stars)), "stars")
     return (

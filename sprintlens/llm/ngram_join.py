@@ -15,12 +15,13 @@ Allocation by cost, cheapest first:
 2. Sets left incomplete (members of large families, sets made of common passages) compare
    a few smallest subsets in stars, which unites most families. Blocks of sets, dealt by the
    components so far, then send each subset once per component; those that several components
-   share are compared in stars again. Where all sharing sets are one component, nothing is left
-   to find and the subset is free.
-3. Sets still incomplete use one-deletion neighbourhoods, again with stars and free ones;
-   only those that they can complete get back what costs (a costly subset stays costly).
+   share are compared in stars again, as far as the parities of their shingles differ in no more
+   bits than a pair may differ in shingles. Where all sharing sets are one component, nothing is
+   left to find and the subset is free; of the others a block gets back the cost.
+3. Sets still incomplete use one-deletion neighbourhoods, again with stars and free ones, of the
+   signatures that concern a set which they can complete (a costly subset stays costly).
 4. Sets that even so fall short buy subsets in the order of their cost (number of components
-   that share them, the same for every set) until their value is H + 1; sets of different
+   that share them in step 2, the same for every set) until their value is H + 1; sets of different
    components are compared once, at the first subset that both bought, where from there on both
    have as many subsets left as a pair of their sizes must share, and the parities of their
    shingles differ in no more bits than the pair may differ in shingles. Subsets that only sets of
@@ -48,7 +49,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sprintlens.llm.byte_text import ByteText, mixed
@@ -65,7 +66,7 @@ BLOCK_SETS = 256
 FEW_BLOCKS = 16
 #: Texts are hashed in small slices, and indexed in larger ones.
 HASH_BYTES = 512 << 10
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bands whose sizes stay below this take every shingle as a segment.
 SINGLE = 64
 #: Bits of the map of wanted keys: for each key, and at most.
@@ -416,14 +417,24 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(pairs.groupBy("block").cogroup(members.groupBy("m_block")).applyInArrow(_verify, "a long, b long"), "ngram-links")
 
 
-ENTRY = np.dtype([("id", np.int64), ("n", np.int32), ("which", np.int8), ("seg", np.int32), ("value", np.int8), ("component", np.int64), ("block", np.int32)])
+ENTRY = np.dtype([("id", np.int64), ("n", np.int32), ("which", np.int8), ("seg", np.int32), ("value", np.int8), ("component", np.int64), ("able", np.int8), ("block", np.int32)])
+#: An entry that may meet a representative comes with its set's parities.
+STAR = np.dtype([*((c, ENTRY[c]) for c in ENTRY.names), ("parity", U, PARITY_BITS // 64)])
 
 
-def _entries(table: pa.Table | pa.RecordBatch, deletions: bool, least: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _parity(x: np.ndarray) -> np.ndarray:
+    """PARITY_BITS bits of a set: whether an odd number of its shingles falls on each. Bits in which
+    two sets differ are at most the shingles in which they differ."""
+    odd = np.bincount((x % U(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(U)
+
+
+def _entries(table: pa.Table | pa.RecordBatch, deletions: bool, least: int | None = None, kind: np.dtype = ENTRY) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Signatures of the subsets (and one-deletion neighbourhoods) of sets left incomplete, with
     their entries, by slices of sets; with `least`, only so many of the smallest of each set."""
     lists = [np.frombuffer(s, U) for s in table["shingles"].to_pylist()]
     ids, which_of, component = (table[c].to_numpy() for c in ("set_id", "which", "component"))
+    able = table["able"].to_numpy(zero_copy_only=False)
     upto = np.cumsum([len(x) for x in lists])
     bounds = np.unique(np.append(np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, SLICE_SHINGLES)), len(lists)))
     for lo, hi in zip(bounds[:-1], bounds[1:]):
@@ -436,8 +447,11 @@ def _entries(table: pa.Table | pa.RecordBatch, deletions: bool, least: int | Non
             x = np.concatenate([lists[r] for r in rows])
             starts, owner, number, scheme = segments(x, counts, which)
             length = np.diff(np.append(starts, len(x)))
-            entry = np.zeros(len(starts), ENTRY)
+            entry = np.zeros(len(starts), kind)
+            if "parity" in kind.names:
+                entry["parity"] = np.array([_parity(lists[r]) for r in rows])[owner]
             entry["id"], entry["component"], entry["n"], entry["which"] = ids[rows][owner], component[rows][owner], counts[owner], which
+            entry["able"] = able[rows][owner]
             entry["seg"] = np.arange(len(starts)) - np.searchsorted(owner, owner, "left")
             entry["value"] = np.where(length > 1, 2, 1)
             total, place = run_sums(mixed(x), starts), _place(number, scheme)
@@ -456,6 +470,9 @@ def _entries(table: pa.Table | pa.RecordBatch, deletions: bool, least: int | Non
         yield np.concatenate(sigs), np.concatenate(entries)
 
 
+PACKED = "bucket int, sig binary, entry binary"
+
+
 def _by_bucket(sig: np.ndarray, entry: np.ndarray, buckets: int) -> pa.Table:
     bucket = ((sig >> U(40)) % U(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -473,20 +490,21 @@ def _least_subsets(buckets: int, least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for sig, entry in _entries(batch, False, least):
+            for sig, entry in _entries(batch, False, least, STAR):
                 yield from _by_bucket(sig, entry, buckets).to_batches()
 
     return run
 
 
-def _block_index(buckets: int, deletions: bool):
+def _block_index(buckets: int, deletions: bool, kind: np.dtype):
     """Signatures of a block of sets, packed by bucket: one entry for each signature and component
     of the block, so that what a family shares travels once per block."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        memory_returned()
         found = []
-        for sig, entry in _entries(table, deletions):
-            order = np.lexsort((entry["component"], sig))
+        for sig, entry in _entries(table, deletions, kind=kind):
+            order = np.lexsort((-entry["able"], entry["component"], sig))
             sig, entry = sig[order], entry[order]
             once = np.ones(len(sig), bool)
             once[1:] = (sig[1:] != sig[:-1]) | (entry["component"][1:] != entry["component"][:-1])
@@ -498,46 +516,100 @@ def _block_index(buckets: int, deletions: bool):
     return run
 
 
-GROUPS = "sig long, rep long, rep_n int, id long, n int, component long, block int"
-
-
-def _groups(table: pa.Table) -> pa.Table:
-    """Entries of signatures that several components share, each with one of four representatives."""
-    memory_returned()
+def _shared(table: pa.Table, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of a bucket whose signatures several components share, at least one of their sets
+    being able to gain by it: signatures, entries and the places where each signature starts."""
     sig = np.concatenate([np.frombuffer(s, U) for s in table["sig"].to_pylist()])
-    entry = np.concatenate([np.frombuffer(s, ENTRY) for s in table["entry"].to_pylist()])
+    entry = np.concatenate([np.frombuffer(s, kind) for s in table["entry"].to_pylist()])
     order = np.lexsort((mixed(entry["id"].view(U) + (sig & U(3))), sig))
     sig, entry = sig[order], entry[order]
     starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     lengths = np.diff(np.append(starts, len(sig)))
-    differ = np.maximum.reduceat(entry["component"], starts) != np.minimum.reduceat(entry["component"], starts)
-    keep = np.repeat(differ, lengths)
-    rep = np.repeat(entry[starts], lengths)[keep]
-    sig, entry = sig[keep], entry[keep]
-    columns = {"sig": sig.view(np.int64), "rep": rep["id"].copy(), "rep_n": rep["n"].copy()}
-    return pa.table(columns | {c: entry[c].copy() for c in ("id", "n", "component", "block")})
+    wanted = np.maximum.reduceat(entry["component"], starts) != np.minimum.reduceat(entry["component"], starts)
+    wanted &= np.maximum.reduceat(entry["able"], starts) > 0
+    keep = np.repeat(wanted, lengths)
+    return sig[keep], entry[keep], np.cumsum(lengths[wanted]) - lengths[wanted]
 
 
-def _costly_entries(deletions: bool):
-    """Of a block of sets: the entries whose signatures several components share."""
+def _stars(table: pa.Table) -> pa.Table:
+    """Of a bucket: the sets of each shared signature with one of four representatives, as far as
+    their sizes and parities allow and no link joins them yet."""
+    memory_returned()
+    sig, entry, starts = _shared(table, STAR)
+    rep = np.repeat(entry[starts], np.diff(np.append(starts, len(sig))))
+    n, rep_n = entry["n"].astype(np.int64), rep["n"].astype(np.int64)
+    ok = (entry["component"] != rep["component"]) & (4 * np.minimum(n, rep_n) >= 3 * np.maximum(n, rep_n))
+    ok[ok] = 7 * np.bitwise_count(entry["parity"][ok] ^ rep["parity"][ok]).sum(axis=1, dtype=np.int64) <= (n + rep_n)[ok]
+    pairs = np.unique(np.stack([entry["id"][ok], rep["id"][ok]]), axis=1)
+    return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table, costly: pa.Table) -> pa.Table:
-        wanted = np.unique(costly["sig"].to_numpy()).view(U)
-        found = []
-        for sig, entry in _entries(table, deletions) if table.num_rows and len(wanted) else ():
-            wanted_too = np.isin(sig, wanted)
-            sig, entry = sig[wanted_too], entry[wanted_too]
-            found.append(pa.table({
-                "sig": sig.view(np.int64), "id": entry["id"].copy(), "n": entry["n"].copy(),
-                "which": entry["which"].astype(np.int32), "seg": entry["seg"].copy(), "value": entry["value"].astype(np.int32),
-            }))
-        none = {c: pa.array([], pa.int64() if k == "long" else pa.int32()) for c, k in (x.split() for x in COSTLY.split(", "))}
-        return pa.concat_tables(found) if found else pa.table(none)
+
+#: A signature that several components share, and their number.
+COST = np.dtype([("sig", np.uint64), ("cost", np.int64)])
+
+
+def _costs(table: pa.Table) -> pa.Table:
+    """Of a bucket: per block the signatures that several components share, with their number."""
+    memory_returned()
+    sig, entry, _ = _shared(table, ENTRY)
+    order = np.lexsort((entry["component"], sig))
+    sig, entry = sig[order], entry[order]
+    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
+    new = np.ones(len(sig), np.int64)
+    new[1:] = (sig[1:] != sig[:-1]) | (entry["component"][1:] != entry["component"][:-1])
+    cost = np.zeros(len(sig), COST)
+    cost["sig"] = sig
+    cost["cost"] = np.repeat(run_sums(new, starts), np.diff(np.append(starts, len(sig))))
+    order = np.lexsort((sig, entry["block"]))
+    cost, block = cost[order], entry["block"][order]
+    at = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
+    ends = np.append(at[1:], len(block))
+    return pa.table({"_block": pa.array(block[at], pa.int32()), "costs": pa.array([cost[i:j].tobytes() for i, j in zip(at, ends)], pa.binary())})
+
+
+COSTLY = "set_id long, which int, n int, paid long, paid_most long, subsets array<struct<cost: long, sig: long>>"
+COSTLY_ARROW = pa.schema([
+    ("set_id", pa.int64()), ("which", pa.int32()), ("n", pa.int32()), ("paid", pa.int64()), ("paid_most", pa.int64()),
+    ("subsets", pa.list_(pa.struct([("cost", pa.int64()), ("sig", pa.int64())]))),
+])
+
+
+def _costly_sets(deletions: bool):
+    """Of a block of sets, one row per set: how many of its segments cost, their value, and (without
+    deletions) its costly subsets in the order of their cost."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table, costs: pa.Table) -> pa.Table:
+        memory_returned()
+        found = [COSTLY_ARROW.empty_table()]
+        if table.num_rows and costs.num_rows:
+            cost = np.unique(np.concatenate([np.frombuffer(c, COST) for c in costs["costs"].to_pylist()]))
+            for sig, entry in _entries(table, deletions):
+                at = np.minimum(np.searchsorted(cost["sig"], sig), len(cost) - 1)
+                hit = cost["sig"][at] == sig
+                if hit.any():
+                    found.append(_per_set(sig[hit], entry[hit], cost["cost"][at[hit]], deletions))
+        return pa.concat_tables(found)
 
     return run
 
 
-COSTLY = "sig long, id long, n int, which int, seg int, value int"
+def _per_set(sig: np.ndarray, entry: np.ndarray, cost: np.ndarray, deletions: bool) -> pa.Table:
+    order = np.lexsort((sig.view(np.int64), cost, entry["which"], entry["id"]))
+    sig, entry, cost = sig[order], entry[order], cost[order]
+    new = lambda *columns: np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)]))
+    starts = new(entry["id"], entry["which"])
+    # segments count once, whatever number of their neighbourhoods cost
+    by_seg = entry[np.lexsort((entry["seg"], entry["which"], entry["id"]))]
+    segs = by_seg[new(by_seg["id"], by_seg["which"], by_seg["seg"])]
+    at = new(segs["id"], segs["which"])
+    head = entry[starts]
+    upto = np.zeros(len(starts) + 1, np.int32) if deletions else np.append(starts, len(sig)).astype(np.int32)
+    subsets = pa.StructArray.from_arrays([pa.array(cost[: upto[-1]]), pa.array(sig.view(np.int64)[: upto[-1]])], ["cost", "sig"])
+    return pa.Table.from_arrays([
+        pa.array(head["id"].copy()), pa.array(head["which"].astype(np.int32)), pa.array(head["n"].copy()),
+        pa.array(np.diff(np.append(at, len(segs)))), pa.array(run_sums(segs["value"].astype(np.int64), at)),
+        pa.ListArray.from_arrays(pa.array(upto), subsets),
+    ], schema=COSTLY_ARROW)
 
 
 def _similar_sizes(a: str, b: str):
@@ -551,7 +623,7 @@ def _bound(n, which):
     return F.floor((n + F.when(which == 0, F.least(largest, hi - 1)).otherwise(largest)) / 7)
 
 
-def _labelled(rows: DataFrame, known: DataFrame, key: str = "id") -> DataFrame:
+def _labelled(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """The rows with the component of their set, as far as links are known."""
     joined = rows.join(known, F.col(key) == F.col("node"), "left")
     return joined.withColumn("component", F.coalesce("component", key)).drop("node")
@@ -559,7 +631,7 @@ def _labelled(rows: DataFrame, known: DataFrame, key: str = "id") -> DataFrame:
 
 def _costly(entries: DataFrame, known: DataFrame) -> DataFrame:
     """Entries of signatures whose sets are in several components, with component and cost."""
-    placed = written(_labelled(entries, known), "ngram-entries")  # read twice
+    placed = written(_labelled(entries, known, "id"), "ngram-entries")  # read twice
     many = placed.groupBy("sig").agg(F.count_distinct("component").alias("cost")).filter("cost > 1")
     return placed.join(many, "sig")
 
@@ -570,7 +642,7 @@ def _blocks(left: DataFrame, known: DataFrame, size: int) -> DataFrame:
     placed = _labelled(left, known, "set_id")
     parts = placed.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("parts"))
     dealt = F.pmod(F.xxhash64("component", F.pmod(F.xxhash64("set_id"), F.col("parts"))), F.lit(max(1, size // BLOCK_SETS)))
-    return placed.join(parts, "component").select("set_id", "which", "shingles", "component", dealt.cast("int").alias("block"))
+    return placed.join(parts, "component").select("set_id", "which", "shingles", "component", "able", dealt.cast("int").alias("block"))
 
 
 def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
@@ -621,58 +693,44 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
         size = incomplete.count()
         if not size:
             break
-        left = incomplete.join(sets, "set_id").select("set_id", F.col("which").cast("int"), "shingles")
-        stars = lambda rows: rows.filter((F.col("id") != F.col("rep")) & _similar_sizes("n", "rep_n")).select(F.col("id").alias("a"), F.col("rep").alias("b"))
+        left = incomplete.join(sets, "set_id").select("set_id", F.col("which").cast("int"), "shingles", *(["able"] if deletions else [F.lit(True).alias("able")]))
         if known is None:  # families first: most of them share one of a few smallest subsets
-            few = left.withColumn("component", F.col("set_id")).mapInArrow(_least_subsets(buckets, LEAST_SUBSETS), "bucket int, sig binary, entry binary")
-            links = links.unionByName(verified(stars(few.groupBy("bucket").applyInArrow(_groups, GROUPS)), sets))
+            few = left.withColumn("component", F.col("set_id")).mapInArrow(released(_least_subsets(buckets, LEAST_SUBSETS)), PACKED)
+            links = links.unionByName(verified(few.groupBy("bucket").applyInArrow(_stars, "a long, b long"), sets))
             known = written(components(links, "a", "b"), "ngram-known")
-            worth = written(left.mapInArrow(_worth, "id long, which int, n long, worth long, most long"), "ngram-worth")
-            able = None
+            worth = written(left.select("set_id", "which", "shingles").mapInArrow(released(_worth), "set_id long, which int, n long, worth long, most long"), "ngram-worth")
         dealt = written(_blocks(left, known, size), "ngram-dealt")
-        packed = dealt.groupBy("block").applyInArrow(_block_index(buckets, deletions), "bucket int, sig binary, entry binary")
-        shared = written(packed.groupBy("bucket").applyInArrow(_groups, GROUPS), "ngram-groups")
-        known = _united(known, verified(stars(shared), sets))
+        index = lambda sets, kind: sets.groupBy("block").applyInArrow(_block_index(buckets, deletions, kind), PACKED).groupBy("bucket")
+        known = _united(known, verified(index(dealt, STAR).applyInArrow(_stars, "a long, b long"), sets))
         # a block gets back the signatures that several components still share
-        costly = _costly(shared.drop("component"), known).select(F.col("block").alias("_block"), "sig").distinct()
-        asking = dealt if able is None else dealt.join(able, ["set_id", "which"], "left_semi")
-        found = asking.groupBy("block").cogroup(costly.groupBy("_block")).applyInArrow(_costly_entries(deletions), COSTLY)
+        costs = index(_labelled(dealt.drop("component"), known, "set_id"), ENTRY).applyInArrow(_costs, "_block int, costs binary")
+        found = dealt.filter("able").groupBy("block").cogroup(costs.groupBy("_block")).applyInArrow(_costly_sets(deletions), COSTLY)
         found = written(found, "ngram-costly-entries")
         exact = found if exact is None else exact
-        paid = found.groupBy("id", "which", "seg").agg(F.max("value").alias("value")).groupBy("id", "which")
-        paid = paid.agg(F.count(F.lit(1)).alias("paid"), F.sum("value").alias("paid_most"))
         lacks = lambda value, paid: _bound(F.col("n"), F.col("which")) + 1 - F.col(value) + F.coalesce(paid, F.lit(0)) > 0
-        state = worth.withColumnRenamed("id", "set_id").join(paid.withColumnRenamed("id", "set_id"), ["set_id", "which"], "left")
-        state = state.withColumns({"lacks": lacks("worth", "paid"), "lacks_most": lacks("most", "paid_most")})
-        if able is None:
-            incomplete = written(incomplete.join(state.filter("lacks").select("set_id", "which", "lacks_most"), ["set_id", "which"]), "ngram-incomplete")
-            able = incomplete.filter("NOT lacks_most").select("set_id", "which")
+        state = worth.join(found.select("set_id", "which", "paid", "paid_most"), ["set_id", "which"], "left")
+        state = state.withColumns({"lacks": lacks("worth", "paid"), "able": lacks("most", "paid_most")}).withColumn("able", ~F.col("able"))
+        if not deletions:
+            incomplete = written(incomplete.join(state.filter("lacks").select("set_id", "which", "able"), ["set_id", "which"]), "ngram-incomplete")
         else:  # sets that no neighbourhood could complete have not asked
-            done = state.filter("NOT lacks_most").select("set_id", "which").join(able, ["set_id", "which"], "left_semi")
+            done = state.filter("able").select("set_id", "which").join(incomplete.filter("able"), ["set_id", "which"], "left_semi")
             incomplete = written(incomplete.join(done, ["set_id", "which"], "left_anti"), "ngram-incomplete")
     if not incomplete.isEmpty():
         # the order of subsets by cost is the same for all sets, so of two similar sets both buy
         # the first subset that they share
         left = incomplete.join(sets, "set_id").select("set_id", F.col("which").cast("int"), "shingles")
-        parities = left.select("set_id", "shingles").mapInArrow(_parities, "id long, parity array<long>").dropDuplicates(["id"])
-        costly = written(_costly(exact.join(incomplete.select(F.col("set_id").alias("id"), "which"), ["id", "which"], "left_semi"), known), "ngram-costly")
-        order = Window.partitionBy("id", "which").orderBy("cost", "sig")
-        bought = written(
-            costly.withColumn("rank", F.row_number().over(order))
-            .withColumn("all", F.count(F.lit(1)).over(Window.partitionBy("id", "which")))
-            .join(worth.select("id", "which", "worth"), ["id", "which"])
-            .filter(F.col("rank") <= _bound(F.col("n"), F.col("which")) + 1 - F.col("worth") + F.col("all"))
-            .select("sig", "cost", "id", "which", "n", "component", "worth", (F.col("all") - F.col("rank") + 1).alias("ahead")),
-            "ngram-bought",
-        )
+        parities = left.select("set_id", "shingles").mapInArrow(released(_parities), "id long, parity array<long>").dropDuplicates(["id"])
+        buying = exact.join(incomplete, ["set_id", "which"], "left_semi").join(worth.select("set_id", "which", "worth"), ["set_id", "which"])
+        buying = buying.withColumnRenamed("set_id", "id").withColumn("all", F.size("subsets"))
+        needs = _bound(F.col("n"), F.col("which")) + 1 - F.col("worth") + F.col("all")
+        bought = buying.select("id", "which", "n", "worth", "all", F.posexplode(F.slice("subsets", F.lit(1), needs.cast("int"))).alias("before", "subset"))
+        bought = bought.select("subset.sig", F.col("subset.cost").alias("price"), "id", "which", "n", "worth", (F.col("all") - F.col("before")).alias("ahead"))
+        bought = written(_costly(bought, known), "ngram-bought")
         # subsets bought by the same sets give the same pairs: the first of them is enough
-        buyers = bought.groupBy("sig", "cost").agg(
-            F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id") % (1 << 20)).alias("sum"),
-            (F.min("component") < F.max("component")).alias("several"),
-        ).filter("several")
-        first = buyers.groupBy("who", "sum").agg(F.min(F.struct("cost", "sig")).alias("first")).select("first.sig")
+        buyers = bought.groupBy("sig", "price").agg(F.bit_xor(F.xxhash64("id")).alias("who"), F.sum(F.xxhash64("id") % (1 << 20)).alias("sum"))
+        first = buyers.groupBy("who", "sum").agg(F.min(F.struct("price", "sig")).alias("first")).select("first.sig")
         bought = written(bought.join(first, "sig", "left_semi"), "ngram-first")
-        in_order = F.array_sort(F.collect_list(F.struct("cost", "sig")))["sig"]
+        in_order = F.array_sort(F.collect_list(F.struct("price", "sig")))["sig"]
         lists = bought.groupBy("id", "which").agg(in_order.alias("sigs"))
         bought = bought.join(parities.join(lists, "id"), ["id", "which"])
         bought = bought.withColumn("sigs", F.slice("sigs", 1, F.array_position("sigs", F.col("sig")).cast("int")))
@@ -698,13 +756,8 @@ def similar_components(docs: DataFrame, common: int = COMMON) -> DataFrame:
 
 
 def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per set, PARITY_BITS bits: whether an odd number of its shingles falls on each. Bits in which
-    two sets differ are at most the shingles in which they differ."""
     for batch in batches:
-        out = []
-        for blob in batch.column(1).to_pylist():
-            odd = np.bincount((np.frombuffer(blob, U) % U(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
-            out.append(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
+        out = [_parity(np.frombuffer(blob, U)).view(np.int64).tolist() for blob in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["id", "parity"])
 
 
@@ -719,7 +772,7 @@ def _worth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             worth.append(len(length))
             most.append(int(np.where(length > 1, 2, 1).sum()))
             size.append(len(x))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in (size, worth, most)]], ["id", "which", "n", "worth", "most"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in (size, worth, most)]], ["set_id", "which", "n", "worth", "most"])
 
 
 def _united(known: DataFrame, links: DataFrame) -> DataFrame:

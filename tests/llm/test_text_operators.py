@@ -135,6 +135,28 @@ def test_neighbourhoods_are_sent_back_only_to_sets_they_can_complete(spark, monk
     assert len(entries) == 2 and entries[1] <= entries[0]
 
 
+def test_costly_subsets_are_not_rows_of_their_own(spark, monkeypatch):
+    """Sets of passages that are all too common and that no link joins: what is written of their
+    subsets is a row per set and what they buy, and their parities tell them apart at once."""
+    rng, rows, written = np.random.default_rng(8), defaultdict(list), ngram_join.written
+    passages = [words_of(rng, 40, 10**6) for _ in range(10)]
+    chosen = [np.sort(rng.choice(10, 4, replace=False)).tolist() for _ in range(80)]
+    texts = [" ".join(w for k in c for w in [f"n{i}", *passages[k]]) for i, c in enumerate(chosen)]
+
+    def recorded(df, name):
+        out = written(df, name)
+        rows[name].append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", recorded)
+    found = ngram_join.similar_components(documents(spark, texts), common=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(texts)
+    sets = 2 * len(texts)  # in their own band, and maybe the next
+    assert rows["ngram-costly-entries"] and max(rows["ngram-costly-entries"]) <= sets
+    # candidates by cold subsets, then by stars: of sets that many share, few can be similar
+    assert len(rows["ngram-candidates"]) == 1 and max(rows["ngram-pairs"][1:]) <= 2 * sets
+
+
 def test_only_texts_asked_for_are_moved(spark, monkeypatch):
     rng, moved, marked = np.random.default_rng(9), [], ngram_join.marked
     texts = [" ".join(words_of(rng, 12, 10**6)) for _ in range(200)]
